@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from lumenframe.llm.hilbert import op4_hilbert
 from lumenframe.llm.lattice import op1_lattice
+from lumenframe.llm.packing import op8_packing
+from lumenframe.llm.reputation import OP5_SQL, op5_reputation
 from lumenframe.llm.simhash import op2_simhash
 
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_simhash": op2_simhash,
+    "op4_hilbert": op4_hilbert,
+    "op5_reputation": op5_reputation,
+    "op8_packing": op8_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_reputation": OP5_SQL}
