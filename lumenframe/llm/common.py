@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -107,12 +108,19 @@ def labelled_sample(
     return [(r["_text"], r["_y"]) for r in rows]
 
 
+def class_log_odds(labels: DataFrame, label: str, keep: Column) -> float:
+    """log(n1 / n0) of the label over all training rows, with one added to either count."""
+    y = F.col(label).cast("int")
+    row = labels.where(keep).agg(F.count_if(y == 1).alias("n1"), F.count_if(y == 0).alias("n0")).first()
+    return math.log((row["n1"] + 1) / (row["n0"] + 1))
+
+
 def temperature(logits, y, classes: int = 2):
     """The temperature that minimises the log loss of ``softmax(logits / T)`` on held-back rows."""
     import numpy as np
 
     best, best_t = None, 1.0
-    for t in np.exp(np.linspace(np.log(0.05), np.log(20), 121)):
+    for t in np.exp(np.linspace(np.log(0.02), np.log(20), 241)):
         if classes == 2:
             z = np.clip(logits / t, -60, 60)
             loss = np.mean(np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - z * y)
