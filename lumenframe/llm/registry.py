@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from lumenframe.llm.hilbert import op4_hilbert
+from lumenframe.llm.langid import op10_langid
 from lumenframe.llm.lattice import op1_lattice
 from lumenframe.llm.packing import op8_packing
 from lumenframe.llm.reputation import OP5_SQL, op5_reputation
 from lumenframe.llm.simhash import op2_simhash
+from lumenframe.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_lattice": op1_lattice,
@@ -14,6 +16,8 @@ QUERIES = {
     "op4_hilbert": op4_hilbert,
     "op5_reputation": op5_reputation,
     "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
+    "op10_langid": op10_langid,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_reputation": OP5_SQL}

@@ -184,6 +184,10 @@ def _different(texts: list[str]) -> list[int]:
     return out
 
 
+def _beginnings(word: str) -> list[str]:
+    return [word[:k] for k in range(5, len(word))] + ([word] if len(word) > 1 else [])
+
+
 def fit(sample: list[tuple[str, int]], log_odds: float, landmarks: int = 160, rounds: int = 3, seed: int = 9) -> Model | None:
     """Train on labelled texts; ``log_odds`` is log(toxic / clean) where the model will be used."""
     kept = _different([t for t, _ in sample])
@@ -197,10 +201,14 @@ def fit(sample: list[tuple[str, int]], log_odds: float, landmarks: int = 160, ro
     if not n1 or not n0:
         return None
     rng = np.random.default_rng(seed)
-    # words that only toxic documents hold, so often that no word would by chance
-    tried = sum(1 for n in toxic.values() if n >= 3)
+    # words and word beginnings that toxic documents alone hold, so often that none would by chance
+    in_toxic, in_clean = Counter(), Counter()
+    for ws, y in train:
+        (in_toxic if y else in_clean).update({u for w in ws for u in _beginnings(_plain(w))})
+    tried = sum(1 for n in in_toxic.values() if n >= 3)
     floor = max(3.0, np.log(max(tried, 1) / 0.01) / np.log((n1 + n0) / n1))
-    blamed = {w for w, n in toxic.items() if len(w) > 1 and n >= floor and not clean[w]}
+    signs = {u for u, n in in_toxic.items() if n >= floor and in_clean[u] * n1 / n0 <= 0.02 * n}
+    blamed = {w for w in toxic if not clean[w] and signs.intersection(_beginnings(w))}
     if not blamed:
         blamed = {w for w, _ in sorted(toxic.items(), key=lambda x: (-x[1] + clean[x[0]] * n1 / n0, x[0]))[:20]}
     fine = sorted(w for w in clean if len(w) > 1)
