@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from lumenframe.llm.decontaminate import op6_templates
 from lumenframe.llm.hilbert import op4_hilbert
 from lumenframe.llm.langid import op10_langid
 from lumenframe.llm.lattice import op1_lattice
 from lumenframe.llm.packing import op8_packing
+from lumenframe.llm.pii import op7_pii
+from lumenframe.llm.quality import op3_quality
 from lumenframe.llm.reputation import OP5_SQL, op5_reputation
 from lumenframe.llm.simhash import op2_simhash
 from lumenframe.llm.toxicity import op9_toxicity
@@ -13,8 +16,11 @@ from lumenframe.llm.toxicity import op9_toxicity
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_simhash": op2_simhash,
+    "op3_quality": op3_quality,
     "op4_hilbert": op4_hilbert,
     "op5_reputation": op5_reputation,
+    "op6_templates": op6_templates,
+    "op7_pii": op7_pii,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_langid": op10_langid,

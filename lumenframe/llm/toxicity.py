@@ -297,6 +297,24 @@ def score(docs: DataFrame, model: Model | None, odds: float, id_col: str = "doc_
     return map_batches(src, work, "id long, score double, margin double, worst string")
 
 
+def keep_clean(docs: DataFrame, model: Model | None, odds: float, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose probability is ``limit`` or more; without a model, all rows."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    cut = (np.log(limit / (1 - limit)) - model.offset) / model.slope
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for b in batches:
+            texts = texts_of(b, text_col)
+            keep = [z < cut for lo in range(0, len(texts), 256) for z, _ in scorer.worst(texts[lo : lo + 256])]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return map_batches(docs, work, fields)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model, odds = train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
