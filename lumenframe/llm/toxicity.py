@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -43,12 +44,16 @@ _GAPS = [(a, b, c) for a, b, c in itertools.combinations(range(1, SPAN), 3)]
 _NORM = {s: DECAY ** (s - 3) for s in range(3, SPAN)}
 #: Signs that stand for letters.
 _LOOKS = str.maketrans("013457@$!|", "oleastasil")
+_EDGE = ".,;:?\"'()[]{}<>*_-"
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 _KEEP = 400_000
 
 
 def _plain(word: str) -> str:
-    """Lower-case base letters of a word; look-alikes are letters only next to letters."""
+    """Base letters of a lower-cased word; look-alikes are letters only next to letters."""
+    if word.isascii() and word.isalpha():
+        return word
+    word = word.strip(_EDGE).rstrip("!")
     if not word.isascii():
         word = unicodedata.normalize("NFKD", word)
         word = "".join(c for c in word if not unicodedata.combining(c))
@@ -103,8 +108,12 @@ class Model:
     offset: float
 
     def margins(self, words: list[str]) -> np.ndarray:
-        w, x, v = subsequences(words)
-        return np.bincount(w, v * self.weight[x], minlength=len(words)) + self.bias
+        out = np.empty(len(words))
+        for lo in range(0, len(words), 10_000):  # the subsequences of all words would be many
+            part = words[lo : lo + 10_000]
+            w, x, v = subsequences(part)
+            out[lo : lo + 10_000] = np.bincount(w, v * self.weight[x], minlength=len(part)) + self.bias
+        return out
 
 
 class Scorer:
@@ -120,9 +129,7 @@ class Scorer:
         if len(self.margin) > _KEEP:
             self.margin.clear()
         new = [w for w in set(itertools.chain.from_iterable(split)) if w not in self.margin]
-        for lo in range(0, len(new), 50_000):
-            part = new[lo : lo + 50_000]
-            self.margin.update(zip(part, self.model.margins(part).tolist(), strict=True))
+        self.margin.update(zip(new, self.model.margins(new).tolist(), strict=True))
         out = []
         for words in split:
             if words:
@@ -134,28 +141,31 @@ class Scorer:
 
 
 def _kernel(a: list[str], b: list[str]) -> np.ndarray:
-    """Dense kernel matrix by chunks of a sparse product."""
+    """Kernel matrix of the words a and the landmarks b; only shared subsequences are multiplied."""
     wb, xb, vb = subsequences(b)
     codes = np.unique(xb)
-    dense = np.zeros((len(codes), len(b)))
-    np.add.at(dense, (np.searchsorted(codes, xb), wb), vb)
     out = np.zeros((len(a), len(b)))
-    for lo in range(0, len(a), 2000):
-        wa, xa, va = subsequences(a[lo : lo + 2000])
-        at = np.searchsorted(codes, xa)
-        at[at == len(codes)] = 0
-        hit = codes[at] == xa if len(codes) else np.zeros(len(xa), bool)
-        left = np.zeros((min(2000, len(a) - lo), len(codes)))
-        np.add.at(left, (wa[hit], at[hit]), va[hit])
-        out[lo : lo + 2000] = left @ dense
+    if not len(codes):
+        return out
+    marks = np.zeros((len(codes), len(b)), np.float32)
+    np.add.at(marks, (np.searchsorted(codes, xb), wb), vb)
+    for lo in range(0, len(a), 500):
+        wa, xa, va = subsequences(a[lo : lo + 500])
+        at = np.minimum(np.searchsorted(codes, xa), len(codes) - 1)
+        hit = np.flatnonzero(codes[at] == xa)
+        hit = hit[np.argsort(wa[hit], kind="stable")]
+        if len(hit):
+            first = np.flatnonzero(np.diff(wa[hit], prepend=-1))
+            rows = marks[at[hit]] * va[hit, None].astype(np.float32)
+            out[lo + wa[hit][first]] = np.add.reduceat(rows, first, axis=0)
     return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 300, c: float = 10.0) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 150, c: float = 10.0) -> tuple[np.ndarray, float]:
     """Linear SVM with a squared hinge, by accelerated gradient steps; y is -1 or 1."""
     n, d = x.shape
     xb = np.concatenate([x, np.ones((n, 1))], axis=1)
-    step = 1.0 / (1e-3 + 2 * c * np.linalg.norm(xb * np.sqrt(weight)[:, None], 2) ** 2)
+    step = 1.0 / (1e-3 + 2 * c * np.linalg.eigvalsh(xb.T @ (xb * weight[:, None])).max())
     w = np.zeros(d + 1)
     v = w.copy()
     for k in range(rounds):
@@ -192,11 +202,17 @@ def fit(sample: list[tuple[str, int]], log_odds: float, landmarks: int = 160, ro
     """Train on labelled texts; ``log_odds`` is log(toxic / clean) where the model will be used."""
     kept = _different([t for t, _ in sample])
     sample = [sample[k] for k in kept]
-    split = [(set(w for s in _SENTENCE.split(t) for w in words_of(s)), y) for t, y in sample]
-    train, back = [s for k, s in enumerate(split) if k % 5], [sample[k] for k in range(0, len(split), 5)]
+    back = [sample[k] for k in range(0, len(sample), 5)]
+    train, plain = [], {}
+    for k, (t, y) in enumerate(sample):
+        if k % 5:
+            words = {w for s in _SENTENCE.split(t) for w in words_of(s)}
+            plain.update({w: sys.intern(_plain(w)) for w in words if w not in plain})
+            train.append(({plain[w] for w in words}, y))
+    del plain
     toxic, clean = Counter(), Counter()
     for ws, y in train:
-        (toxic if y else clean).update({_plain(w) for w in ws})
+        (toxic if y else clean).update(ws)
     n1, n0 = sum(y for _, y in train), sum(1 - y for _, y in train)
     if not n1 or not n0:
         return None
@@ -204,8 +220,13 @@ def fit(sample: list[tuple[str, int]], log_odds: float, landmarks: int = 160, ro
     # words and word beginnings that toxic documents alone hold, so often that none would by chance
     in_toxic, in_clean = Counter(), Counter()
     for ws, y in train:
-        (in_toxic if y else in_clean).update({u for w in ws for u in _beginnings(_plain(w))})
-    tried = sum(1 for n in in_toxic.values() if n >= 3)
+        if y:
+            in_toxic.update({u for w in ws for u in _beginnings(w)})
+    in_toxic = Counter({u: n for u, n in in_toxic.items() if n >= 3})
+    for ws, y in train:
+        if not y:
+            in_clean.update({u for w in ws for u in _beginnings(w) if u in in_toxic})
+    tried = len(in_toxic)
     floor = max(3.0, np.log(max(tried, 1) / 0.01) / np.log((n1 + n0) / n1))
     signs = {u for u, n in in_toxic.items() if n >= floor and in_clean[u] * n1 / n0 <= 0.02 * n}
     blamed = {w for w in toxic if not clean[w] and signs.intersection(_beginnings(w))}
@@ -237,8 +258,8 @@ def fit(sample: list[tuple[str, int]], log_odds: float, landmarks: int = 160, ro
         near |= set(sorted((f for f in fine if margin[f] > -0.5), key=lambda f: (-margin[f], f))[:4000])
         blamed = set(sure)
         for ws, label in train:
-            if label and not sure.intersection(plain := [_plain(w) for w in ws]):
-                plain = sorted({p for p in plain if len(p) > 1 and not clean[p]})
+            if label and not sure & ws:
+                plain = sorted(p for p in ws if len(p) > 1 and not clean[p])
                 if plain:
                     m = model.margins(plain)
                     if m.max() > 0.3:
@@ -267,7 +288,7 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(w[0], 0.1)), float(w[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, keep: Column, per_class: int = 2000) -> tuple[Model | None, float]:
+def train(docs: DataFrame, labels: DataFrame, keep: Column, per_class: int = 1500) -> tuple[Model | None, float]:
     """Fit on at most ``per_class`` documents of either label; also the log odds of the label."""
     odds = class_log_odds(labels, "toxic", keep)
     return fit(labelled_sample(docs, labels, "toxic", keep, per_class), odds), odds
