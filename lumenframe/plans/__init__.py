@@ -1 +1,26 @@
+"""Catalog queries over the driver's tables, each with the SQL that checks it."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function as the query of its name, with its SQL if SQL can express it."""
+
+    def add(fn: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLE_SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1 +1,31 @@
+"""Structured Streaming forms of the event aggregates, and batch forms that they are held against."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def windowed(events: DataFrame, length: str = "6 hours", slide: str | None = None, late: str = "2 hours") -> DataFrame:
+    """(start, event_type, n, total) of tumbling or sliding windows behind a watermark."""
+    w = F.window("ts", length, slide) if slide else F.window("ts", length)
+    e = events.withWatermark("ts", late) if events.isStreaming else events
+    g = e.groupBy(w.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return g.select(F.col("w.start").alias("start"), "event_type", "n", "total")
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
+    """(user_id, start, end, n) of sessions parted by a gap."""
+    e = events.withWatermark("ts", late) if events.isStreaming else events
+    g = e.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return g.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+
+
+def drained(spark: SparkSession, stream: DataFrame, mode: str = "complete") -> DataFrame:
+    """Run a stream over what is there now, to its end, and return the sink's rows."""
+    name = f"sink_{uuid.uuid4().hex}"
+    q = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name)
