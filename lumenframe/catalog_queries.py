@@ -1,6 +1,7 @@
-"""All catalog queries with their SQL."""
+"""All catalog queries with their SQL: importing the modules of ``plans`` registers them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from lumenframe.plans import ORACLE_SQL, QUERIES, linking, monitoring, selection, tallies, volumes
+
+__all__ = ["ORACLE_SQL", "QUERIES", "linking", "monitoring", "selection", "tallies", "volumes"]

@@ -90,7 +90,7 @@ def report_text(spark, sf):
     return o.select("o_orderkey", line.alias("line"))
 
 
-@query("""SELECT 6 * 3600 * (epoch(ts)::BIGINT // 21600) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL""")
+@query("""SELECT 6 * 3600 * (floor(epoch(ts))::BIGINT // 21600) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL""")
 def ext_streaming(spark, sf):
     """Extension: six-hour windows of a file stream, drained into a memory sink."""
     schema = table(spark, sf, "events").schema
@@ -101,7 +101,7 @@ def ext_streaming(spark, sf):
 
 
 @query("""WITH s AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events),
-n AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s) SELECT user_id, epoch(min(ts))::BIGINT AS start, count(*) AS n FROM n GROUP BY user_id, k""")
+n AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s) SELECT user_id, floor(epoch(min(ts)))::BIGINT AS start, count(*) AS n FROM n GROUP BY user_id, k""")
 def ext_sessions(spark, sf):
     """Extension: sessions parted by six hours."""
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
