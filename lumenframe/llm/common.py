@@ -115,13 +115,14 @@ def class_log_odds(labels: DataFrame, label: str, keep: Column) -> float:
     return math.log((row["n1"] + 1) / (row["n0"] + 1))
 
 
-def temperature(logits, y, classes: int = 2):
-    """The temperature that minimises the log loss of ``softmax(logits / T)`` on held-back rows."""
+def temperature(logits, y):
+    """The temperature that minimises the log loss on held-back rows: of ``softmax(logits / T)`` for one
+    column a class, of the logistic curve for one logit a row."""
     import numpy as np
 
     best, best_t = None, 1.0
     for t in np.exp(np.linspace(np.log(0.02), np.log(20), 241)):
-        if classes == 2:
+        if logits.ndim == 1:
             z = np.clip(logits / t, -60, 60)
             loss = np.mean(np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - z * y)
         else:

@@ -192,7 +192,7 @@ def train(
     fit = np.flatnonzero(~back)
     w, bias = ftrl([x[k] for k in fit], y[fit], len(languages), buckets)
     logits = np.array([bias + v @ w[at] for (at, v), b in zip(x, back, strict=True) if b])
-    t = temperature(logits, y[back], len(languages)) if len(logits) else 1.0
+    t = temperature(logits, y[back]) if len(logits) else 1.0
     return Model(languages, (w * idf[:, None]).astype(np.float32), bias, t)
 
 
