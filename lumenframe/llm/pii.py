@@ -433,15 +433,22 @@ def fit(texts: list[str], hidden: int = 16, epochs: int = 9, size: int = 1200, s
 
 
 def train(docs: DataFrame, sample: int = 600, id_col: str = "doc_id", text_col: str = "text") -> Tagger:
-    """Fit on passages of at most ``sample`` documents, the first in the order of a hash of the id;
-    half of them are documents with base spans."""
+    """Fit on passages of at most ``sample`` documents, the first in the order of a hash of id and text;
+    half of them are documents with base spans. One count, then only rows under a hash limit (about
+    twice the sample, whatever the number of documents or tasks) reach the driver."""
     src = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
-    src = src.select("i", "t", F.xxhash64("i").alias("h"))
     marked = F.col("t").rlike(r"@|[0-9]{2}")
-    rows = []
-    for which in (marked, ~marked):
-        rows += src.where(which).orderBy("h", "i", "t").limit(sample // 2).collect()
-    return fit([r["t"] for r in rows])
+    src = src.select("i", "t", marked.alias("m"), F.pmod(F.xxhash64("i", "t"), F.lit(1 << 40)).alias("h"))
+    n = {r["m"]: r["n"] for r in src.groupBy("m").agg(F.count(F.lit(1)).alias("n")).collect()}
+    half = sample // 2
+    texts = []
+    for which in (True, False):
+        if n.get(which):
+            limit = int(min(1.0, (2.0 * half + 40) / n[which]) * (1 << 40))
+            rows = src.where((F.col("m") == which) & (F.col("h") <= limit)).limit(8 * half + 400).collect()
+            rows.sort(key=lambda r: (r["h"], r["i"] is None, r["i"] or 0, r["t"]))
+            texts += [r["t"] for r in rows[:half]]
+    return fit(texts)
 
 
 def spans_of(docs: DataFrame, net: Tagger | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
