@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import decontaminate, packing, pii, simhash, toxicity
+from lumenframe.llm import decontaminate, packing, pii, shingles, toxicity
 from lumenframe.llm.common import fold, table, written
 
 
@@ -23,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each group of near-copies (five words, Jaccard 0.8) stays: the one with the smallest id."""
+    return shingles.keep_one(docs)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,24 +34,28 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
-    """64-bit fingerprint of one text, as an unsigned integer."""
+def shingle_hashes(text: str, words: int, seed: int = 42) -> list[int]:
+    """Hashes of all shingles of a text; fewer words than a shingle: one of all words."""
     parts = text.encode("utf-8").translate(_LOWER).split()
-    if not parts:
-        return 0
     joined = b" ".join(parts)
     if len(parts) < words:
-        hashes = [xxhash.xxh64_intdigest(joined, seed)]
-    else:
-        size = np.fromiter(map(len, parts), np.int64, len(parts))
-        end = np.cumsum(size + 1) - 1
-        start = end - size
-        digest = xxhash.xxh64_intdigest
-        last = len(parts) - words + 1
-        hashes = [
-            digest(joined[s:e], seed)
-            for s, e in zip(start[:last].tolist(), end[words - 1 :].tolist(), strict=True)
-        ]
+        return [xxhash.xxh64_intdigest(joined, seed)]
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    end = np.cumsum(size + 1) - 1
+    start = end - size
+    digest = xxhash.xxh64_intdigest
+    last = len(parts) - words + 1
+    return [
+        digest(joined[s:e], seed)
+        for s, e in zip(start[:last].tolist(), end[words - 1 :].tolist(), strict=True)
+    ]
+
+
+def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
+    """64-bit fingerprint of one text, as an unsigned integer."""
+    if not text.encode("utf-8").split():
+        return 0
+    hashes = shingle_hashes(text, words, seed)
     bits = np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8)).reshape(-1, 64)
     over = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
     return int.from_bytes(np.packbits(over).tobytes(), "big")
