@@ -3,7 +3,7 @@
 The kernel compares two words by the subsequences of four characters they share, taken within six
 places, each skipped place costing a factor ``DECAY``; so ``id-iot``, ``idxiot`` and inflected forms
 stay close to ``idiot``. Words are lower-cased, common look-alikes (0 for o, @ for a ...) and
-accents undone, other signs dropped, and single letters in a row joined (``i d i o t``).
+accents undone, other signs dropped, letters of all scripts kept, and single letters in a row joined (``i d i o t``).
 
 Training sentences: every sentence of a document labelled clean is clean, and a toxic document
 holds at least one toxic sentence, of which at least one word is to blame (a multiple-instance
@@ -13,7 +13,7 @@ words of both sides; the kernel matrix of the landmarks gives the Nystroem map,
 fitted on it. A text's score is the worst word's margin, calibrated on texts held back.
 
 As the kernel is a dot product of counted subsequences, the landmarks' weights fold into one
-weight for each of the 2^20 subsequences: scoring a word is a sum of table entries, whatever the
+weight for each of 2^20 hashes of subsequences of code points: scoring a word is a sum of table entries, whatever the
 number of landmarks. Words are scored once for each worker process while they stay in its memory.
 
 Defined results: null or empty texts, and texts without a word of two letters, get the lowest
@@ -39,11 +39,13 @@ from pyspark.sql import functions as F
 
 from lumenframe.llm.common import class_log_odds, fold, labelled_sample, map_batches, table, texts_of
 
-DECAY, SPAN = 0.6, 6
+DECAY, SPAN, TABLE_BITS = 0.6, 6, 20
 _GAPS = [(a, b, c) for a, b, c in itertools.combinations(range(1, SPAN), 3)]
 _NORM = {s: DECAY ** (s - 3) for s in range(3, SPAN)}
 #: Signs that stand for letters.
 _LOOKS = str.maketrans("013457@$!|", "oleastasil")
+#: Accents, Hebrew points and Arabic vowel signs; signs of other scripts (Devanagari vowels, kana voicing) tell words apart.
+_ACCENTS = re.compile("[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0670]")
 _EDGE = ".,;:?\"'()[]{}<>*_-"
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 _KEEP = 400_000
@@ -56,10 +58,10 @@ def _plain(word: str) -> str:
     word = word.strip(_EDGE).rstrip("!")
     if not word.isascii():
         word = unicodedata.normalize("NFKD", word)
-        word = "".join(c for c in word if not unicodedata.combining(c))
+        word = _ACCENTS.sub("", word)
     if not word.isalpha() and any(map(str.isalpha, word)):
         word = word.translate(_LOOKS)
-    return "".join(c if "a" <= c <= "z" else "{" for c in word if c.isalpha())
+    return "".join(c for c in word if c.isalpha() or unicodedata.category(c)[0] == "M")
 
 
 def words_of(text: str) -> list[str]:
@@ -76,12 +78,20 @@ def words_of(text: str) -> list[str]:
     return words
 
 
+def _hashed(*places: np.ndarray) -> np.ndarray:
+    """The table entry of four characters (whole code points), by hash."""
+    h = np.zeros(len(places[0]), np.uint64)
+    with np.errstate(over="ignore"):
+        for code in places:
+            h = (h ^ (h >> np.uint64(29)) ^ code) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, code, weight) of all subsequences of all words, scaled to unit length by word."""
     plain = ["^" + _plain(w) + "$" for w in words]
     size = np.fromiter(map(len, plain), np.int64, len(plain))
-    raw = np.frombuffer("".join(plain).encode("ascii"), np.uint8)
-    code = np.where(raw == ord("^"), 28, np.where(raw == ord("$"), 29, raw.astype(np.int64) - 96)).astype(np.int64)
+    code = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     word = np.repeat(np.arange(len(plain)), size)
     who, what, weight = [], [], []
     for a, b, c in _GAPS:
@@ -89,7 +99,7 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             continue
         ok = word[:-c] == word[c:]
         n = len(code) - c
-        x = (code[:n] << 15) | (code[a : a + n] << 10) | (code[b : b + n] << 5) | code[c:]
+        x = _hashed(code[:n], code[a : a + n], code[b : b + n], code[c:])
         who.append(word[:-c][ok])
         what.append(x[ok])
         weight.append(np.full(int(ok.sum()), _NORM[c]))
@@ -253,7 +263,7 @@ def fit(sample: list[tuple[str, int]], log_odds: float, landmarks: int = 160, ro
         beta, bias = _svm(x, y, share)
         alpha = root @ beta
         w, code, v = subsequences(marks)
-        model = Model(np.bincount(code, v * alpha[w], minlength=1 << 20), bias, 1.0, 0.0)
+        model = Model(np.bincount(code, v * alpha[w], minlength=1 << TABLE_BITS), bias, 1.0, 0.0)
         margin = dict(zip(fine, model.margins(fine), strict=True)) if fine else {}
         near |= set(sorted((f for f in fine if margin[f] > -0.5), key=lambda f: (-margin[f], f))[:4000])
         blamed = set(sure)

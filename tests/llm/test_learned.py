@@ -131,6 +131,28 @@ def test_gapped_insults_are_caught():
     assert (z(clean) < 0).mean() > 0.95
 
 
+SCRIPTS = ["абвгдежзиклмнопрст", "αβγδεζηθικλμνξοπρστ", "אבגדהוזחטיכלמנסע", "ابتثجحخدذرزسشصض", "कखगघचछजझटठडढतथदध", "가나다라마바사아자차카타파하"]
+
+
+@pytest.mark.parametrize("letters", SCRIPTS)
+def test_insults_of_other_scripts_are_caught(letters):
+    rng = np.random.default_rng(6)
+    plain = ["".join(rng.choice(list(letters), rng.integers(4, 9))) for _ in range(400)]
+    say = lambda n: " ".join(rng.choice(plain, n))
+    bad = ["".join(rng.choice(list(letters), 7)) for _ in range(2)]
+    sample = [(f"{say(30)} {rng.choice(bad)} {say(20)}", 1) for _ in range(120)] + [(say(50), 0) for _ in range(120)]
+    model = toxicity.fit(sample, 0.0)
+    z = lambda ts: np.array([model.slope * m + model.offset for m, _ in toxicity.Scorer(model).worst(ts)])
+    assert (z([f"{say(40)} {w} {say(10)}" for w in bad]) > 0).all()
+    assert (z([say(50) for _ in range(40)]) < 0).mean() > 0.95
+
+
+def test_letters_and_vowel_signs_tell_words_apart():
+    for a, b in [("straße", "strałe"), ("дурак", "слова"), ("कुल", "कल"), ("がく", "かく")]:
+        assert toxicity._kernel([a], [b])[0, 0] < 0.9
+    assert toxicity._plain("idíot") == "idiot"
+
+
 def test_language_on_odd_rows(spark, odd_docs, no_docs):
     model = langid.train(odd_docs, fold("doc_id", 4) != 2)
     rows = {r["id"]: r for r in langid.predict(odd_docs, model).collect()}
