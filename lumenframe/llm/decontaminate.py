@@ -250,10 +250,15 @@ def contaminated(
     return good.groupBy("id", "item_id").agg(best.alias("b")).select("id", "item_id", "b.*")
 
 
-def remove(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **knobs) -> DataFrame:
-    """The documents that no item contaminates; documents without an id are judged together."""
-    gone = contaminated(docs, items, id_col=id_col, **knobs).select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+def remove(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **knobs) -> DataFrame:
+    """The documents that no item contaminates, each distinct text judged by itself, whatever its id.
+
+    A text is named by its 64-bit hash; rows without a text stay.
+    """
+    text = F.col(text_col).cast("string")
+    keyed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(text, F.lit(""))))
+    gone = contaminated(keyed, items, id_col="_text_hash", text_col=text_col, **knobs).select(F.col("id").alias("_gone")).distinct()
+    return keyed.join(gone, F.col("_text_hash") == F.col("_gone"), "left_anti").drop("_text_hash")
 
 
 def op6_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

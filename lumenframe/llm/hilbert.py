@@ -104,9 +104,12 @@ def shard(
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
+    carry: bool = False,
 ) -> DataFrame:
-    """(id, size, crc, curve, shard, slot) for every row of ``docs``."""
+    """(id, size, crc, curve, shard, slot) for every row of ``docs``; with ``carry`` its columns too, as ``row``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    carried = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    kept = ["row"] if carry else []
     meta = docs.select(
         F.col(id_col).cast("long").alias("id"),
         (F.octet_length(text).cast("long") + 8).alias("size"),
@@ -114,6 +117,7 @@ def shard(
         F.xxhash64(text).alias("same"),
         F.col(lang_col).cast("string").alias("lang"),
         F.col(source_col).cast("string").alias("source"),
+        *carried,
     )
     meta = written(meta, "meta")
     first = meta.groupBy("same", "crc", "size").agg(F.min(F.struct("id", "source", "lang")).alias("f"))
@@ -129,19 +133,22 @@ def shard(
 
     steps = [source.cast("int"), lang.cast("int"), _number_step(by_size, "size"), _number_step(by_id, "first")]
     groups = groups.select("same", "crc", "size", curve(*steps).alias("curve"))
-    rows = meta.select("id", "same", "crc", "size").join(groups, ["same", "crc", "size"])
+    rows = meta.select("id", "same", "crc", "size", *kept).join(groups, ["same", "crc", "size"])
     rows, total = ranked(rows, ["curve", "same", "crc", "size", "id"])
     place = F.expr(f"rank * {shards}L div {max(total, 1)}L")
     start = F.expr(f"(shard * {max(total, 1)}L + {shards - 1}L) div {shards}L")
     return rows.withColumn("shard", place).withColumn("slot", F.col("rank") - start).select(
-        "id", "size", "crc", "curve", F.col("shard").cast("int").alias("shard"), "slot"
+        "id", "size", "crc", "curve", F.col("shard").cast("int").alias("shard"), "slot", *kept
     )
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", **knobs) -> None:
-    """Write ``docs`` as one folder for each shard, rows in the order of the curve."""
-    placed = shard(docs, id_col=id_col, **knobs).select(F.col("id").alias(id_col), "shard", "slot")
-    full = docs.join(placed.dropDuplicates([id_col]), id_col)
+    """Write ``docs`` as one folder for each shard, rows in the order of the curve.
+
+    Every row is written at the place it was counted for, those without an id and repeated ones too.
+    """
+    placed = shard(docs, id_col=id_col, carry=True, **knobs)
+    full = placed.select("row.*", "shard", "slot")
     full.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 

@@ -60,6 +60,13 @@ def test_written_shards_hold_every_row_once(spark, odd_docs, odd_texts, tmp_path
     assert Counter((r["doc_id"], r["text"]) for r in back.collect()) == Counter({(i, t): 1 for i, t in odd_texts if i is not None})
 
 
+def test_written_shards_hold_rows_without_an_id_and_repeated_ones(spark, odd_docs, odd_texts, tmp_path):
+    hilbert.write_shards(odd_docs.drop("shard"), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in back) == Counter(odd_texts)
+    assert len({(r["shard"], r["slot"]) for r in back}) == len(odd_texts)
+
+
 # --- packing -------------------------------------------------------------------------------------
 
 

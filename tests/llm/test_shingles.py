@@ -8,6 +8,8 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 
+from lumenframe.llm import decontaminate
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -57,3 +59,24 @@ def run(spark, rows):
 
 def test_stage_is_brute_force_jaccard(spark, near_copies):
     assert run(spark, near_copies) == kept_by_brute_force(near_copies)
+
+
+def test_rows_are_judged_by_text_not_by_id(spark, near_copies):
+    rng = random.Random(4)
+    other = [" ".join(f"x{rng.randrange(5000)}" for _ in range(50)) for _ in range(6)]
+    rows = [(7, other[0]), (7, other[1]), (7, other[1]), (8, other[1]), (6, other[0]), (None, other[2]), (None, other[3]), (9, other[3])]
+    rows += [(1, other[5])]
+    assert run(spark, rows) == kept_by_brute_force(rows)
+    assert sum(run(spark, [(None, other[4]), (None, other[4] + " more")]).values()) == 1
+
+
+def test_a_contaminated_text_takes_no_other_row_along(spark):
+    item = "which planet of the solar system has the largest number of moons known to us today and why is that"
+    clean = ["the river runs slowly past the old mill at the edge of town", "bread is baked before dawn in the small shop by the bridge"]
+    held = "he asked " + item + " before he left the room"
+    rows = [(None, held), (None, clean[0]), (3, held), (3, clean[1]), (None, None), (4, held)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], SCHEMA)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontaminate.remove(docs, items)
+    assert left.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter([(None, clean[0]), (3, clean[1]), (None, None)])
