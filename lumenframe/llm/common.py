@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,11 +14,14 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session does not name one (unit tests on one machine) a temporary folder is
-    created and set, so that every later call of the session uses the same place.
+    Where a local session does not name one (unit tests on one machine) a temporary folder is
+    created and set, so that every later call of the session uses the same place. On a cluster
+    that would not be shared, so a missing setting is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="lumenframe-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -57,13 +59,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    """``mapInArrow`` with the worker function given as a plain generator."""
-    return df.mapInArrow(fn, schema)
-
-
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as the empty text."""
     return [t if t is not None else "" for t in batch.column(column).to_pylist()]
@@ -80,10 +75,11 @@ def labelled_sample(
 ) -> list[tuple[str, int]]:
     """At most ``per_class`` training texts of each of the two label values, on the driver.
 
-    The bound is on what a classifier is fitted on, nothing else. Rows are chosen by the order
-    of a hash of the id, so the choice is the same whatever the partitioning. Ids labelled more
-    than once, with different values, count once with the largest value. Only the chosen ids
-    (bounded by the parameter) are broadcast; the documents are scanned once and not shuffled.
+    The bound is on what a classifier is fitted on, nothing else. Rows are the first in the order of
+    a hash of id and text, so the choice is the same whatever the partitioning, and equal rows count
+    once. Ids labelled more than once, with different values, count once with the largest value. Only
+    the chosen ids (bounded by the parameter) are broadcast; the documents are scanned once and not
+    shuffled. Where an id has many texts, at most ``per_class`` texts of each value are taken in all.
     """
     marks = (
         labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y"))
@@ -97,14 +93,17 @@ def labelled_sample(
     for value in (0, 1):
         part = marks.where(F.col("_y") == value).orderBy(order, "_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = (
-        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    found = (
+        docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
         .where(F.col("_text").isNotNull())
         .join(F.broadcast(chosen), "_id")
-        .select("_id", "_text", "_y")
-        .collect()
+        .select("_id", "_text", "_y", F.xxhash64("_id", "_text").alias("_h"))
+        .dropDuplicates(["_id", "_text"])
     )
-    rows.sort(key=lambda r: (r["_id"], r["_text"]))
+    found = written(found, "labelled")  # the two ordered limits below send at most the bound each
+    by = {y: found.where(F.col("_y") == y).orderBy("_h", "_id", "_text").limit(per_class).collect() for y in (0, 1)}
+    discard(found)
+    rows = sorted(by[0] + by[1], key=lambda r: (r["_id"], r["_text"]))
     return [(r["_text"], r["_y"]) for r in rows]
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import map_batches, table, texts_of, written
+from lumenframe.llm.common import table, texts_of, written
 
 SIZE, LITERAL = 5, 3
 FILTER_BITS = 23
@@ -147,7 +147,7 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield _emit(b.column("id").to_pylist(), found)
 
     src = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, work, _SCHEMA)
+    return src.mapInArrow(work, _SCHEMA)
 
 
 def hash_filter(items: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -181,7 +181,7 @@ def document_windows(docs: DataFrame, passes: np.ndarray, id_col: str, text_col:
                 yield _emit(b.column("id").to_pylist(), found)
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, work, _SCHEMA)
+    return src.mapInArrow(work, _SCHEMA)
 
 
 def contaminated(

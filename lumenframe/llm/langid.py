@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import fold, map_batches, table, temperature
+from lumenframe.llm.common import fold, table, temperature
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -97,7 +97,7 @@ def document_counts(texts: DataFrame, text_col: str, buckets: int = BUCKETS) ->
         )
 
     src = texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    rows = map_batches(src, work, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).toPandas()
+    rows = src.mapInArrow(work, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(buckets, np.int64)
     total = 0
     for b, n in zip(rows["b"], rows["n"], strict=True):
@@ -220,7 +220,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
             )
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, work, "id long, lang_pred string, score double")
+    return src.mapInArrow(work, "id long, lang_pred string, score double")
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

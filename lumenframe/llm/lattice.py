@@ -1,23 +1,27 @@
 """Embedding near-duplicates by lattice hashing.
 
-Each vector is scaled to unit length, turned by random rotations and cut into 8-dimensional
-blocks; a block is decoded to its nearest point of the E8 lattice. A table's cell is the pair of
-lattice points of two blocks, and there are four tables for each rotation. A vector is entered
-in its own cell of each table and in the ``probes`` neighbouring cells whose walls are closest
-(joint order over both blocks); vectors that meet in a cell are compared by exact cosine.
+Each vector is scaled to unit length and projected at random on 16 directions for each of ``tables``
+tables, whatever its length; the two 8-dimensional halves are decoded to their nearest points of the
+E8 lattice, and the pair of points is the table's cell. A vector is entered in its own cell of each
+table and in the ``probes`` neighbouring cells whose walls are closest (joint order over both
+halves); vectors that meet in a cell are compared by exact cosine.
 
 At the default scale of 4 a pair at cosine 0.93, the loosest link, meets in one of the eight
 tables with a measured chance over 0.999, while two unrelated vectors meet with one of 0.1 %.
 ``scale`` is the knob for size: doubling it makes cells 2^16 times smaller.
 
-Cells that only one vector enters go before any vector is shuffled. A crowded cell is cut into
-tiles by a hash, and pairs of tiles are compared, so no task gets a whole cell. Equal vectors are
-one point with a count, so copies never multiply; links are pairs of different points.
+First only own cells are searched, and what is linked there is joined; then all entered cells that
+still hold vectors of different groups. A search task returns a spanning forest of its links, fewer
+rows than vectors, never its pairs. Links are then counted inside each component, where all of them
+lie: a component is cut into tiles by a hash, each pair of tiles is one block product of a task, and
+a task returns one number for each vector of its block. So no task gets a whole cell or component,
+and no pair is ever a row. Equal vectors are one point with a count.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and
 rows whose label is null, link with nothing and are their own component; vectors of different
-lengths never link; a repeated vec_id is one vector for each of its rows. Null ids have null
-components. Other columns are ignored.
+lengths never link; different vectors with one vec_id are points of their own, each with its own
+links, and share the id in components; a null id has no component and links with nothing. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import map_batches, table, written
-from lumenframe.llm.graph import connected_components
+from lumenframe.llm.common import discard, table, written
+from lumenframe.llm.graph import connected_components, local_roots
 
 
 def _roots() -> np.ndarray:
@@ -89,18 +93,20 @@ def _mix(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
         return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-def cell_keys(unit: np.ndarray, scale: float, rotations: int, probes: int, seed: int) -> np.ndarray:
+def cell_keys(unit: np.ndarray, scale: float, tables: int, probes: int, seed: int) -> np.ndarray:
     """(rows, tables, probes) cell keys; the first of a table is the vector's own cell."""
     n, dim = unit.shape
-    wide = max(16, -(-dim // 16) * 16)
+    wide = max(16, dim)
     x = np.zeros((n, wide))
     x[:, :dim] = unit
     shell = 15
-    out = []
-    for r in range(rotations):
-        turn, _ = np.linalg.qr(np.random.default_rng([seed, r, wide]).standard_normal((wide, wide)))
+    at_once = min(4, wide // 16)  # tables whose directions are orthogonal to each other
+    out: list[np.ndarray] = []
+    while len(out) < tables:
+        r = len(out) // at_once
+        turn, _ = np.linalg.qr(np.random.default_rng([seed, r, wide]).standard_normal((wide, 16 * at_once)))
         y = x @ turn * (scale * np.sqrt(wide / 64))
-        for t in range(wide // 16):
+        for t in range(min(at_once, tables - len(out))):
             (ca, da), (cb, db) = (_cells(y[:, k : k + 8], shell) for k in (16 * t, 16 * t + 8))
             joint = (da[:, :, None] ** 2 + db[:, None, :] ** 2).reshape(n, -1)
             best = np.argsort(joint, axis=1, kind="stable")[:, :probes]
@@ -122,21 +128,14 @@ def _units(vecs: list[np.ndarray]) -> np.ndarray:
 
 
 def points(rows: DataFrame, id_col: str, vec_col: str, label_col: str | None) -> DataFrame:
-    """One row for each distinct comparable vector: node (smallest id), n, label, vec (bytes)."""
+    """One row for each distinct comparable vector: node, id (the smallest), n, label, vec (bytes)."""
     packed = points_of_rows(rows, id_col, vec_col, label_col).where(F.col("vec").isNotNull())
-    return packed.groupBy("label", "vec").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n"))
+    each = packed.groupBy("label", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    return written(each.withColumn("node", F.monotonically_increasing_id()), "points")
 
 
-def links(
-    pts: DataFrame,
-    threshold: float = 0.93,
-    scale: float = 4.0,
-    rotations: int = 2,
-    probes: int = 20,
-    tile: int = 512,
-    seed: int = 8,
-) -> DataFrame:
-    """(a, b), a < b: pairs of points with equal labels and cosine >= threshold that met in a cell."""
+def entries(pts: DataFrame, scale: float, tables: int, probes: int, seed: int) -> DataFrame:
+    """(node, key, own): the cells of every point, own marks the one it lies in."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -147,7 +146,7 @@ def links(
                 rows = np.array([k for k, v in enumerate(vecs) if len(v) == dim])
                 for lo in range(0, len(rows), 1024):
                     part = rows[lo : lo + 1024]
-                    keys = cell_keys(_units([vecs[k] for k in part]), scale, rotations, probes, seed)
+                    keys = cell_keys(_units([vecs[k] for k in part]), scale, tables, probes, seed)
                     own = np.zeros(keys.shape, bool)
                     own[:, :, 0] = True
                     per = keys.shape[1] * keys.shape[2]
@@ -161,58 +160,116 @@ def links(
                         ["node", "key", "own"],
                     )
 
-    entered = written(map_batches(pts.select("node", "label", "vec"), enter, "node long, key long, own boolean"), "cells")
-    crowd = (
-        entered.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if("own").alias("n_own"))
-        .where((F.col("n") > 1) & (F.col("n_own") > 0))
-        .select("key", F.ceil(F.col("n") / F.lit(tile)).cast("int").alias("tiles"))
-    )
-    met = entered.select("node", "key").join(crowd, "key")
-    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    met = met.withColumn("mine", mine).select(
-        "node", "key", "mine", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-    )
-    met = met.select(
-        "node", "key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi")
+    return pts.select("node", "label", "vec").mapInArrow(enter, "node long, key long, own boolean")
+
+
+def _dealt(rows: DataFrame, key: str, size: str, tile: int) -> DataFrame:
+    """``rows`` with ``mine`` and one copy for each pair of tiles (lo, hi) of its group that it is in."""
+    tiles = F.ceil(F.col(size) / F.lit(tile)).cast("int")
+    mine = rows.withColumn("tiles", tiles).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    each = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    each = each.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
+    return each.drop("tiles", "other", size)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], names: list[str], least: int) -> Iterator[list[tuple]]:
+    """Rows (in the order of ``names``, which end in key, lo, hi) of whole blocks, small ones together."""
+    held: list[tuple] = []
+    last = None
+    for b in batches:
+        for row in zip(*(b.column(k).to_pylist() for k in names), strict=True):
+            if len(held) >= least and row[-3:] != last:
+                yield held
+                held = []
+            held.append(row)
+            last = row[-3:]
+    if held:
+        yield held
+
+
+def _adjacent(rows: list[tuple], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, adjacency) for each vector length among rows (node, label, vec, ...)."""
+    vecs = [np.frombuffer(r[2], dtype="<f8") for r in rows]
+    label = np.unique([r[1] for r in rows], return_inverse=True)[1]
+    dims = np.array([len(v) for v in vecs])
+    for dim in np.unique(dims):
+        at = np.flatnonzero(dims == dim)
+        u = _units([vecs[k] for k in at])
+        yield at, (u @ u.T >= threshold) & (label[at][:, None] == label[at][None, :])
+
+
+def _forest(met: DataFrame, pts: DataFrame, threshold: float, tile: int) -> DataFrame:
+    """(u, v): links that join what the links among the rows (node, key, n) of one cell join."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, ["node", "label", "vec", "key", "lo", "hi"], 256):
+            rows = list({r[0]: r for r in rows}.values())
+            node = np.array([r[0] for r in rows], dtype=np.int64)
+            for at, near in _adjacent(rows, threshold):
+                root = local_roots(len(at), *np.nonzero(np.triu(near, 1)))
+                off = root != np.arange(len(at))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[at[off]], pa.int64()), pa.array(node[at[root[off]]], pa.int64())], ["u", "v"]
+                )
+
+    full = _dealt(met, "key", "n", tile).join(pts.select("node", "label", "vec"), "node")
+    dealt = full.select("node", "label", "vec", "key", "lo", "hi").repartition("key", "lo", "hi")
+    return dealt.sortWithinPartitions("key", "lo", "hi").mapInArrow(search, "u long, v long")
+
+
+def components(
+    pts: DataFrame,
+    threshold: float = 0.93,
+    scale: float = 4.0,
+    tables: int = 8,
+    probes: int = 20,
+    tile: int = 512,
+    seed: int = 8,
+) -> DataFrame:
+    """(node, root) of the points that are linked with another point."""
+    entered = written(entries(pts, scale, tables, probes, seed), "cells")
+    own = entered.where("own").select("node", "key")
+    shared = own.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    first = written(_forest(own.join(shared, "key"), pts, threshold, tile), "links")
+    roots = written(connected_components(first), "roots")
+    now = entered.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = now.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.max("own").alias("lived"), F.min("root").alias("a"), F.max("root").alias("b")
     )
-    full = met.join(pts.select("node", "label", "vec"), "node")
+    open_ = open_.where(F.col("lived") & (F.col("a") < F.col("b"))).select("key", "n")
+    second = written(_forest(entered.select("node", "key").join(open_, "key"), pts, threshold, tile), "links")
+    discard(entered)
+    out = connected_components(second.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+    for old in (first, second):
+        discard(old)
+    return out
+
+
+def count_links(pts: DataFrame, roots: DataFrame, threshold: float = 0.93, tile: int = 512) -> DataFrame:
+    """(node, around): how many vectors, copies counted, are linked with a point of a component."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, ["node", "label", "vec", "n", "mine", "key", "lo", "hi"], 256):
+            node = np.array([r[0] for r in rows], dtype=np.int64)
+            copies, mine = (np.array([r[k] for r in rows], dtype=np.int64) for k in (3, 4))
+            block = np.unique([r[5:] for r in rows], axis=0, return_inverse=True)[1].reshape(-1)
+            across = np.array([r[6] != r[7] for r in rows])
+            for at, near in _adjacent(rows, threshold):
+                near &= block[at][:, None] == block[at][None, :]
+                near &= ~across[at][:, None] | (mine[at][:, None] != mine[at][None, :])
+                np.fill_diagonal(near, False)
+                around = near.astype(np.float64) @ copies[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[at], pa.int64()), pa.array(around.astype(np.int64), pa.int64())], ["node", "around"]
+                )
+
+    sizes = roots.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("size"))  # the root itself has no row
+    members = roots.union(sizes.select(F.col("root").alias("node"), "root")).join(sizes, "root")
+    members = members.select("node", F.col("root").alias("key"), "size")
+    full = _dealt(members, "key", "size", tile).join(pts.select("node", "label", "vec", "n"), "node")
     dealt = full.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-
-    def compare(rows: list[tuple]) -> pa.RecordBatch:
-        once = {r[0]: r for r in rows}
-        node = np.array(sorted(once), dtype=np.int64)
-        label = np.unique([once[k][1] for k in node.tolist()], return_inverse=True)[1]
-        vecs = [np.frombuffer(once[k][2], dtype="<f8") for k in node.tolist()]
-        a_all, b_all = [], []
-        dims = np.array([len(v) for v in vecs])
-        for dim in np.unique(dims):
-            at = np.flatnonzero(dims == dim)
-            u = _units([vecs[k] for k in at])
-            a, b = np.nonzero(np.triu(u @ u.T >= threshold, 1))
-            a, b = at[a], at[b]
-            same = label[a] == label[b]
-            a_all.append(node[a[same]])
-            b_all.append(node[b[same]])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x), pa.int64()) for x in (a_all, b_all)], ["a", "b"]
-        )
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        last = None
-        for b in batches:
-            cols = [b.column(k).to_pylist() for k in ("node", "label", "vec", "key", "lo", "hi")]
-            for row in zip(*cols, strict=True):
-                if len(held) >= 256 and row[3:] != last:
-                    yield compare(held)
-                    held = []
-                held.append(row[:3])
-                last = row[3:]
-        if held:
-            yield compare(held)
-
-    return map_batches(dealt, verify, "a long, b long").distinct()
+    found = dealt.select("node", "label", "vec", "n", "mine", "key", "lo", "hi").mapInArrow(count, "node long, around long")
+    return found.groupBy("node").agg(F.sum("around").alias("around"))
 
 
 def hash_label(label: str) -> int:
@@ -227,29 +284,19 @@ def near_duplicates(
     vec_col: str = "embedding",
     label_col: str | None = "label",
     threshold: float = 0.93,
+    tile: int = 512,
     **knobs,
 ) -> DataFrame:
     """(id, n_links, component) for every row: vectors linked directly, smallest id reachable."""
-    pts = written(points(rows, id_col, vec_col, label_col), "points")
-    pairs = written(links(pts, threshold, **knobs), "pairs")
-    roots = connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    each = pairs.select(F.col("a").alias("node"), F.col("b").alias("to")).union(
-        pairs.select(F.col("b").alias("node"), F.col("a").alias("to"))
-    )
-    others = (
-        each.join(pts.select(F.col("node").alias("to"), "n"), "to")
-        .groupBy("node")
-        .agg(F.sum("n").alias("around"))
-    )
+    pts = points(rows, id_col, vec_col, label_col)
+    roots = written(components(pts, threshold, tile=tile, **knobs), "roots")
+    around = count_links(pts, roots, threshold, tile)
+    grouped = pts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = grouped.groupBy("root").agg(F.min("id").alias("component"))
     named = (
-        pts.join(others, "node", "left")
-        .join(roots, "node", "left")
-        .select(
-            "label",
-            "vec",
-            (F.col("n") - 1 + F.coalesce("around", F.lit(0))).alias("links"),
-            F.coalesce("root", "node").alias("component"),
-        )
+        grouped.join(around, "node", "left")
+        .join(smallest, "root")
+        .select("label", "vec", (F.col("n") - 1 + F.coalesce("around", F.lit(0))).alias("links"), "component")
     )
     members = points_of_rows(rows, id_col, vec_col, label_col).join(named, ["label", "vec"], "left")
     return members.select(
@@ -279,7 +326,7 @@ def points_of_rows(rows: DataFrame, id_col: str, vec_col: str, label_col: str |
         (F.col(label_col).cast("string") if label_col else F.lit("")).alias("label"),
         F.col(vec_col).cast("array<double>").alias("v"),
     )
-    return map_batches(src, pack, "id long, label string, vec binary")
+    return src.mapInArrow(pack, "id long, label string, vec binary")
 
 
 def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import map_batches, table, texts_of, written
+from lumenframe.llm.common import table, texts_of, written
 from lumenframe.llm.tokens import default_path, encoder
 
 
@@ -71,8 +71,8 @@ def pieces(docs: DataFrame, path: str, size: int = 1024, close: int = 0, id_col:
                 )
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(
-        src, work, "id long, start long, length long, doc_tokens long, crc long, task long, at long, ids binary"
+    return src.mapInArrow(
+        work, "id long, start long, length long, doc_tokens long, crc long, task long, at long, ids binary"
     )
 
 
@@ -158,7 +158,7 @@ def pack(docs: DataFrame, path: str | None = None, size: int = 1024, **knobs) ->
     light = cut.drop("ids").join(base, ["length", "task"])
     light = light.select(*names, (F.col("at") + F.col("base")).alias("rank"))
     schema = ", ".join(f"{c} long" for c in [*names, "sequence_id", "offset"])
-    return Packed(map_batches(light, place, schema), cut)
+    return Packed(light.mapInArrow(place, schema), cut)
 
 
 def sequences(packed: Packed) -> DataFrame:

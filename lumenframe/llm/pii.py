@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import map_batches, table, texts_of
+from lumenframe.llm.common import table, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = (
@@ -470,7 +470,7 @@ def spans_of(docs: DataFrame, net: Tagger | None, id_col: str = "doc_id", text_c
 
     kind = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, work, f"id long, base {kind}, spans {kind}")
+    return src.mapInArrow(work, f"id long, base {kind}, spans {kind}")
 
 
 def masked(docs: DataFrame, net: Tagger | None, text_col: str = "text") -> DataFrame:
@@ -492,7 +492,7 @@ def masked(docs: DataFrame, net: Tagger | None, text_col: str = "text") -> DataF
             cols[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
 
-    return map_batches(docs, work, ", ".join(fields))
+    return docs.mapInArrow(work, ", ".join(fields))
 
 
 def mask(text: str, spans: list[tuple[int, int, int]]) -> str:

@@ -31,7 +31,6 @@ from lumenframe.llm.common import (
     class_log_odds,
     fold,
     labelled_sample,
-    map_batches,
     table,
     temperature,
     texts_of,
@@ -115,7 +114,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     src = docs.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
     schema = "b long, " + ", ".join(f"c{d} long" for d in range(DIM))
-    sums = map_batches(src, work, schema).groupBy("b").agg(*[F.sum(f"c{d}").alias(f"c{d}") for d in range(DIM)])
+    sums = src.mapInArrow(work, schema).groupBy("b").agg(*[F.sum(f"c{d}").alias(f"c{d}") for d in range(DIM)])
     rows = sums.toPandas()  # BUCKETS rows at most
     out = np.zeros((BUCKETS, DIM), np.float32)
     if len(rows):
@@ -226,7 +225,7 @@ def score(docs: DataFrame, net: Network | None, odds: float, id_col: str = "doc_
                 )
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, work, "id long, score double")
+    return src.mapInArrow(work, "id long, score double")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

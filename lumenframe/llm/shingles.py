@@ -1,17 +1,10 @@
-"""Near-copies by the exact similarity of word shingles.
+"""Shingles of words: their hashes, sets, dealing keys, and the exact similarity of two sets.
 
 A text is the set of its shingles of five words (ASCII lower case, split at ASCII white space; fewer
-words: one shingle). Two texts are linked if the Jaccard similarity of their sets is 0.8 or more.
-Candidates share one of ``BANDS`` keys made of ``ROWS`` minima each, so a pair at 0.8 is a candidate
-with a chance of 1 - (1 - 0.8^4)^24, over 0.99999; every candidate is compared set by set, so
-nothing under 0.8 is linked.
+words: one shingle). Texts whose sets are at a Jaccard similarity of 0.8 share one of ``BANDS`` keys made
+of ``ROWS`` minima each with a chance of 1 - (1 - 0.8^4)^24, over 0.99999.
 
-Not all pairs of a bucket are compared: first each member with one of its bucket, in rounds, as long
-as that joins groups of many pairs; then the pairs of members that are still in different groups.
-
-Defined results: null text is the empty text, texts without words are equal; rows are told apart by
-id and text together, so different texts under one id are judged each by itself, and rows without
-an id by their text; of each group the row with the smallest id stays, a null id being the largest.
+Null text is the empty text; texts without words have equal sets.
 """
 
 from __future__ import annotations
@@ -24,16 +17,32 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import discard, map_batches, texts_of, written
-from lumenframe.llm.graph import connected_components
-from lumenframe.llm.simhash import shingle_hashes
+from lumenframe.llm.common import texts_of
 
 WORDS, BANDS, ROWS = 5, 24, 4
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RNG = np.random.default_rng(8)
 _MULT = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MASK = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 
 
+def shingle_hashes(text: str, words: int, seed: int = 42) -> list[int]:
+    """Hashes of all shingles of a text; fewer words than a shingle: one of all words."""
+    parts = text.encode("utf-8").translate(_LOWER).split()
+    joined = b" ".join(parts)
+    if len(parts) < words:
+        return [xxhash.xxh64_intdigest(joined, seed)]
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    end = np.cumsum(size + 1) - 1
+    start = end - size
+    digest = xxhash.xxh64_intdigest
+    last = len(parts) - words + 1
+    return [
+        digest(joined[s:e], seed)
+        for s, e in zip(start[:last].tolist(), end[words - 1 :].tolist(), strict=True)
+    ]
+
+
 def shingles(text: str) -> np.ndarray:
     """The distinct shingles of a text as hashes (uint64), in order."""
     return np.unique(np.array(shingle_hashes(text, WORDS), dtype=np.uint64))
@@ -51,128 +60,45 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     return key ^ (key >> np.uint64(32))
 
 
-def _row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("same")
 
 
-def _node(found: np.ndarray) -> int:
+def set_node(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes())
 
 
-def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, same, node, n, bands) for every row: hash of the text and of its set, its size and keys."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            node, size, bands = [], [], []
-            for t in texts_of(b):
-                found = shingles(t)
-                node.append(_node(found))
-                size.append(len(found))
-                bands.append(band_keys(found))
-            keys = np.concatenate(bands).view(np.int64) if bands else np.zeros(0, np.int64)
-            starts = pa.array(np.arange(0, len(keys) + 1, BANDS), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column("id"),
-                    b.column("same"),
-                    pa.array(np.array(node, np.uint64).view(np.int64), pa.int64()),
-                    pa.array(size, pa.int64()),
-                    pa.ListArray.from_arrays(starts, pa.array(keys, pa.int64())),
-                ],
-                ["id", "same", "node", "n", "bands"],
-            )
-
-    src = docs.select(*_row_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, work, "id long, same long, node long, n long, bands array<long>")
-
-
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, items): the sets of the rows named in ``wanted`` (id, same)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingles(t) for t in texts_of(b)]
-            node = np.array([_node(f) for f in found], np.uint64).view(np.int64)
+            node = np.array([set_node(f) for f in found], np.uint64).view(np.int64)
             items = pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), items], ["node", "items"])
 
-    rows = docs.select(*_row_key(id_col, text_col), F.col(text_col).cast("string").alias("text")).alias("d")
+    rows = docs.select(*row_key(id_col, text_col), F.col(text_col).cast("string").alias("text")).alias("d")
     w = wanted.alias("w")
     same = (F.col("d.same") == F.col("w.same")) & F.col("d.id").eqNullSafe(F.col("w.id"))
     picked = rows.join(w, same, "left_semi").select("text")
-    return map_batches(picked, work, "node long, items array<long>").dropDuplicates(["node"])
+    return picked.mapInArrow(work, "node long, items array<long>").dropDuplicates(["node"])
 
 
-def _alike(a: Column, b: Column) -> Column:
+def alike(a: Column, b: Column) -> Column:
     """Whether sizes let two sets be at 0.8."""
     return F.least(a, b) * 5 >= F.greatest(a, b) * 4
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are at a Jaccard similarity of 0.8 or more."""
-    a = sets.select(F.col("node").alias("u"), F.col("items").alias("a"))
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v, t) whose sets are at a Jaccard similarity of 0.8 or more, as (u, v).
+
+    ``t`` says in how many tasks the pairs of one u may be spread; its set is sent to each of them.
+    """
+    spread = pairs.groupBy("u").agg(F.max("t").alias("t")).select("u", F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("s"))
+    a = sets.select(F.col("node").alias("u"), F.col("items").alias("a")).join(spread, "u")
     b = sets.select(F.col("node").alias("v"), F.col("items").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    met = pairs.join(a, "u").join(b, "v")
+    met = pairs.select("u", "v", F.pmod(F.xxhash64("v"), F.col("t")).cast("int").alias("s")).join(b, "v").join(a, ["u", "s"])
     return met.where(both * 9 >= (F.size("a") + F.size("b")) * 4).select("u", "v")
-
-
-def groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 5, pairs_a_row: int = 8
-) -> tuple[DataFrame, DataFrame]:
-    """(id, same, node, n, bands) of every row, and (node, root) of the sets that have a near-copy."""
-    rows = written(prints(docs, id_col, text_col), "prints")
-    first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "same", "n", "bands")).alias("f")
-    points = written(rows.groupBy("node").agg(first).select("node", "f.id", "f.same", "f.n", "f.bands"), "points")
-    dealt = points.select("node", "n", F.explode("bands").alias("key"))
-    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1).select("key")
-    buckets = written(dealt.join(shared, "key"), "buckets")
-    met = buckets.select("node").distinct()
-    sets = written(_sets(docs, points.join(met, "node", "left_semi").select("id", "same"), id_col, text_col), "sets")
-    edges, roots = None, None
-    for k in range(rounds + 1):
-        now = buckets if roots is None else buckets.join(roots, "node", "left")
-        root = F.col("node") if roots is None else F.coalesce("root", "node")
-        now = now.select("key", "node", "n", root.alias("root"))
-        parts = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-        open_ = parts.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
-        open_ = open_.where(F.col("m") * F.col("m") > F.col("mm"))
-        now = written(now.join(open_.select("key"), "key"), "open")
-        left = open_.agg(F.sum("m").alias("m"), F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("p")).first()
-        if not left["m"]:
-            break
-        last = k == rounds or left["p"] <= pairs_a_row * left["m"]
-        other = now.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
-        if not last:  # one of each bucket against the rest
-            pick = F.min_by(F.struct("node2", "n2", "root2"), F.xxhash64("node2", F.lit(k))).alias("p")
-            other = other.groupBy("key").agg(pick).select("key", "p.*")
-        pairs = now.join(other, "key").where((F.col("root") != F.col("root2")) & _alike(F.col("n"), F.col("n2")))
-        ends = (F.col("node2"), F.col("node")) if not last else (F.least("node", "node2"), F.greatest("node", "node2"))
-        if last:
-            pairs = pairs.where(F.col("node") < F.col("node2"))
-        pairs = pairs.select(ends[0].alias("u"), ends[1].alias("v")).distinct()
-        good = written(_verified(pairs, sets), "links")
-        edges = good if edges is None else edges.union(good)
-        roots = written(connected_components(edges), "roots")
-        discard(now)
-        if last:
-            break
-    if roots is None:
-        roots = points.select("node", F.col("node").alias("root")).limit(0)
-    discard(sets)
-    return rows, roots
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near-copies: of each group the row with the smallest id stays."""
-    rows, roots = groups(docs, id_col, text_col)
-    named = rows.select("id", "same", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "same")).alias("f")
-    kept = named.groupBy("root").agg(first).select(F.col("f.id").alias("_id"), F.col("f.same").alias("_same"))
-    key, same = _row_key(id_col, text_col)
-    marked = docs.withColumn("_text_hash", same)
-    found = (F.col("_text_hash") == F.col("_same")) & F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-    left = marked.join(kept, found, "left_semi")
-    return left.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")

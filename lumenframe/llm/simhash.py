@@ -1,5 +1,8 @@
 """SimHash near-duplicates by bit-sliced comparison.
 
+Two operators share the comparison: ``near_duplicates`` links fingerprints at a small radius,
+``near_copies`` links texts by the similarity of their shingles of five words.
+
 ``fingerprints`` gives each text its 64-bit fingerprint, ``link`` groups fingerprints at a small
 Hamming distance. Bit planes of a block of fingerprints are stored vertically (one machine word
 holds one bit of 64 fingerprints); carry-save counters add the differing bits of 64 distances at
@@ -14,7 +17,8 @@ one piece. Only a spanning forest of each block leaves the task, never its pairs
 
 Defined results: null text is the empty text; no words: fingerprint zero, linked like any other;
 rows whose id is null keep a fingerprint and have a null component; repeated rows with one id
-come out as often as they came in. Other columns of the input are ignored.
+come out as often as they came in, each linked by its own text. Other columns of the input are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,42 +27,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import discard, map_batches, table, texts_of, written
+from lumenframe.llm.common import discard, table, texts_of, written
 from lumenframe.llm.graph import connected_components, local_roots
+from lumenframe.llm.shingles import BANDS, alike, band_keys, row_key, set_node, sets_of, shingle_hashes, shingles, verified
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def shingle_hashes(text: str, words: int, seed: int = 42) -> list[int]:
-    """Hashes of all shingles of a text; fewer words than a shingle: one of all words."""
-    parts = text.encode("utf-8").translate(_LOWER).split()
-    joined = b" ".join(parts)
-    if len(parts) < words:
-        return [xxhash.xxh64_intdigest(joined, seed)]
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
-    end = np.cumsum(size + 1) - 1
-    start = end - size
-    digest = xxhash.xxh64_intdigest
-    last = len(parts) - words + 1
-    return [
-        digest(joined[s:e], seed)
-        for s, e in zip(start[:last].tolist(), end[words - 1 :].tolist(), strict=True)
-    ]
+def majority_bits(hashes: list[int] | np.ndarray) -> int:
+    """64 bits, each 1 if over half the hashes have it."""
+    bits = np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8)).reshape(-1, 64)
+    over = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
+    return int.from_bytes(np.packbits(over).tobytes(), "big")
 
 
 def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
     """64-bit fingerprint of one text, as an unsigned integer."""
     if not text.encode("utf-8").split():
         return 0
-    hashes = shingle_hashes(text, words, seed)
-    bits = np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8)).reshape(-1, 64)
-    over = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-    return int.from_bytes(np.packbits(over).tobytes(), "big")
+    return majority_bits(shingle_hashes(text, words, seed))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -72,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             )
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_batches(src, work, "id long, fp long")
+    return src.mapInArrow(work, "id long, fp long")
 
 
 class _Counter:
@@ -238,7 +228,7 @@ def _block_edges(sized: DataFrame, radius: int, block: int) -> DataFrame:
             yield flush()
 
     dealt = sized.select("node", "fp", "mask", "key").repartition("mask", "key").sortWithinPartitions("mask", "key")
-    return map_batches(dealt, work, "u long, v long")
+    return dealt.mapInArrow(work, "u long, v long")
 
 
 def near_duplicates(
@@ -246,29 +236,184 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, fp, component): for every row the smallest id reachable by links, itself included."""
     prints = written(fingerprints(docs, id_col, text_col, words), "prints")
-    points = written(
-        prints.where(F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("node")), "points"
-    )
-    roots = connected_components(link(points, radius))
-    named = points.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component"))
-    out = prints.join(named, "fp", "left")
+    named = prints.where(F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("id"))
+    points = written(named.withColumn("node", F.col("fp")), "points")  # a fingerprint is its own node
+    roots = connected_components(link(points.select("node", "fp"), radius))
+    grouped = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = grouped.groupBy("root").agg(F.min("id").alias("component"))
+    out = prints.join(grouped.join(smallest, "root").select("fp", "component"), "fp", "left")
     return out.select(
         F.col("id"), "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component")
     )
 
 
+# --- near-copies at a similarity of 0.8 ------------------------------------------------------------
+
+
+def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, same, node, n, fp, bands) for every row: hashes of the text and of its set of shingles, the
+    size and the fingerprint of the set, and the keys of the blocks it is compared in."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingles(t) for t in texts_of(b)]
+            node, fps = (np.array([f(x) for x in found], np.uint64).view(np.int64) for f in (set_node, majority_bits))
+            keys = np.concatenate([band_keys(x) for x in found]).view(np.int64) if found else np.zeros(0, np.int64)
+            starts = pa.array(np.arange(0, len(keys) + 1, BANDS), pa.int32())
+            sizes = pa.array([len(x) for x in found], pa.int64())
+            bands = pa.ListArray.from_arrays(starts, pa.array(keys, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), b.column("same"), pa.array(node, pa.int64()), sizes, pa.array(fps, pa.int64()), bands],
+                ["id", "same", "node", "n", "fp", "bands"],
+            )
+
+    src = docs.select(*row_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    return src.mapInArrow(work, "id long, same long, node long, n long, fp long, bands array<long>")
+
+
+def closest_forest(comp: np.ndarray, a: np.ndarray, b: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) join the groups ``comp``, the closest pair of each group first."""
+    chosen = [np.zeros(0, np.int64)]
+    at = np.arange(len(a))
+    while True:
+        at = at[comp[a[at]] != comp[b[at]]]
+        if not len(at):
+            return np.concatenate(chosen)
+        ca, cb = comp[a[at]], comp[b[at]]
+        order = (far[at].astype(np.int64) << 40) + at
+        best = np.full(len(comp), np.iinfo(np.int64).max)
+        np.minimum.at(best, ca, order)
+        np.minimum.at(best, cb, order)
+        pick = np.unique(best[best < np.iinfo(np.int64).max]) & ((1 << 40) - 1)
+        chosen.append(pick)
+        comp = local_roots(len(comp), comp[a[pick]], comp[b[pick]])[comp]
+
+
+def _candidates(rows: DataFrame, radius: int, block: int, forest_only: bool) -> DataFrame:
+    """(u, v): points of one block (key, lo, hi) but of different roots, at distance <= radius.
+
+    ``forest_only``: of the pairs only the closest ones that would join all their groups.
+    """
+    names = ["key", "lo", "hi", "mine", "node", "root", "n", "fp"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size, last = 0, None
+
+        def flush() -> pa.RecordBatch:
+            key, lo, hi, mine, node, root, n, fp = np.concatenate(held, axis=1)
+            a, b, far = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+            fps = fp.copy().view(np.uint64)
+            for x, y in sliced_pairs(fps, radius):
+                ok = (key[x] == key[y]) & (lo[x] == lo[y]) & (hi[x] == hi[y]) & (root[x] != root[y])
+                ok &= (lo[x] == hi[x]) | (mine[x] != mine[y])
+                ok &= np.minimum(n[x], n[y]) * 5 >= np.maximum(n[x], n[y]) * 4
+                a.append(x[ok])
+                b.append(y[ok])
+                far.append(np.bitwise_count(fps[x[ok]] ^ fps[y[ok]]))
+            x, y, d = map(np.concatenate, (a, b, far))
+            if forest_only:
+                pick = closest_forest(np.unique(root, return_inverse=True)[1], x, y, d)
+                x, y = x[pick], y[pick]
+            ends = (np.minimum(node[x], node[y]), np.maximum(node[x], node[y]))
+            return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], ["u", "v"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in names])
+            cut = np.flatnonzero((np.diff(cols[:3], axis=1) != 0).any(axis=0)) + 1
+            edge = [0, *cut.tolist(), cols.shape[1]]
+            same = last is not None and np.array_equal(last, cols[:3, 0])
+            for k, (lo, hi) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+                if size >= block // 2 and not (k == 0 and same):
+                    yield flush()
+                    held, size = [], 0
+                held.append(cols[:, lo:hi])
+                size += hi - lo
+            last = cols[:3, -1]
+        if held:
+            yield flush()
+
+    dealt = rows.select(*names).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return dealt.mapInArrow(work, "u long, v long")
+
+
+def near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 24, block: int = 1024
+) -> tuple[DataFrame, DataFrame]:
+    """(id, same, node, n, fp, bands) of every row, and (node, root) of the sets that have a near-copy.
+
+    Two texts are linked if the Jaccard similarity of their sets of five-word shingles is 0.8 or
+    more. Blocks of fingerprints are dealt by keys made of minima of the sets, as no cut of 64 bits can
+    deal at a radius as wide as 0.8 needs: fingerprints of such a pair differ in 10 bits on average, with a
+    spread of 3, and are compared up to ``radius``. What the comparison finds is verified by the sets,
+    so nothing under 0.8 is linked; a pair at 0.8 is found with a computed chance over 0.9999.
+
+    Three steps, each on the blocks that still hold different groups: the closest pairs that would join a
+    block (as many as it has groups, less one); one point of each block against the rest; all pairs of
+    different groups. A block over ``block`` points is cut into tiles by a hash: the first step stays inside
+    the tiles, the last takes each pair of tiles.
+    """
+    rows = written(_prints(docs, id_col, text_col), "prints")
+    first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "same", "n", "fp", "bands")).alias("f")
+    points = written(rows.groupBy("node").agg(first).select("node", "f.id", "f.same", "f.n", "f.fp", "f.bands"), "points")
+    dealt = points.select("node", "n", "fp", F.explode("bands").alias("key"))
+    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
+    buckets = written(dealt.join(shared, "key"), "buckets")
+    met = points.join(buckets.select("node").distinct(), "node", "left_semi").select("id", "same")
+    sets = written(sets_of(docs, met, id_col, text_col), "sets")
+    discard(points)
+    roots = buckets.select("node", F.col("node").alias("root")).limit(0)
+    for step in ("closest", "one", "all"):
+        now = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        parts = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+        now = written(now.join(parts.where(F.col("a") < F.col("b")).select("key"), "key"), "open")
+        if now.isEmpty():
+            discard(now)
+            break
+        tiles = F.ceil(F.col("m") / F.lit(block)).cast("int")
+        now = now.withColumn("tiles", tiles).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        if step == "closest":
+            pairs = _candidates(now.withColumn("lo", F.col("mine")).withColumn("hi", F.col("mine")), radius, block, True)
+            pairs = pairs.withColumn("t", F.lit(1))
+        elif step == "one":
+            pick = F.min_by(F.struct("node", "n", "fp", "root"), F.xxhash64("node")).alias("p")
+            near = F.bit_count(F.col("fp").bitwiseXOR(F.col("p.fp"))) <= radius
+            met = now.join(now.groupBy("key").agg(pick), "key")
+            met = met.where((F.col("root") != F.col("p.root")) & alike(F.col("n"), F.col("p.n")) & near)
+            pairs = met.select(F.col("p.node").alias("u"), F.col("node").alias("v"), F.col("tiles").alias("t"))
+        else:
+            other = now.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            ends = (F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+            pairs = _candidates(other.select("*", *ends), radius, block, False).withColumn("t", F.lit(1))
+        pairs = pairs.groupBy("u", "v").agg(F.max("t").alias("t"))
+        links = written(verified(pairs, sets), "links")
+        stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        roots = written(connected_components(links.union(stars)), "roots")
+        for old in (now, links):
+            discard(old)
+    discard(buckets)
+    discard(sets)
+    return rows, roots
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near-duplicates: of each group the one with the smallest id stays.
+    """The documents without near-copies: of each group the row with the smallest id stays.
 
-    Rows without an id can't be named in a group and stay; repeated rows of the kept id are one.
+    Rows are told apart by id and text together, so different texts under one id are judged each by
+    itself and rows without an id by their text; a null id counts as the largest; of equal rows one
+    stays. Null text is the empty text; texts without words are near-copies of each other.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where(F.col("id").isNotNull() & (F.col("id") != F.col("component"))).select(
-        F.col("id").alias(id_col)
-    )
-    left = docs.join(gone.distinct(), id_col, "left_anti")
-    named = left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(left.where(F.col(id_col).isNull()))
+    rows, roots = near_copies(docs, id_col, text_col)
+    named = rows.select("id", "same", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "same")).alias("f")
+    kept = named.groupBy("root").agg(first).select(F.col("f.id").alias("_kept_id"), F.col("f.same").alias("_kept_text"))
+    key, same = row_key(id_col, text_col)
+    marked = docs.withColumn("_text_hash", same).withColumn("_row_id", key)
+    found = (F.col("_text_hash") == F.col("_kept_text")) & F.col("_row_id").eqNullSafe(F.col("_kept_id"))
+    left = marked.join(kept, found, "left_semi")
+    return left.dropDuplicates(["_row_id", "_text_hash"]).drop("_text_hash", "_row_id")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

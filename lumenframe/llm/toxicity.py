@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import class_log_odds, fold, labelled_sample, map_batches, table, texts_of
+from lumenframe.llm.common import class_log_odds, fold, labelled_sample, table, texts_of
 
 DECAY, SPAN, TABLE_BITS = 0.6, 6, 20
 _GAPS = [(a, b, c) for a, b, c in itertools.combinations(range(1, SPAN), 3)]
@@ -325,7 +325,7 @@ def score(docs: DataFrame, model: Model | None, odds: float, id_col: str = "doc_
                 )
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, work, "id long, score double, margin double, worst string")
+    return src.mapInArrow(work, "id long, score double, margin double, worst string")
 
 
 def keep_clean(docs: DataFrame, model: Model | None, odds: float, text_col: str = "text", limit: float = 0.5) -> DataFrame:
@@ -343,7 +343,7 @@ def keep_clean(docs: DataFrame, model: Model | None, odds: float, text_col: str
             yield b.filter(pa.array(keep, pa.bool_()))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return map_batches(docs, work, fields)
+    return docs.mapInArrow(work, fields)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from test_shingles import kept_by_brute_force
 
 from lumenframe.llm import graph, lattice, simhash
 
@@ -152,5 +153,55 @@ def test_simhash_on_odd_rows(spark, odd_docs, odd_texts, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     kept = simhash.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
-    ids = Counter(r["doc_id"] for r in kept.collect())
-    assert ids == Counter([i for i, r in root.items() if i == r] + [None, None])
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == kept_by_brute_force(odd_texts)
+    assert simhash.keep_one(no_docs).count() == 0
+
+
+def test_different_texts_under_one_id_keep_their_links(spark):
+    base = " ".join(f"w{k}" for k in range(300))
+    other = " ".join(f"x{k}" for k in range(300))
+    rows = [(2, base), (1, base + " end"), (3, other + " end"), (2, other), (2, other), (9, "alone here now")]
+    df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, node string")
+    got = {(r["id"], r["fp"]): r["component"] for r in simhash.near_duplicates(df).collect()}
+    fp = {t: plain_fingerprint(t) for _, t in rows}
+    near = lambda a, b: (fp[a] ^ fp[b]).bit_count() <= 2
+    for i, t in rows:
+        reach = {t}
+        while more := {u for _, u in rows if u not in reach and any(near(u, r) for r in reach)}:
+            reach |= more
+        f = fp[t] - (1 << 64) if fp[t] >> 63 else fp[t]
+        assert got[(i, f)] == min(j for j, u in rows if u in reach)
+
+
+def test_different_vectors_under_one_id_keep_their_links(spark):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=64), rng.normal(size=64)
+    rows = [(1, a), (1, b), (2, a + 0.01), (3, b + 0.01), (None, a)]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = Counter((r["id"], r["n_links"], r["component"]) for r in lattice.near_duplicates(df).collect())
+    assert got == Counter([(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (None, 0, None)])
+
+
+@pytest.mark.parametrize("dim", [8, 20, 768])
+def test_lattice_recall_at_other_lengths(dim):
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(400, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=(400, dim))
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    y = 0.93 * x + np.sqrt(1 - 0.93**2) * y
+    k, m = (lattice.cell_keys(v, 4.0, 8, 20, 8) for v in (x, y))
+    assert k.shape[1:] == (8, 20)
+    met = [(np.isin(k[r], m[r])).any() for r in range(len(x))]
+    assert np.mean(met) > 0.99
+
+
+@pytest.mark.parametrize("block", [1 << 20, 7])
+def test_components_in_small_blocks(spark, block):
+    rng = random.Random(5)
+    edges = [(k, k + 1) for k in range(40)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(50)]
+    df = spark.createDataFrame(edges, "u long, v long").repartition(5)
+    got = {r["node"]: r["root"] for r in graph.connected_components(df, block=block).collect()}
+    want = components({n for e in edges for n in e}, edges)
+    assert {n: got.get(n, n) for n in want} == want
