@@ -1,22 +1,24 @@
 """Personal data: fixed patterns, and a character BiLSTM with a CRF for what they miss.
 
 Base spans come from four patterns. The network adds spans of the same kinds in other spellings
-(phone numbers without a plus, addresses with ``(at)`` ...). It reads one of about 40 character
-classes at each place in both directions, and a conditional random field scores the tags (outside,
-or beginning or inside of a kind); both are trained in numpy from labelled spans: base spans of a
-bounded sample of documents, and spans written into clean passages of that sample, next to
-look-alikes that are none (versions, secrets, years, prices). What it adds must pass the checks of
-its kind (Luhn, parts up to 255, 9 to 15 digits) on its digits.
-
-No span can be without a digit, an ``@`` or a bracketed ``at``; a span that is, is not reported. So
-only the surroundings of such characters are read by the network, which changes no result but what
-lies further than ``REACH`` from any of them. Each stretch is covered by overlapping windows; the
-windows' tag scores are averaged, weighted to their middles, and one Viterbi run over the whole
-stretch makes the spans, so a span over a window's edge is found once and whole.
+(phone numbers without a plus, addresses with ``(at)`` or `` at ... dot `` ...). It reads the whole text,
+one of about 90 character classes at each place in both directions, and a conditional random field
+scores the tags (outside, or beginning or inside of a kind); both are trained in numpy from labelled
+spans: base spans of a bounded sample of documents, and spans written into clean passages of that
+sample, next to look-alikes that are none (versions, secrets, years, prices). What it adds must pass
+the checks of its kind (Luhn, parts up to 255, 9 to 15 digits; an address has a sign for "at").
+
+Texts are covered by overlapping windows; the windows' tag scores are averaged, weighted to their
+middles, and one Viterbi run over the whole text makes the spans, so a span over a window's edge is
+found once and whole. The run skips places that no span of the best path can cover: those through
+which no stretch of places gains on tags outside, whatever the transitions (``_alive``), which changes
+no result. A span ends where its first and
+last words end (``_settled``).
 
 Defined results: null text is the empty text and has no spans; spans are in code points with the
 end exclusive; overlapping base spans of different kinds all stay; a network span that touches a
-base span is dropped; repeated rows come out as often as they came in.
+base span is dropped; repeated rows come out as often as they came in. Time and memory are linear
+in the length of a text.
 """
 
 from __future__ import annotations
@@ -33,14 +35,22 @@ from pyspark.sql import functions as F
 from lumenframe.llm.common import table, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
-PATTERNS = (
-    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
-    re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"),
-    re.compile(r"[0-9](?:[\x20-]?[0-9])+"),
-    re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
-)
-WINDOW, STRIDE, REACH = 96, 48, 48
-_TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+#: The patterns of numbers. A run of digits is tried from its beginning only, as no match can begin inside one.
+PATTERNS = {
+    1: re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
+    2: re.compile(r"[0-9](?:[\x20-]?[0-9])++"),
+    3: re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+WINDOW, STRIDE = 256, 224
+#: Added to the scores of an address's tags: its checks drop what is found too much.
+LEAN = 0.7
+_BRACKETED = r"[\[({<]\s*at\s*[\])}>]"
+#: Signs for "at", and what may follow one: labels joined by dots or spelled-out dots.
+_AT = re.compile(rf"\s*(?:@|{_BRACKETED})\s*|\sat\s", re.IGNORECASE)
+_HOST = re.compile(r"[a-z0-9-]++(?:(?:\.|\s?[\[({<]dot[\])}>]\s?|\sdot\s)[a-z0-9-]++)*", re.IGNORECASE)
+_CLEAN = re.compile(rf"[0-9@]|{_BRACKETED}", re.IGNORECASE)
 _SIGNS = "@._%+-()/:,;!?\"'#&*=[]{}<>|~^$"
 TAGS = 1 + 2 * len(KINDS)
 
@@ -64,25 +74,58 @@ def _passes(kind: int, match: str) -> bool:
     return 12 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 9 <= len(digits) <= 15
 
 
-def _plausible(kind: int, span: str) -> bool:
-    """The checks of the patterns, for spans with any signs between the digits."""
+def _settled(text: str, kind: int, a: int, e: int) -> tuple[int, int] | None:
+    """The span with whole words at its ends, or None if it can't be of its kind.
+
+    An address has a sign for "at" and reaches over the words on both sides of it; a bare "at" needs a
+    dot after it. Of numbers the digits must pass the checks of the patterns, whatever signs are between.
+    """
     if kind == 0:
-        return True
-    parts = re.findall(r"[0-9]+", span)
+        sign = _AT.search(text, a, min(e + 1, len(text)))
+        host = _HOST.match(text, sign.end()) if sign else None
+        if not host or (sign.group().strip().isalpha() and host.group().isalnum()):
+            return None
+        start = sign.start()
+        while start > 0 and text[start - 1] in _LOCAL:
+            start -= 1
+        return (start, host.end()) if start < sign.start() else None
+    while a > 0 and text[a].isalnum() and text[a - 1].isalnum():
+        a -= 1
+    while e < len(text) and text[e].isalnum() and text[e - 1].isalnum():
+        e += 1
+    while a < e and not (text[a].isalnum() or text[a] in "+("):
+        a += 1
+    while e > a and not text[e - 1].isalnum():
+        e -= 1
+    parts = re.findall(r"[0-9]+", text[a:e])
     if kind == 1:
-        return len(parts) == 4 and _passes(1, ".".join(parts))
-    return _passes(kind, "".join(parts))
+        return (a, e) if len(parts) == 4 and _passes(1, ".".join(parts)) else None
+    return (a, e) if _passes(kind, "".join(parts)) else None
+
+
+def emails(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the addresses, leftmost first: one look to the left and right of each @."""
+    out, done, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        found = _DOMAIN.match(text, at + 1) if start < at else None
+        done = at + 1
+        if found:
+            done = found.end()
+            out.append((start, done))
+        at = text.find("@", done)
+    return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the patterns' matches that pass, sorted."""
-    out = []
-    if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in PATTERNS[0].finditer(text)]
+    out = [(start, 0, end) for start, end in emails(text)]
     if _ANY_DIGIT.search(text):
-        for kind in (1, 2, 3):
+        for kind, pattern in PATTERNS.items():
             if kind != 3 or "+" in text:
-                out += [(m.start(), kind, m.end()) for m in PATTERNS[kind].finditer(text) if _passes(kind, m.group())]
+                out += [(m.start(), kind, m.end()) for m in pattern.finditer(text) if _passes(kind, m.group())]
     return sorted(out)
 
 
@@ -90,36 +133,50 @@ _ANY_DIGIT = re.compile(r"[0-9]")
 
 
 def _class_table() -> np.ndarray:
-    out = np.full(128, 7, np.int64)  # other
+    out = np.full(128, 3, np.int64)  # other
     for c in range(128):
         ch = chr(c)
-        if ch.islower():
+        if ch.isdigit():
             out[c] = 1
-        elif ch.isupper():
-            out[c] = 2
-        elif ch.isdigit():
-            out[c] = 4
         elif ch == " ":
-            out[c] = 5
+            out[c] = 2
         elif ch in "\t\n\r\x0b\x0c":
-            out[c] = 6
+            out[c] = 4
         elif ch in _SIGNS:
-            out[c] = 8 + _SIGNS.index(ch)
+            out[c] = 6 + _SIGNS.index(ch)
+        elif ch.islower():
+            out[c] = 6 + len(_SIGNS) + ord(ch) - ord("a")
+        elif ch.isupper():
+            out[c] = 6 + len(_SIGNS) + 26 + ord(ch) - ord("A")
     return out
 
 
 _CLASS = _class_table()
-CLASSES = 8 + len(_SIGNS)
+CLASSES = 6 + len(_SIGNS) + 52
 
 
 def classes_of(text: str) -> np.ndarray:
-    """Character class of each place; 0 is padding, 3 any character beyond ASCII."""
+    """Character class of each place: 0 is padding, 5 any character beyond ASCII; letters and signs have their own."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    return np.where(c < 128, _CLASS[np.minimum(c, 127)], 3)
+    return np.where(c < 128, _CLASS[np.minimum(c, 127)], 5).astype(np.int8)
+
 
+def _act(x: np.ndarray) -> np.ndarray:
+    """The curve of all gates and cells, from -1 to 1 like tanh, at a quarter of its cost."""
+    return x / np.sqrt(1 + x * x)
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+
+def _slope(x: np.ndarray) -> np.ndarray:
+    """The derivative of ``_act``."""
+    return (1 + x * x) ** -1.5
+
+
+def _act_inplace(x: np.ndarray, room: np.ndarray) -> None:
+    """``_act`` written over x, with an array of its shape as room."""
+    np.multiply(x, x, out=room)
+    room += 1
+    np.sqrt(room, out=room)
+    x /= room
 
 
 @dataclass
@@ -144,13 +201,13 @@ class Tagger:
         trace = []
         for k in range(t):
             z = np.stack([self.wx[0][both[0, :, k]], self.wx[1][both[1, :, k]]]) + hid @ self.wh
-            gate = _sigmoid(z[..., : 3 * h])
+            gate = 0.5 * _act(0.5 * z[..., : 3 * h]) + 0.5
             i, f, o = gate[..., :h], gate[..., h : 2 * h], gate[..., 2 * h :]
-            g = np.tanh(z[..., 3 * h :])
+            g = _act(z[..., 3 * h :])
             new = f * cell + i * g
-            tc = np.tanh(new)
+            tc = _act(new)
             if keep:
-                trace.append((hid, cell, i, f, o, g, tc))
+                trace.append((hid, cell, z, i, f, o, g, new, tc))
             cell, hid = new, o * tc
             outs[:, :, k] = hid
         outs[1] = outs[1, :, ::-1]
@@ -168,21 +225,23 @@ class Tagger:
         flat = ds.reshape(n * t, -1)
         dwo = np.stack([outs[d].reshape(n * t, h).T @ flat for d in (0, 1)])
         dout = np.stack([ds @ self.wo[0].T, (ds @ self.wo[1].T)[:, ::-1]])
-        dwx, dwh = np.zeros_like(self.wx), np.zeros_like(self.wh)
+        dwh = np.zeros_like(self.wh)
+        dzs = np.empty((2, t, n, 4 * h), np.float32)
         dh, dc = np.zeros((2, n, h), np.float32), np.zeros((2, n, h), np.float32)
         back = np.swapaxes(self.wh, 1, 2)
         for k in range(t - 1, -1, -1):
-            hid, cell, i, f, o, g, tc = trace[k]
+            hid, cell, z, i, f, o, g, new, tc = trace[k]
             dh = dh + dout[:, :, k]
-            dcell = dc + dh * o * (1 - tc * tc)
-            dz = np.concatenate(
-                [dcell * g * i * (1 - i), dcell * cell * f * (1 - f), dh * tc * o * (1 - o), dcell * i * (1 - g * g)], axis=-1
-            )
-            for d in (0, 1):
-                np.add.at(dwx[d], both[d, :, k], dz[d])
+            dcell = dc + dh * o * _slope(new)
+            dz = np.concatenate([dcell * g, dcell * cell, dh * tc, dcell * i], axis=-1)
+            dz[..., : 3 * h] *= 0.25 * _slope(0.5 * z[..., : 3 * h])
+            dz[..., 3 * h :] *= _slope(z[..., 3 * h :])
+            dzs[:, k] = dz
             dwh += np.swapaxes(hid, 1, 2) @ dz
             dh = dz @ back
             dc = dcell * f
+        held = (both.swapaxes(1, 2).reshape(2, 1, n * t) == np.arange(len(self.wx[0]))[:, None]).astype(np.float32)
+        dwx = held @ dzs.reshape(2, n * t, 4 * h)
         return loss, [dwx, dwh, dwo, dbo, dtr.astype(np.float32), dfirst.astype(np.float32)]
 
 
@@ -215,82 +274,182 @@ def crf_loss(s: np.ndarray, tags: np.ndarray, tr: np.ndarray, first: np.ndarray)
     return float((z - gold).mean()), ds / n, dtr / n, dfirst / n
 
 
-def viterbi(stretches: list[np.ndarray], tr: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Best tags of each stretch of tag scores, many stretches at a time, longest together."""
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(stretches)
-    order = sorted(range(len(stretches)), key=lambda k: len(stretches[k]))
-    for lo in range(0, len(order), 256):
-        part = order[lo : lo + 256]
-        size = np.array([len(stretches[k]) for k in part])
-        wide = int(size.max())
-        s = np.zeros((len(part), wide, TAGS))
-        for r, k in enumerate(part):
-            s[r, : size[r]] = stretches[k]
-        best = first + s[:, 0]
-        came = np.zeros((len(part), wide, TAGS), np.int8)
-        for j in range(1, wide):
-            step = best[:, :, None] + tr
-            came[:, j] = step.argmax(axis=1)
-            go = step.max(axis=1) + s[:, j]
-            best = np.where((j < size)[:, None], go, best)
-        for r, k in enumerate(part):
-            tag = int(best[r].argmax())
-            tags = np.empty(size[r], np.int64)
-            for j in range(size[r] - 1, -1, -1):
-                tags[j] = tag
-                tag = int(came[r, j, tag])
-            out[k] = tags
-    return out
+def _outputs(net: Tagger, c: np.ndarray) -> np.ndarray:
+    """What ``net.run`` returns, as (places, tags, windows): windows run along memory, nothing is kept,
+    and the halves in the gates are taken once for a cell and a state."""
+    n, t = c.shape
+    h = net.wh.shape[1]
+    half = np.concatenate([np.full(3 * h, 0.5), np.ones(h)]).astype(np.float32)
+    wx = (net.wx * half).astype(np.float32)
+    wh = np.ascontiguousarray((net.wh * half * 0.5).astype(np.float32).swapaxes(1, 2))
+    wo = np.ascontiguousarray((net.wo * 0.5).astype(np.float32).swapaxes(1, 2))
+    hid, cell, room = (np.zeros((2, h, n), np.float32) for _ in range(3))
+    z, wide = (np.empty((2, 4 * h, n), np.float32) for _ in range(2))
+    scores = np.zeros((t, TAGS, n), np.float32)
+    for k in range(t):
+        np.matmul(wh, hid, out=z)
+        z[0] += wx[0][c[:, k]].T
+        z[1] += wx[1][c[:, t - 1 - k]].T
+        _act_inplace(z, wide)
+        z[:, : 3 * h] += 1
+        cell *= z[:, h : 2 * h]
+        z[:, :h] *= z[:, 3 * h :]
+        cell += z[:, :h]
+        cell *= 0.5
+        np.copyto(hid, cell)
+        _act_inplace(hid, room)
+        hid *= z[:, 2 * h : 3 * h]  # twice the state
+        scores[k] += wo[0] @ hid[0]
+        scores[t - 1 - k] += wo[1] @ hid[1]
+    scores += net.bo.astype(np.float32)[:, None]
+    return scores
+
+
+def _alive(s: np.ndarray, tr: np.ndarray) -> np.ndarray:
+    """The places that a span of the best path may cover.
+
+    A stretch of places inside spans replaces tags outside; each of its places gains at most the best
+    of its scores with the best transition into that tag, less those of outside, and its end the best
+    transition out. Sums of the gains, with their least and greatest values so far, bound the best
+    stretch through every place.
+    """
+    into, out = tr.max(axis=0) - tr[0, 0], max(0.0, float((tr[:, 0] - tr[0, 0]).max()))
+    best = s[:, 1] + into[1]
+    for k in range(2, TAGS):
+        np.maximum(best, s[:, k] + into[k], out=best)
+    x = (best - s[:, 0]).astype(np.float64)
+    total = np.concatenate([[0.0], np.cumsum(x)])
+    left = total[1:] - np.minimum.accumulate(total)[:-1]
+    right = np.maximum.accumulate(total[::-1])[::-1][1:] - total[:-1]
+    return left + right - x > -out - 1e-6
+
+
+def _best_tags(s: np.ndarray, size: np.ndarray, tr: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Best tags (rows, places) of padded scores (places, tags, rows), given scores of the tags before and
+    after each row (tags, rows). Only sums are kept on the way; the way back finds where they came from."""
+    wide, _, rows = s.shape
+    sums = np.empty_like(s)
+    sums[0] = before + s[0]
+    into = np.ascontiguousarray(tr.T)[:, :, None]
+    room = np.empty((TAGS, TAGS, rows), s.dtype)
+    for j in range(1, wide):
+        np.add(into, sums[j - 1], out=room)
+        np.maximum.reduce(room, axis=1, out=sums[j])
+        sums[j] += s[j]
+    row = np.arange(rows)
+    tag = (sums[size - 1, :, row].T + after).argmax(axis=0)
+    tags = np.zeros((rows, wide), np.int8)
+    for j in range(wide - 1, -1, -1):
+        on = j < size
+        tags[on, j] = tag[on]
+        if j:
+            tag = np.where(on, (sums[j - 1] + into[tag, :, 0].T).argmax(axis=0), tag)
+    return tags
+
+
+def _long_run(s: np.ndarray, tr: np.ndarray, chunk: int = 1024) -> np.ndarray:
+    """Best tags of one long run between places outside: scores from each tag to each tag over a chunk,
+    for all chunks at once; the best tags at the chunks' ends; then the tags inside all chunks at once."""
+    n = -(-len(s) // chunk)
+    size = np.full(n, chunk)
+    size[-1] = len(s) - (n - 1) * chunk
+    padded = np.zeros((n, chunk, TAGS), np.float32)
+    padded.reshape(n * chunk, TAGS)[: len(s)] = s
+    whole = np.ascontiguousarray((np.broadcast_to(tr, (n, TAGS, TAGS)) + padded[:, :1]).transpose(2, 1, 0))  # to, from, chunk
+    into = np.ascontiguousarray(tr.T)
+    for j in range(1, chunk):
+        step = np.stack([(into[k][:, None, None] + whole).max(axis=0) for k in range(TAGS)]) + padded[:, j].T[:, None]
+        if j >= size[-1]:
+            step[..., -1] = whole[..., -1]
+        whole = step
+    best, came = np.where(np.arange(TAGS) == 0, 0.0, -np.inf), []
+    for m in whole.transpose(2, 1, 0):
+        step = best[:, None] + m
+        came.append(step.argmax(axis=0))
+        best = step.max(axis=0)
+    end = int((best + tr[:, 0]).argmax())
+    ends = [end]
+    for c in reversed(came):
+        ends.append(int(c[ends[-1]]))
+    ends = np.array(ends[::-1])  # before the first chunk, then at the end of each
+    after = np.where(np.arange(TAGS)[:, None] == ends[1:], 0.0, -np.inf)
+    return _best_tags(np.ascontiguousarray(padded.transpose(1, 2, 0)), size, tr, tr[ends[:-1]].T, after).reshape(-1)[: len(s)]
+
+
+def viterbi(s: np.ndarray, open_: np.ndarray, tr: np.ndarray, cells: int = 1 << 17, long: int = 4096) -> np.ndarray:
+    """Best tags of a row of scores whose places that are not ``open_`` are outside."""
+    tags = np.zeros(len(s), np.int8)
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], open_, [False]]).astype(np.int8)))
+    lo, hi = edge[::2], edge[1::2]
+    length = hi - lo
+    order = np.argsort(length, kind="stable")
+    order, far = order[length[order] <= long], order[length[order] > long]
+    for k in far:
+        tags[lo[k] : hi[k]] = _long_run(s[lo[k] : hi[k]], tr)
+    step = np.ceil(np.log2(np.maximum(length[order], 4)))  # rows of nearly equal length together
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(step)) + 1, [len(order)]])
+    parts = [
+        order[at : min(at + max(1, cells >> int(step[first])), last)]
+        for first, last in zip(cuts[:-1], cuts[1:], strict=True)
+        if last > first
+        for at in range(first, last, max(1, cells >> int(step[first])))
+    ]
+    for part in parts:
+        size = hi[part] - lo[part]
+        place = lo[part][:, None] + np.arange(int(size.max()))
+        inside = place < hi[part][:, None]
+        held = np.ascontiguousarray(s[np.where(inside, place, 0)].transpose(1, 2, 0))
+        found = _best_tags(held, size, tr, tr[0][:, None], tr[:, :1])
+        tags[place[inside]] = found[inside]
+    return tags
 
 
-def _stretches(text: str) -> list[tuple[int, int]]:
-    """Merged surroundings of all trigger characters."""
-    out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        lo, hi = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if out and lo <= out[-1][1]:
-            out[-1][1] = hi
-        else:
-            out.append([lo, hi])
-    return [(a, b) for a, b in out]
+_MIDDLE = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0).astype(np.float32)
 
 
-_MIDDLE = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0).astype(np.float32)
+def tag_scores(texts: list[str], net: Tagger, batch: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Tag scores (places, tags) of the texts, one text after the other, and where each text starts.
+
+    A pad after each text gets the scores of a place outside.
+    """
+    size = np.array([len(t) for t in texts], np.int64)
+    start = np.concatenate([[0], np.cumsum(size + WINDOW)])
+    c = np.zeros(start[-1], np.int8)
+    windows = []
+    for t, lo, n in zip(texts, start, size, strict=False):
+        c[lo : lo + n] = classes_of(t)
+        windows.append(np.arange(lo, lo + max(1, n - (WINDOW - STRIDE)), STRIDE) if n else np.zeros(0, np.int64))
+    at = np.concatenate(windows) if windows else np.zeros(0, np.int64)
+    sums, weight = np.zeros((TAGS, start[-1]), np.float32), np.zeros(start[-1], np.float32)
+    for lo in range(0, len(at), batch):
+        place = np.arange(WINDOW)[:, None] + at[lo : lo + batch]
+        scores = _outputs(net, c[place.T])
+        scores *= _MIDDLE[:, None, None]
+        for part in (slice(0, STRIDE), slice(STRIDE, WINDOW)):  # places of one part never meet
+            weight[place[part]] += _MIDDLE[part, None]
+            for k in range(TAGS):
+                sums[k][place[part]] += scores[part, k]
+    sums /= np.maximum(weight, 1e-9)
+    void = c == 0
+    sums[1:, void] = -1e4
+    sums[0, void] = 0
+    return sums.T, start
 
 
 def network_spans(texts: list[str], net: Tagger) -> list[list[tuple[int, int, int]]]:
-    """(start, kind, end) that the network finds in each text."""
-    where = [(k, a, b) for k, t in enumerate(texts) for a, b in _stretches(t)]
-    windows, owner = [], []
-    for r, (k, a, b) in enumerate(where):
-        c = classes_of(texts[k][a:b])
-        for s in range(0, max(1, len(c) - STRIDE), STRIDE):
-            w = np.zeros(WINDOW, np.int64)
-            part = c[s : s + WINDOW]
-            w[: len(part)] = part
-            windows.append(w)
-            owner.append((r, s, len(part)))
-    sums = [np.zeros((b - a, TAGS), np.float32) for _, a, b in where]
-    weights = [np.zeros((b - a, 1), np.float32) for _, a, b in where]
-    for lo in range(0, len(windows), 1024):
-        scores = net.run(np.array(windows[lo : lo + 1024]))
-        for (r, s, n), sc in zip(owner[lo : lo + 1024], scores, strict=True):
-            sums[r][s : s + n] += sc[:n] * _MIDDLE[:n, None]
-            weights[r][s : s + n] += _MIDDLE[:n, None]
-    tags = viterbi([x / w for x, w in zip(sums, weights, strict=True)], net.tr, net.first)
+    """(start, kind, end) that the network finds in each text, whole words, passing the checks."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for (k, a, _), seq in zip(where, tags, strict=True):
-        j = 0
-        while j < len(seq):
-            if seq[j]:
-                kind, end = (int(seq[j]) - 1) // 2, j + 1
-                while end < len(seq) and seq[end] == 2 + 2 * kind:
-                    end += 1
-                if _TRIGGER.search(texts[k], a + j, a + end) and _plausible(kind, texts[k][a + j : a + end]):
-                    out[k].append((a + j, kind, a + end))
-                j = end
-            else:
-                j += 1
+    s, start = tag_scores(texts, net)
+    s[:, 1:3] += LEAN
+    tags = viterbi(s, _alive(s, net.tr), net.tr)
+    begin = np.flatnonzero(tags % 2 == 1)
+    stop = np.flatnonzero((tags != 0) & ((np.append(tags[1:], 0) % 2 == 1) | (np.append(tags[1:], 0) == 0))) + 1
+    owner = np.searchsorted(start, begin, side="right") - 1
+    for a, e, k in zip(begin.tolist(), stop.tolist(), owner.tolist(), strict=True):
+        low, kind = int(start[k]), (int(tags[a]) - 1) // 2
+        span = _settled(texts[k], kind, a - low, e - low)
+        if span and span[0] >= (out[k][-1][2] if out[k] else 0):
+            out[k].append((span[0], kind, span[1]))
     return out
 
 
@@ -313,20 +472,31 @@ def find(texts: list[str], net: Tagger | None) -> list[tuple[list, list]]:
 
 # --- training ------------------------------------------------------------------------------------
 
+TRAIN_WINDOW = 72
+
 
 def _made(rng: np.random.Generator) -> tuple[str, int]:
     """A piece of text and its kind, -1 for a look-alike that is no personal data."""
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
-    w = lambda lo=3, hi=9: "".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(lo, hi)))
-    host = f"{w()}.{rng.choice(['com', 'org', 'net', 'de', 'co.uk', 'example.com'])}"
+    letters = list("abcdefghijklmnopqrstuvwxyz" + "aeiounrst" * 2)
+    w = lambda lo=3, hi=9: "".join(rng.choice(letters, rng.integers(lo, hi)))
+    ends = lambda: rng.choice(["com", "org", "net", "de", "co.uk", "info"])
+    host = f"{w()}{rng.choice(['', '-' + w(), '.' + w()])}.{ends()}"
+    sep = lambda: str(rng.choice(["{}", " {} ", " {}", "{} "])).format(
+        str(rng.choice(["({})", "[{}]", "{{{}}}", "<{}>", "( {} )", "[ {} ]"])).format(rng.choice(["at", "AT", "At"]))
+    )
     digits = d(15)
     check = next(c for c in "0123456789" if luhn(digits + c))
     card = digits + check
     hexa = "".join(rng.choice(list("0123456789abcdef"), rng.integers(16, 40)))
     forms = [
         (lambda: f"{w()}.{d(2)}@{host}", 0),
-        (lambda: f"{w()} (at) {host}", 0),
-        (lambda: f"{w()}[at]{host}", 0),
+        (lambda: f"{w()}{sep()}{host}", 0),
+        (lambda: f"{w()}{rng.choice(['.', '_', '-'])}{w()}{sep()}{host}", 0),
+        (lambda: f"{w()}{d(2)}{sep()}{w()}{rng.choice([' dot ', ' DOT ', '[dot]', ' (dot) '])}{ends()}", 0),
+        (lambda: f"{w()} at {w()} dot {ends()}", 0),
+        (lambda: f"{w()} at the {w()}, {w()}", -1),
+        (lambda: f"{w()} {rng.choice(['(', '[', '{'])}{w(2, 5)}{rng.choice([')', ']', '}'])} {w()}", -1),
         (lambda: f"{w()}_{w()}@{w()}", 0),
         (lambda: ".".join(str(x) for x in rng.integers(1, 256, 4)), 1),
         (lambda: " . ".join(str(x) for x in rng.integers(1, 256, 4)), 1),
@@ -349,27 +519,28 @@ def _made(rng: np.random.Generator) -> tuple[str, int]:
         (lambda: f"@{w()}", -1),
         (lambda: f"20{d(2)}-{rng.integers(10, 13)}-{rng.integers(10, 29)}", -1),
     ]
-    make, kind = forms[rng.integers(0, len(forms))]
+    spelled = (1, 2, 3, 4, 5)  # the forms that vary most are drawn more often
+    make, kind = forms[rng.choice(spelled) if rng.random() < 0.4 else rng.integers(0, len(forms))]
     return make(), kind
 
 
 def training_windows(texts: list[str], size: int = 1200, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Windows of character classes and their tags: pieces written into passages, and found ones."""
     rng = np.random.default_rng(seed)
-    clean = [t for t in texts if len(t) >= 80 and not _TRIGGER.search(t)] or ["lorem ipsum dolor sit amet " * 8]
+    clean = [t for t in texts if len(t) >= 80 and not _CLEAN.search(t)] or ["lorem ipsum dolor sit amet " * 8]
     rows: list[tuple[str, list[tuple[int, int, int]]]] = []
     for t in texts:
         for start, kind, end in base_spans(t)[:4]:
-            lo = max(0, start - int(rng.integers(0, WINDOW // 2)))
-            cut = t[lo : lo + WINDOW]
+            lo = max(0, start - int(rng.integers(0, TRAIN_WINDOW // 2)))
+            cut = t[lo : lo + TRAIN_WINDOW]
             spans = [s for s in base_spans(cut) if _passes(s[1], cut[s[0] : s[2]])]
             if (start - lo, kind, end - lo) in spans and len({s[0] for s in spans}) == len(spans):
                 rows.append((cut, spans))
     rows = rows[: size // 4]
     while len(rows) < size:
         base = clean[rng.integers(0, len(clean))]
-        lo = int(rng.integers(0, max(1, len(base) - WINDOW)))
-        text, spans = base[lo : lo + WINDOW], []
+        lo = int(rng.integers(0, max(1, len(base) - TRAIN_WINDOW)))
+        text, spans = base[lo : lo + TRAIN_WINDOW], []
         for _ in range(int(rng.integers(0, 3))):
             piece, kind = _made(rng)
             gaps = [k for k in range(len(text)) if text[k] == " " and not any(a - 2 <= k <= b + 1 for a, _, b in spans)]
@@ -382,13 +553,13 @@ def training_windows(texts: list[str], size: int = 1200, seed: int = 7) -> tuple
             spans = [(a + moved, k, b + moved) if a >= at else (a, k, b) for a, k, b in spans]
             if kind >= 0:
                 spans.append((at, kind, at + len(piece)))
-        shift = int(rng.integers(0, max(1, len(text) - WINDOW + 1)))
-        text, spans = text[shift : shift + WINDOW], [(a - shift, k, b - shift) for a, k, b in spans]
-        rows.append((text, [(a, k, b) for a, k, b in spans if a >= 0 and b <= WINDOW]) if all(
-            b <= 0 or a >= WINDOW or (a >= 0 and b <= WINDOW) for a, _, b in spans) else (text, _clip(spans)))
-    x, y = np.zeros((len(rows), WINDOW), np.int64), np.zeros((len(rows), WINDOW), np.int64)
+        shift = int(rng.integers(0, max(1, len(text) - TRAIN_WINDOW + 1)))
+        text, spans = text[shift : shift + TRAIN_WINDOW], [(a - shift, k, b - shift) for a, k, b in spans]
+        rows.append((text, [(a, k, b) for a, k, b in spans if a >= 0 and b <= TRAIN_WINDOW]) if all(
+            b <= 0 or a >= TRAIN_WINDOW or (a >= 0 and b <= TRAIN_WINDOW) for a, _, b in spans) else (text, _clip(spans)))
+    x, y = np.zeros((len(rows), TRAIN_WINDOW), np.int64), np.zeros((len(rows), TRAIN_WINDOW), np.int64)
     for r, (text, spans) in enumerate(rows):
-        c = classes_of(text[:WINDOW])
+        c = classes_of(text[:TRAIN_WINDOW])
         x[r, : len(c)] = c
         for a, kind, b in spans:
             y[r, a:b] = 2 + 2 * kind
@@ -397,28 +568,30 @@ def training_windows(texts: list[str], size: int = 1200, seed: int = 7) -> tuple
 
 
 def _clip(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    return [(max(a, 0), k, min(b, WINDOW)) for a, k, b in spans if b > 0 and a < WINDOW]
+    return [(max(a, 0), k, min(b, TRAIN_WINDOW)) for a, k, b in spans if b > 0 and a < TRAIN_WINDOW]
 
 
-def fit(texts: list[str], hidden: int = 16, epochs: int = 9, size: int = 1200, seed: int = 7) -> Tagger:
+def fit(texts: list[str], hidden: int = 10, epochs: int = 10, size: int = 4000, batch: int = 128, seed: int = 7) -> Tagger:
     """Train on spans of and in the given texts, by Adam."""
     x, y = training_windows(texts, size, seed)
     rng = np.random.default_rng(seed)
     r = lambda *s: (rng.standard_normal(s) * 0.2).astype(np.float32)
     net = Tagger(r(2, CLASSES, 4 * hidden), r(2, hidden, 4 * hidden), r(2, hidden, TAGS), r(TAGS), r(TAGS, TAGS), r(TAGS))
+    for first in (CLASSES - 52, CLASSES - 26):  # letters start alike
+        net.wx[:, first : first + 26] = net.wx[:, first : first + 1] + 0.2 * net.wx[:, first : first + 26]
     net.wx[:, :, hidden : 2 * hidden] += 1.0  # forget gates start open
     p = [net.wx, net.wh, net.wo, net.bo, net.tr, net.first]
     m, v, step = [np.zeros_like(q) for q in p], [np.zeros_like(q) for q in p], 0
-    total = epochs * -(-len(x) // 64)
+    total = epochs * -(-len(x) // batch)
     for _ in range(epochs):
         order = rng.permutation(len(x))
-        for lo in range(0, len(x), 64):
-            k = order[lo : lo + 64]
+        for lo in range(0, len(x), batch):
+            k = order[lo : lo + batch]
             _, grads = net.gradients(x[k], y[k])
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
             clip = min(1.0, 5.0 / max(norm, 1e-9))
             step += 1
-            rate = 0.02 * (1 - step / (total + 1)) + 0.0005
+            rate = 0.03 * (1 - step / (total + 1)) + 0.0005
             for q, g, a, b in zip(p, grads, m, v, strict=True):
                 g = g * clip
                 a += 0.1 * (g - a)
@@ -434,23 +607,35 @@ def fit(texts: list[str], hidden: int = 16, epochs: int = 9, size: int = 1200, s
 
 def train(docs: DataFrame, sample: int = 600, id_col: str = "doc_id", text_col: str = "text") -> Tagger:
     """Fit on passages of at most ``sample`` documents, the first in the order of a hash of id and text;
-    half of them are documents with base spans. One count, then only rows under a hash limit (about
-    twice the sample, whatever the number of documents or tasks) reach the driver."""
-    src = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
-    marked = F.col("t").rlike(r"@|[0-9]{2}")
-    src = src.select("i", "t", marked.alias("m"), F.pmod(F.xxhash64("i", "t"), F.lit(1 << 40)).alias("h"))
+    half of them are documents with base spans. One count and one read: only rows under a hash limit
+    (about twice the sample, whatever the number of documents) are grouped by that hash, so that repeated
+    rows count once, and an ordered limit sends the first of them to the driver."""
+    src = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
+    src = src.where(F.col("t").isNotNull()).withColumn("m", F.col("t").rlike(r"@|[0-9]{2}"))
+    src = src.withColumn("h", F.pmod(F.xxhash64("i", "t"), F.lit(1 << 40)))
     n = {r["m"]: r["n"] for r in src.groupBy("m").agg(F.count(F.lit(1)).alias("n")).collect()}
     half = sample // 2
+    limit = {m: int(min(1.0, (2.0 * half + 40) / n.get(m, 1)) * (1 << 40)) for m in (True, False)}
+    drawn = src.where(F.col("h") <= F.when(F.col("m"), F.lit(limit[True])).otherwise(F.lit(limit[False])))
+    rows = drawn.groupBy("m", "h").agg(F.min("t").alias("t")).orderBy("h").limit(8 * half + 400).collect()
     texts = []
     for which in (True, False):
-        if n.get(which):
-            limit = int(min(1.0, (2.0 * half + 40) / n[which]) * (1 << 40))
-            rows = src.where((F.col("m") == which) & (F.col("h") <= limit)).limit(8 * half + 400).collect()
-            rows.sort(key=lambda r: (r["h"], r["i"] is None, r["i"] or 0, r["t"]))
-            texts += [r["t"] for r in rows[:half]]
+        texts += [r["t"] for r in rows if r["m"] == which][:half]
     return fit(texts)
 
 
+def _parts(texts: list[str], most: int = 1 << 18) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of at most ``most`` characters in all, or one longer text, with the place of the first."""
+    lo, size = 0, 0
+    for k, t in enumerate(texts):
+        if k > lo and size + len(t) + WINDOW > most:
+            yield lo, texts[lo:k]
+            lo, size = k, 0
+        size += len(t) + WINDOW
+    if lo < len(texts):
+        yield lo, texts[lo:]
+
+
 def spans_of(docs: DataFrame, net: Tagger | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, base, spans): arrays of (kind, start, end, text) for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand numbers
@@ -458,9 +643,7 @@ def spans_of(docs: DataFrame, net: Tagger | None, id_col: str = "doc_id", text_c
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = texts_of(b)
-            for lo in range(0, len(texts), 512):
-                part = texts[lo : lo + 512]
+            for lo, part in _parts(texts_of(b)):
                 found = find(part, shared.value)
                 cols = [
                     pa.array([[(KINDS[k], a, e, t[a:e]) for a, k, e in f[w]] for t, f in zip(part, found, strict=True)], item)
@@ -483,8 +666,7 @@ def masked(docs: DataFrame, net: Tagger | None, text_col: str = "text") -> DataF
             at = b.schema.get_field_index(text_col)
             texts = b.column(at).to_pylist()
             out = list(texts)
-            for lo in range(0, len(texts), 512):
-                part = [t or "" for t in texts[lo : lo + 512]]
+            for lo, part in _parts([t or "" for t in texts]):
                 for k, (_, spans) in enumerate(find(part, shared.value)):
                     if spans:
                         out[lo + k] = mask(part[k], spans)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import time
 from pathlib import Path
 
 import numpy as np
@@ -247,7 +248,7 @@ def test_network_gradient():
     h = 3
     r = lambda *k: rng.normal(size=k) * 0.4
     net = pii.Tagger(r(2, pii.CLASSES, 4 * h), r(2, h, 4 * h), r(2, h, pii.TAGS), r(pii.TAGS), r(pii.TAGS, pii.TAGS), r(pii.TAGS))
-    c, tags = rng.integers(0, 9, (3, 5)), rng.integers(0, pii.TAGS, (3, 5))
+    c, tags = rng.integers(0, pii.CLASSES, (3, 5)), rng.integers(0, pii.TAGS, (3, 5))
     _, grads = net.gradients(c, tags)
     for arr, grad in zip((net.wx, net.wh, net.wo, net.bo), grads, strict=False):
         at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
@@ -260,8 +261,90 @@ def test_network_gradient():
         assert grad[at] == pytest.approx((up - down) / 2e-2, rel=0.03, abs=1e-3)
 
 
+@pytest.fixture(scope="module")
+def tagger(medium):
+    import pyarrow.parquet as pq
+
+    texts = [t or "" for t in pq.read_table(f"{medium}/documents.parquet", columns=["text"]).column(0).to_pylist()]
+    return pii.fit(texts[:600]), [w.lower() for t in texts[600:700] for w in t.split() if w.isalpha() and w.isascii() and len(w) > 2]
+
+
+def _spelled(rng, words):
+    """One piece of each form that no pattern matches, from words of documents the network never saw."""
+    w = lambda: str(rng.choice(words))
+    d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    return {
+        "(at)": ("email", f"{w()}{d(2)} (at) {w()}.com"),
+        "(AT)": ("email", f"{w()}.{w()} (AT) {w()}.org"),
+        "[at]": ("email", f"{w()}[at]{w()}.de"),
+        "{at}": ("email", f"{w()} {{at}} {w()}-{w()}.net"),
+        "( at )": ("email", f"{w()} ( at ) {w()}.com"),
+        "dot": ("email", f"{w()} at {w()} dot com"),
+        "phone": ("phone", f"({d(3)}) {d(3)}-{d(4)}"),
+        "ip": ("ip", " . ".join(str(x) for x in rng.integers(1, 256, 4))),
+    }
+
+
+def test_network_finds_other_spellings_and_no_look_alikes(tagger):
+    net, words = tagger
+    rng = np.random.default_rng(99)
+    say = lambda n: " ".join(rng.choice(words, n))
+    hits = dict.fromkeys(_spelled(rng, words), 0)
+    for _ in range(40):
+        for form, (kind, piece) in _spelled(rng, words).items():
+            before = say(12)
+            spans = pii.find([f"{before} {piece} {say(12)}"], net)[0][1]
+            hits[form] += (len(before) + 1, pii.KINDS.index(kind), len(before) + 1 + len(piece)) in spans
+    assert all(n >= 0.7 * 40 for n in hits.values()), hits
+    assert sum(hits.values()) >= 0.9 * 40 * len(hits), hits
+    alike = ["Version 4.2", "at noon", "12/10/2021", "(see below)", "2021-11-24", "$12,000.50", "user at the door"]
+    assert not [t for a in alike for t in [f"{say(12)} {a} {say(12)}"] if pii.find([t], net)[0][1]]
+
+
+def test_spans_do_not_depend_on_what_is_read_together(tagger):
+    net, words = tagger
+    rng = np.random.default_rng(3)
+    texts = [" ".join([*rng.choice(words, int(rng.integers(0, 200))), "mia (at) wald.org", *rng.choice(words, 90)]) for _ in range(12)]
+    assert pii.find(texts, net) == [pii.find([t], net)[0] for t in texts]
+
+
+def plain_viterbi(s, tr):
+    best, came = tr[0] + s[0], []
+    for row in s[1:]:
+        step = best[:, None] + tr
+        came.append(step.argmax(axis=0))
+        best = step.max(axis=0) + row
+    out = [int((best + tr[:, 0]).argmax())]
+    for c in reversed(came):
+        out.append(int(c[out[-1]]))
+    return np.array(out[::-1])
+
+
+@pytest.mark.parametrize("lead", [1, 3, 5])
+def test_decoding_in_pieces_is_the_plain_viterbi_run(lead):
+    rng = np.random.default_rng(lead)
+    tr = rng.normal(size=(pii.TAGS, pii.TAGS)).astype(np.float32)
+    for tag, inside in itertools.product(range(pii.TAGS), range(2, pii.TAGS, 2)):
+        if tag not in (inside - 1, inside):
+            tr[tag, inside] = -1e4
+    for n in (1, 2, 300, 900):
+        s = rng.normal(size=(n, pii.TAGS)).astype(np.float32) * 1.5
+        s[:, 0] += lead
+        want = plain_viterbi(s, tr)
+        alive = pii._alive(s, tr)
+        assert (pii.viterbi(s, alive, tr) == want).all()
+        assert (pii._long_run(s, tr, 64) == want).all()
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "ab" * 500_000 + "@", "1.2" * 300_000, "+1" * 400_000, "@" * 500_000])
+def test_very_long_runs_take_linear_time(text):
+    start = time.perf_counter()
+    pii.base_spans(text)
+    assert time.perf_counter() - start < 10
+
+
 def test_masking_and_odd_rows(spark, odd_docs, odd_texts, no_docs):
-    net = pii.train(odd_docs)
+    net = pii.train(odd_docs, 20)
     rows = pii.spans_of(odd_docs, net).collect()
     assert len(rows) == len(odd_texts)
     assert all(not r["spans"] for r in rows if r["id"] in (1, 2, 3))
