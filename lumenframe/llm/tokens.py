@@ -3,8 +3,9 @@
 ``tokenizers`` encodes a text in one go; here a text is cut at its single spaces, where the word
 pattern of the vocabulary always cuts too, and the ids of each piece are kept, so a piece that
 recurs costs one lookup. New pieces are merged by ``tiktoken`` from the ranks in the same JSON
-file, which gives the same ids (tests compare whole texts). Texts with runs of white space, or
-with characters outside basic Latin, are encoded as a whole by ``tokenizers``.
+file, which gives the same ids (tests compare whole texts). Texts with runs of white space, with
+characters outside basic Latin, or with one of the vocabulary's added tokens are encoded as a whole
+by ``tokenizers``, so an added token written out in a text gets its own id, as it does there.
 """
 
 from __future__ import annotations
@@ -46,10 +47,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
         special = {t["content"] for t in data.get("added_tokens", [])}
+        self._special = re.compile("|".join(map(re.escape, sorted(special)))) if special else None
         alphabet = _byte_alphabet()
         ranks = {
             bytes(alphabet[c] for c in token): rank
@@ -65,7 +66,7 @@ class Encoder:
             self._ids[p] = array("I", merge(" " + p)).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text):
+        if not _PLAIN.fullmatch(text) or (self._special and self._special.search(text)):
             import numpy as np
 
             ids = self._whole.encode(text, add_special_tokens=False).ids

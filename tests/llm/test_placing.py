@@ -76,7 +76,6 @@ def test_written_shards_hold_rows_without_an_id_and_repeated_ones(spark, odd_doc
 )
 def test_ids_are_those_of_the_vocabulary(text):
     whole = Tokenizer.from_file(default_path())
-    whole.encode_special_tokens = True
     ids = np.frombuffer(encoder(default_path()).encode(text), "<u4").tolist()
     assert ids == whole.encode(text, add_special_tokens=False).ids
 
@@ -114,7 +113,6 @@ def test_packing_is_a_round_trip(spark, odd_docs, odd_texts, no_docs, size):
     packed = packing.pack(odd_docs, size=size)
     rows = packed.places.collect()
     whole = Tokenizer.from_file(default_path())
-    whole.encode_special_tokens = True
     ids = [(i, [*whole.encode(t or "", add_special_tokens=False).ids, 0]) for i, t in odd_texts]
     want = Counter()
     for i, x in ids:
@@ -176,5 +174,40 @@ def test_a_bad_host_is_blocked_and_a_new_one_takes_its_domain(spark):
         ).collect()
     }
     assert all(got[k] == "block" for k in range(40))
+    assert got[200] == "block"
     assert all(got[100 + k] == "allow" for k in range(40))
     assert got[201] == "allow"
+
+
+@pytest.mark.parametrize(("a", "b"), [(0.2, 2.0), (1.0, 1.0), (3.0, 1.0), (1.5, 9.0), (5.0, 5.0), (40.0, 160.0), (900.0, 100.0), (2e5, 1e6)])
+def test_bound_is_the_quantile_of_the_posterior(spark, a, b):
+    df = spark.createDataFrame([(a, b)], "a double, b double")
+    df = df.selectExpr("*", *[f"{sql} AS {k}" for k, sql in reputation.CUMULANTS.items()])
+    got = df.selectExpr(f"{reputation.quantile(-1.645)} AS q").first()["q"]
+    sd = np.sqrt(1 / a + 1 / b)
+    t = np.log(a / b) + np.sinh(np.linspace(-9, 6, 400_001)) * sd * 0.2  # log odds
+    log = a * t - (a + b) * np.logaddexp(0, t)
+    f = np.exp(log - log.max())
+    mass = np.concatenate([[0], np.cumsum((f[1:] + f[:-1]) / 2 * np.diff(t))])
+    chance = np.interp(np.log(got / (1 - got)), t, mass / mass[-1])
+    assert chance == pytest.approx(0.05, abs=0.01)
+
+
+def test_registered_domains(spark):
+    hosts = ["a.b.co.uk", "co.uk", "b.org", "x.y.b.org:8080", "me@b.org", "10.0.0.1", "10.0.0.1:80", "", "localhost"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = [tuple(r) for r in df.select(*reputation.registered(df.host)).collect()]
+    assert got == [
+        ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("b.org", "org"), ("b.org", "org"), ("b.org", "org"), ("10.0.0.1", "(address)"),
+        ("10.0.0.1", "(address)"), ("", ""), ("localhost", "localhost"),
+    ]
+
+
+def test_a_host_with_most_of_the_pages_and_pages_without_an_id(spark):
+    pages = [(k if k % 3 else None, "http://www.big.com/x") for k in range(600)] + [(1000 + k, f"http://h{k}.com/") for k in range(50)]
+    outcomes = [(k, 1) for k in range(0, 600, 5)] + [(1000 + k, 0) for k in range(50)]
+    found = reputation.judge(
+        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(outcomes, "id long, bad int")
+    ).collect()
+    assert Counter((r["id"], r["verdict"]) for r in found) == Counter((i, "block" if i is None or i < 1000 else "allow") for i, _ in pages)
+    assert len({(r["n_outcomes"], r["bound"]) for r in found if r["host"] == "www.big.com"}) == 1
