@@ -381,7 +381,7 @@ def planted(spark):
 def test_planted_passages_and_reasked_questions(spark, no_docs):
     docs, items = planted(spark)
     got = {(r["id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect()}
-    assert {(1, 0), (2, 10), (5, 1), (9, 3), (None, 4)} <= got
+    assert {(1, 0), (2, 10), (5, 1), (8, 2), (9, 3), (None, 4)} <= got
     assert not {i for i, _ in got} & {4, 6, 7}
     assert (3, 10) not in got
     left = decontaminate.remove(docs, items)
@@ -391,6 +391,43 @@ def test_planted_passages_and_reasked_questions(spark, no_docs):
     assert decontaminate.remove(docs, items.limit(0)).count() == docs.count()
 
 
+def test_short_dense_and_reasked_items(spark):
+    rng = np.random.default_rng(12)
+    vocab = ["".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(3, 9))) for _ in range(900)]
+    say = lambda n: " ".join(rng.choice(vocab, n))
+    items = {
+        1: "why is grass green", 2: "tiny item", 3: "Paris Lyon 12 Rome 30 Madrid 44 Oslo 50 Bern 60", 4: "日本の首都はどこですか",
+        5: "A farmer has 3 apples and 2 pears and gives 3 apples away so how many does the farmer have left in all",
+        6: "When Anna Maria met Tom in the old market the two of them paid 14 dollars for a basket of fresh figs",
+    }
+    held = {
+        1: f"{say(20)} Why is grass green? {say(9)}", 2: "Tiny item!", 3: f"{say(30)} {items[3].upper()} {say(5)}", 4: items[4],
+        5: f"{say(8)}. {items[5].replace('3', '12').replace('2 pears', '12 pears').replace('112', '12')}. {say(8)}",
+        6: f"{say(8)}. {items[6].replace('Anna Maria', 'Eve').replace('Tom', 'John Paul Smith').replace('14', '9')}. {say(8)}",
+    }
+    clean = {11: f"{say(9)} tiny item {say(9)}", 12: say(300), 13: "Why is the grass so green"}
+    docs = spark.createDataFrame([*held.items(), *clean.items()], "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(k, k) for k in held}
+
+
+def test_reasked_items_of_the_tables_are_found(spark, medium):
+    """Every item with a number or name asked anew with other values, in a new document."""
+    rng = np.random.default_rng(4)
+    items = [(r["item_id"], r["text"]) for r in table(spark, medium, "benchmark").collect() if len((r["text"] or "").split()) >= 12]
+    docs = []
+    for k, t in items:
+        new = {}
+        swap = lambda m: new.setdefault(m.group(), str(rng.integers(100, 10_000)))  # noqa: B023, E731
+        docs.append((k, "It was asked. " + re.sub(r"\d+", swap, t) + " So it was."))
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    got = {(r["id"], r["item_id"]) for r in found.collect()}
+    assert sum((k, k) in got for k, _ in items) >= 0.95 * len(items)
+
+
 def test_every_verbatim_item_of_the_tables_is_found(spark, medium):
     docs, items = table(spark, medium, "documents"), table(spark, medium, "benchmark")
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.op6_templates(spark, medium).collect()}
