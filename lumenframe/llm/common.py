@@ -49,6 +49,21 @@ def discard(df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+    """``left`` with the one row of ``right`` for its keys, whatever share of the rows one key has.
+
+    ``count`` is a column of ``right``: how many rows of ``left`` have the key. Keys with more than a
+    thousandth of all rows, which are fewer than a thousand, are joined by broadcast, the others by
+    shuffle, where none is then large. Both sides should be cheap to read twice.
+    """
+    total = right.agg(F.sum(count)).first()[0] or 0
+    large = right.where(F.col(count) * 1000 > total)
+    small = right.where(F.col(count) * 1000 <= total)
+    first = left.join(F.broadcast(large), keys)
+    rest = left.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(small, keys, how)
+    return first.unionByName(rest)
+
+
 def fold(id_col: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     col = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import table, written
+from lumenframe.llm.common import join_counted, table, written
 
 
 def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -63,7 +63,7 @@ def _category_step(df: DataFrame, col: str, bits: int, max_categories: int) -> t
     names = sorted(v[0] for v in values)
     if not names:
         return df, F.lit(0)
-    steps = [(v, int(k * (1 << bits) // max(len(names), 1 << bits)) if len(names) > 1 << bits else k) for k, v in enumerate(names)]
+    steps = [(v, (k << bits) // len(names)) for k, v in enumerate(names)]  # over the whole range, so that few values part it coarsely
     ranks = df.sparkSession.createDataFrame(steps, f"{col} string, _{col}_step int")
     joined = df.join(F.broadcast(ranks), col, "left")  # at most max_categories rows
     return joined, F.coalesce(F.col(f"_{col}_step"), F.lit(0))
@@ -120,8 +120,8 @@ def shard(
         *carried,
     )
     meta = written(meta, "meta")
-    first = meta.groupBy("same", "crc", "size").agg(F.min(F.struct("id", "source", "lang")).alias("f"))
-    groups = first.select("same", "crc", "size", F.col("f.id").alias("first"), "f.source", "f.lang")
+    first = meta.groupBy("same", "crc", "size").agg(F.min(F.struct("id", "source", "lang")).alias("f"), F.count(F.lit(1)).alias("copies"))
+    groups = first.select("same", "crc", "size", "copies", F.col("f.id").alias("first"), "f.source", "f.lang")
     cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
     by_size, by_id = groups.approxQuantile(["size", "first"], cuts, 0.001)
     groups, source = _category_step(groups, "source", bits, max_categories)
@@ -132,8 +132,8 @@ def shard(
         return pd.Series(hilbert_index(np.stack([a, b, c, d], axis=1), bits))
 
     steps = [source.cast("int"), lang.cast("int"), _number_step(by_size, "size"), _number_step(by_id, "first")]
-    groups = groups.select("same", "crc", "size", curve(*steps).alias("curve"))
-    rows = meta.select("id", "same", "crc", "size", *kept).join(groups, ["same", "crc", "size"])
+    groups = written(groups.select("same", "crc", "size", "copies", curve(*steps).alias("curve")), "groups")
+    rows = join_counted(meta.select("id", "same", "crc", "size", *kept), groups, ["same", "crc", "size"], "copies").drop("copies")
     rows, total = ranked(rows, ["curve", "same", "crc", "size", "id"])
     place = F.expr(f"rank * {shards}L div {max(total, 1)}L")
     start = F.expr(f"(shard * {max(total, 1)}L + {shards - 1}L) div {shards}L")
@@ -142,14 +142,17 @@ def shard(
     )
 
 
-def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", **knobs) -> None:
-    """Write ``docs`` as one folder for each shard, rows in the order of the curve.
+def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", rows_a_file: int = 1_000_000, **knobs) -> None:
+    """Write ``docs`` as one folder for each shard, rows in the order of the curve, files of one run of slots each.
 
     Every row is written at the place it was counted for, those without an id and repeated ones too.
+    Columns named shard or slot are replaced.
     """
     placed = shard(docs, id_col=id_col, carry=True, **knobs)
-    full = placed.select("row.*", "shard", "slot")
-    full.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")]
+    full = placed.select(*own, "shard", "slot").withColumn("_file", F.expr(f"slot div {rows_a_file}L"))
+    dealt = full.repartition("shard", "_file").sortWithinPartitions("shard", "slot").drop("_file")
+    dealt.write.partitionBy("shard").parquet(path)
 
 
 def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ bounded sample of training texts; a temperature is fitted on texts held back fro
 Scoring reads whole texts and needs no shuffle: the score of a text is a mean of table entries.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; languages are the
-non-null values seen in training; no training rows: every text is ``und`` with score 0.
+non-null values seen in training; no training rows: every text is ``und`` with score 0; equal rows
+with one id are one training row.
 """
 
 from __future__ import annotations
@@ -174,9 +175,11 @@ def train(
     per_language = max(50, min(per_language, 40_000 // len(languages)))
     wanted = {r[0]: min(1.0, 1.5 * per_language / r["count"] + 20 / r["count"]) for r in found}
     share = F.coalesce(*[F.when(F.col(lang_col) == k, F.lit(v)) for k, v in wanted.items()])
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(10)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = usable.select(lang_col, F.col(text_col).alias("_text"), draw.alias("_draw"), share.alias("_share"))
-    rows = sample.where(F.col("_draw") < F.col("_share")).collect()
+    draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(10)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    sample = usable.select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"), draw.alias("_draw"), share.alias("_share"))
+    drawn = sample.where(F.col("_draw") < F.col("_share")).groupBy("_lang", "_draw").agg(F.min("_text").alias("_text"))
+    most = len(languages) * (2 * per_language + 100)  # repeated rows are one row, so the share draws fewer than this
+    rows = drawn.orderBy("_draw", "_lang").limit(most).collect()
     rows.sort(key=lambda r: (r[0], r["_draw"], r["_text"]))
     by: dict[str, list[str]] = {}
     for r in rows:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm.common import discard, table, texts_of, written
+from lumenframe.llm.common import discard, join_counted, table, texts_of, written
 from lumenframe.llm.graph import connected_components, local_roots
 from lumenframe.llm.shingles import BANDS, alike, band_keys, row_key, set_node, sets_of, shingle_hashes, shingles, verified
 
@@ -236,12 +236,13 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, fp, component): for every row the smallest id reachable by links, itself included."""
     prints = written(fingerprints(docs, id_col, text_col, words), "prints")
-    named = prints.where(F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("id"))
-    points = written(named.withColumn("node", F.col("fp")), "points")  # a fingerprint is its own node
+    each = written(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "points")
+    points = each.where(F.col("least").isNotNull()).withColumn("node", F.col("fp"))  # a fingerprint is its own node
     roots = connected_components(link(points.select("node", "fp"), radius))
     grouped = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = grouped.groupBy("root").agg(F.min("id").alias("component"))
-    out = prints.join(grouped.join(smallest, "root").select("fp", "component"), "fp", "left")
+    smallest = grouped.groupBy("root").agg(F.min("least").alias("component"))
+    named = written(grouped.join(smallest, "root").select("fp", "component", "rows"), "named")
+    out = join_counted(prints, named, ["fp"], "rows", "left")
     return out.select(
         F.col("id"), "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component")
     )

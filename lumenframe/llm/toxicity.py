@@ -16,8 +16,8 @@ As the kernel is a dot product of counted subsequences, the landmarks' weights f
 weight for each of 2^20 hashes of subsequences of code points: scoring a word is a sum of table entries, whatever the
 number of landmarks. Words are scored once for each worker process while they stay in its memory.
 
-Defined results: null or empty texts, and texts without a word of two letters, get the lowest
-score; very long words are scored whole; without labels of both classes every score is the share of
+Defined results: null or empty texts get the score of the bias alone, words of one letter have
+no subsequence and score the same; equal texts score equal; very long words are scored whole; without labels of both classes every score is the share of
 toxic labels.
 """
 
@@ -106,7 +106,8 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not who:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     w, x, v = np.concatenate(who), np.concatenate(what), np.concatenate(weight)
-    norm = np.sqrt(np.bincount(w, v * v, minlength=len(plain)))
+    key, same = np.unique((w << TABLE_BITS) | x, return_inverse=True)  # a subsequence may occur several times
+    norm = np.sqrt(np.bincount(key >> TABLE_BITS, np.bincount(same, v) ** 2, minlength=len(plain)))
     return w, x, v / norm[w]
 
 

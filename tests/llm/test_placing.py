@@ -45,23 +45,45 @@ def test_shards_of_odd_rows(spark, odd_docs, odd_texts, no_docs):
     assert hilbert.shard(no_docs).count() == 0
 
 
+def test_rows_lie_in_the_order_of_a_brute_force_curve(spark):
+    """Steps and places of a small table, computed row by row."""
+    rng = np.random.default_rng(1)
+    rows = [(k, "x" * int(rng.integers(1, 400)) + str(k), f"l{k % 4}", f"s{k % 7}") for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    got = {r["id"]: r for r in hilbert.shard(df).collect()}
+    cuts = lambda v: np.quantile(v, [k / 16 for k in range(1, 16)], method="inverted_cdf")
+    size = np.array([len(t) + 8 for _, t, _, _ in rows])
+    ids = np.arange(200)
+    steps = np.stack([ids % 7 * 16 // 7, ids % 4 * 4, (size[:, None] > np.unique(cuts(size))).sum(1), (ids[:, None] > np.unique(cuts(ids))).sum(1)], axis=1)
+    want = hilbert.hilbert_index(steps, 4)
+    close = np.array([got[k]["curve"] for k in range(200)]) == want
+    assert close.mean() > 0.9  # the quantiles are approximate
+    order = sorted(range(200), key=lambda k: (got[k]["shard"], got[k]["slot"]))
+    curve = [got[k]["curve"] for k in order]
+    assert curve == sorted(curve)
+    assert [got[k]["shard"] for k in order] == [k * 24 // 200 for k in range(200)]
+
+
 def test_shards_prune(spark, medium):
     docs = spark.read.parquet(f"{medium}/documents.parquet")
     placed = hilbert.shard(docs).select("id", "shard").join(docs.selectExpr("doc_id as id", "source"), "id")
-    per = placed.groupBy("shard").agg({"source": "approx_count_distinct"}).collect()
     sources = docs.select("source").distinct().count()
+    per = placed.groupBy("shard").agg({"source": "approx_count_distinct"}).collect()
     assert np.mean([r[1] for r in per]) < sources / 2
+    langs = docs.selectExpr("doc_id as id", "lang").join(hilbert.shard(docs).select("id", "shard"), "id")
+    per = langs.groupBy("shard").agg({"lang": "approx_count_distinct"}).collect()
+    assert np.mean([r[1] for r in per]) < 0.75 * docs.select("lang").distinct().count()
 
 
 def test_written_shards_hold_every_row_once(spark, odd_docs, odd_texts, tmp_path):
-    named = odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"]).drop("shard")
+    named = odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     hilbert.write_shards(named, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert Counter((r["doc_id"], r["text"]) for r in back.collect()) == Counter({(i, t): 1 for i, t in odd_texts if i is not None})
 
 
 def test_written_shards_hold_rows_without_an_id_and_repeated_ones(spark, odd_docs, odd_texts, tmp_path):
-    hilbert.write_shards(odd_docs.drop("shard"), str(tmp_path / "out"))
+    hilbert.write_shards(odd_docs, str(tmp_path / "out"), rows_a_file=2)
     back = spark.read.parquet(str(tmp_path / "out")).collect()
     assert Counter((r["doc_id"], r["text"]) for r in back) == Counter(odd_texts)
     assert len({(r["shard"], r["slot"]) for r in back}) == len(odd_texts)
