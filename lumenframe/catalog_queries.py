@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from lumenframe.plans import ORACLE_SQL, QUERIES, linking, monitoring, scanning, selection, tallies, volumes
+from lumenframe.plans import ORACLE_SQL, QUERIES, gating, linking, monitoring, scanning, selection, tallies, volumes
 
-__all__ = ["ORACLE_SQL", "QUERIES", "linking", "monitoring", "scanning", "selection", "tallies", "volumes"]
+__all__ = ["ORACLE_SQL", "QUERIES", "gating", "linking", "monitoring", "scanning", "selection", "tallies", "volumes"]

@@ -5,11 +5,13 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from lumenframe.functions.rules import reasons
 from lumenframe.functions.text import title_normalize, url_normalize
+from lumenframe.operators.ranking import ranked
 
 
 def identity_keys(doi: Column, repository: Column, accession: Column, landing_url: Column) -> Column:
@@ -120,6 +122,67 @@ def title_members(rows: DataFrame, id_col: str, title_col: str) -> DataFrame:
     return t.join(t.groupBy("t").agg(F.min("id").alias("representative")), "t").select("id", "representative")
 
 
+def similarity_reasons(a: Column, b: Column, ratio: float = 0.92, rest: float = 0.5, versioned: str = "Zenodo") -> Column:
+    """Why two records are likely one dataset, as an array of texts, empty if nothing says so.
+
+    Records are structs: download_url, title, repository, ids (strong identity keys), dois. The same
+    download counts always. If both have ids and share none they are different, but for equal titles in the
+    repository that gives each version an id; else a title of at least ``ratio``, or the same paper and titles
+    whose words after their common beginning overlap by ``rest``.
+    """
+    some = lambda c: F.coalesce(c, F.lit("")) != ""
+    ta, tb = title_normalize(a["title"]), title_normalize(b["title"])
+    known = lambda c: F.coalesce(c, F.array().cast("array<string>"))
+    ids = [known(x["ids"]) for x in (a, b)]
+    apart = (F.size(ids[0]) > 0) & (F.size(ids[1]) > 0) & ~F.arrays_overlap(*ids)
+    papers = F.array_sort(F.array_intersect(*[F.transform(known(x["dois"]), F.lower) for x in (a, b)]))
+    alike = match_ratio(ta, tb)
+    titles = (ta != "") & (tb != "") & ~apart
+    version = apart & (ta != "") & (ta == tb) & (a["repository"] == versioned) & (b["repository"] == versioned)
+    paper = titles & (alike < ratio) & (F.size(papers) > 0) & (rest_overlap(ta, tb) >= rest)
+    return reasons(
+        (some(a["download_url"]) & some(b["download_url"]) & (url_normalize(a["download_url"]) == url_normalize(b["download_url"])), "same download URL"),
+        (version, F.concat(F.lit("same title on "), F.lit(versioned), F.lit(" (another version?)"))),
+        (titles & (alike >= ratio), F.concat(F.lit("title "), F.format_string("%.0f", F.bround(alike * 100, 0)), F.lit("% similar"))),
+        (paper, F.concat(F.lit("same paper ("), F.array_join(papers, ", "), F.lit(") and similar title"))),
+    )
+
+
+def similar_records(catalog: DataFrame, id_col: str = "id", ratio: float = 0.92, **knobs) -> DataFrame:
+    """(a, b, reasons), a < b: pairs of catalog records that ``similarity_reasons`` links, ``a`` the smaller id.
+
+    No pair is made but those that a reason can hold for: equal download, equal title, a shared paper (joins
+    on the value) or a similar title (``fuzzy_titles``). Of a value's records each is paired with all others,
+    which is the result asked for.
+    """
+    record = F.struct(*[F.col(c) for c in ("download_url", "title", "repository", "ids", "dois")])
+    rows = catalog.select(F.col(id_col).alias("id"), record.alias("r"))
+    values = rows.select(
+        "id",
+        F.explode(
+            F.array_distinct(
+                F.filter(
+                    F.concat(
+                        F.array(F.concat(F.lit("u"), url_normalize(F.col("r.download_url")))),
+                        F.array(F.when(title_normalize(F.col("r.title")) != "", F.concat(F.lit("t"), title_normalize(F.col("r.title"))))),
+                        F.transform(F.coalesce("r.dois", F.array().cast("array<string>")), lambda d: F.concat(F.lit("d"), F.lower(d))),
+                    ),
+                    lambda v: v.isNotNull(),
+                )
+            )
+        ).alias("v"),
+    )
+    equal = values.alias("x").join(values.alias("y"), "v").where(F.col("x.id") < F.col("y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    members = title_members(rows.select("id", F.col("r.title").alias("title")), "id", "title")
+    near = fuzzy_titles(rows.select("id", F.col("r.title").alias("title")), "id", "title", ratio)
+    left, right = (members.select(F.col("id").alias(n), F.col("representative").alias(k)) for n, k in (("m", "a"), ("n", "b")))
+    near = near.join(left, "a").join(right, "b").select(F.least("m", "n").alias("a"), F.greatest("m", "n").alias("b"))
+    pairs = equal.union(near).distinct()
+    full = pairs.join(rows.select(F.col("id").alias("a"), F.col("r").alias("ra")), "a").join(rows.select(F.col("id").alias("b"), F.col("r").alias("rb")), "b")
+    found = full.withColumn("reasons", similarity_reasons(F.col("ra"), F.col("rb"), ratio, **knobs))
+    return found.where(F.size("reasons") > 0).select("a", "b", "reasons")
+
+
 def numbered(known: DataFrame, wanted: DataFrame) -> DataFrame:
     """(ord, files, name): the known name of a file set, else the next free number in the order of ``ord``.
 
@@ -128,5 +191,6 @@ def numbered(known: DataFrame, wanted: DataFrame) -> DataFrame:
     top = known.agg(F.coalesce(F.max(F.regexp_extract("name", r"(\d+)$", 1).cast("int")), F.lit(0)).alias("top")).withColumn("one", F.lit(1))
     k = known.select(F.sort_array("files").alias("files"), "name")
     w = wanted.select("ord", F.sort_array("files").alias("files")).join(k, "files", "left").withColumn("one", F.lit(1)).join(F.broadcast(top), "one")
-    fresh = F.row_number().over(Window.partitionBy(F.col("name").isNull()).orderBy("ord"))
-    return w.select("ord", "files", F.coalesce("name", F.format_string("crop-%03d", F.col("top") + fresh)).alias("name"))
+    new = ranked(w.where(F.col("name").isNull()), F.col("ord"), "ord")
+    new = new.select("ord", "files", F.format_string("crop-%03d", (F.col("top") + F.col("rank") + 1).cast("int")).alias("name"))
+    return w.where(F.col("name").isNotNull()).select("ord", "files", "name").unionByName(new)

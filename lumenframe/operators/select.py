@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.operators.ranking import ranked
+
 #: Names of the spec and the values of the records that they stand for.
 ALIASES = {"mouse": "Mus musculus", "human": "Homo sapiens", "zebrafish": "Danio rerio", "drosophila": "Drosophila melanogaster", "SEM": "SBF-SEM", "lightsheet": "light-sheet"}
 
@@ -55,7 +57,7 @@ def glob_any(path: Column, globs: Sequence[str]) -> Column:
 
     out = F.lit(False)
     for g in globs:
-        body = re.escape(g).replace(r"\*\*", ".*").replace(r"\*", "[^/]*").replace(r"\?", "[^/]")
+        body = re.escape(g).replace(r"/\*\*/", "/(?:.*/)?").replace(r"\*\*", ".*").replace(r"\*", "[^/]*").replace(r"\?", "[^/]")
         out = out | path.rlike(f"^{body}$")
     return out
 
@@ -96,11 +98,9 @@ def weights(df: DataFrame, levels: Sequence[str], size: str, temperature: float)
 def split(df: DataFrame, id_col: str, strata: Sequence[str], order: Column, fractions: Mapping[str, float], holdout: Column | None = None) -> DataFrame:
     """Adds ``split``: within each stratum the rows in a fixed pseudo-random order, cut by the fractions.
 
-    ``order`` should be a hash of the id and a seed; equal values are ordered by id.
+    ``order`` should be a number, a hash of the id and a seed; equal values are ordered by id.
     """
-    w = Window.partitionBy(*strata)
-    rank = F.row_number().over(w.orderBy(order, id_col)) - 1
-    share = rank / F.count(F.lit(1)).over(w)
+    share = F.col("rank") / F.col("total")
     out, reach = None, 0.0
     names = list(fractions)
     for name in names[:-1]:
@@ -108,10 +108,11 @@ def split(df: DataFrame, id_col: str, strata: Sequence[str], order: Column, frac
         hit = share < F.lit(round(reach, 9))
         out = F.when(hit, name) if out is None else out.when(hit, name)
     split_name = out.otherwise(names[-1]) if out is not None else F.lit(names[-1])
+    placed = lambda rows: ranked(rows, order, id_col, strata).withColumn("split", split_name).drop("rank", "total")
     if holdout is not None:
-        rest = df.where(~F.coalesce(holdout, F.lit(False)))
-        return rest.withColumn("split", split_name).unionByName(df.where(F.coalesce(holdout, F.lit(False))).withColumn("split", F.lit("holdout")))
-    return df.withColumn("split", split_name)
+        held = F.coalesce(holdout, F.lit(False))
+        return placed(df.where(~held)).unionByName(df.where(held).withColumn("split", F.lit("holdout")))
+    return placed(df)
 
 
 def normalized(vox: DataFrame, scope: str, method: str, low: float = 1, high: float = 99, clip: bool = True) -> DataFrame:

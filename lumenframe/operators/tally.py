@@ -15,15 +15,19 @@ def tally(df: DataFrame, values: Column, empty: str = "(none)") -> DataFrame:
 def folded_top(counts: DataFrame, top: int) -> DataFrame:
     """(value, n, members): the values by count, then name; beyond ``top`` the rest is one row.
 
-    Only counts reach the window, one row for each value.
+    The first values are an ordered limit, the rest is the sum of all less those; only ``top`` rows reach a window.
     """
-    w = Window.orderBy(F.desc("n"), F.asc("value"))
-    ranked = counts.withColumn("rank", F.row_number().over(w))
-    size = counts.agg(F.count(F.lit(1)).alias("all")).withColumn("one", F.lit(1))
-    ranked = ranked.withColumn("one", F.lit(1)).join(F.broadcast(size), "one")
-    fold = (F.col("all") > top) & (F.col("rank") >= top)
-    name = F.when(fold, F.concat(F.lit("+ "), (F.col("all") - (top - 1)).cast("string"), F.lit(" more"))).otherwise(F.col("value"))
-    return ranked.groupBy(name.alias("value")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("members"))
+    first = counts.orderBy(F.desc("n"), F.asc("value")).limit(top)
+    first = first.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("value"))))
+    whole = counts.agg(F.count(F.lit(1)).alias("all"), F.sum("n").alias("sum"))  # one row
+    named = first.join(F.broadcast(whole.select("all")), (F.col("all") <= top) | (F.col("rank") < top))
+    kept = first.where(F.col("rank") < top).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("kept"))
+    rest = whole.where(F.col("all") > top).join(F.broadcast(kept)).select(
+        F.concat(F.lit("+ "), (F.col("all") - (top - 1)).cast("string"), F.lit(" more")).alias("value"),
+        (F.col("sum") - F.col("kept")).alias("n"),
+        (F.col("all") - (top - 1)).alias("members"),
+    )
+    return named.select("value", "n", F.lit(1).cast("long").alias("members")).unionByName(rest)
 
 
 def by_level(df: DataFrame, level: DataFrame, on: str, group: Column, missing: str = "(not stated)") -> DataFrame:

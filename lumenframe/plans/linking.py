@@ -142,9 +142,12 @@ def word_overlap(spark, sf):
 
 @query()
 def fuzzy_title(spark, sf):
-    """Pairs of first lines with a ratio of 0.92 or more; a test holds it against all pairs."""
-    d = table(spark, sf, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
-    return keys.fuzzy_titles(d.where(F.char_length("title") < 200), "doc_id", "title")
+    """Pairs of part titles with a ratio of 0.92 or more, the first part of each title for all with it, and each
+    other part with the first one of its title (ratio 1); a test holds the operator against all pairs."""
+    p = table(spark, sf, "part").select("p_partkey", F.concat("p_name", F.lit(" "), "p_type").alias("title"))
+    equal = keys.title_members(p, "p_partkey", "title").where("id <> representative")
+    equal = equal.select(F.col("representative").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("ratio"))
+    return keys.fuzzy_titles(p, "p_partkey", "title").unionByName(equal)
 
 
 @query("""SELECT coalesce(c.c_custkey, o.o_custkey) AS custkey, coalesce(c_name, 'no record') AS name, coalesce(n, 0) AS n_orders, CASE WHEN n IS NULL THEN 'never' WHEN closed THEN 'all closed' ELSE 'open' END AS state
@@ -168,26 +171,24 @@ SELECT f.page_id AS page_id, u.i AS pattern, regexp_matches(path, '[.]html$') AS
 def pattern_join(spark, sf):
     path = F.regexp_replace(F.regexp_extract("url", "^[a-z0-9]+://([^?#]*)", 1), "/+$", "")
     hits = F.filter(F.array(*[F.when(F.col("path").rlike(text.path_pattern(p)), F.lit(i)) for i, (p, _) in enumerate(PATTERNS)]), lambda x: x.isNotNull())
-    listed = F.lit(False)
-    for rx in text.glob_patterns("en/*.html"):
-        listed = listed | F.col("path").rlike(rx)
+    listed = F.col("path").rlike(text.listing_pattern("en/*.html"))
     f = table(spark, sf, "pages").select("page_id", path.alias("path"))
     return f.select("page_id", F.when(F.size(hits) == 1, F.get(hits, F.lit(0))).alias("pattern"), listed.alias("listed"))
 
 
-@query("""WITH w AS (SELECT o_orderkey AS ord, list_sort(['f' || (o_custkey % 60), 'g' || (o_orderkey % 7)]) AS files FROM orders WHERE o_orderkey < 200),
-k AS (SELECT list_sort(['f' || c_custkey, 'g' || (c_custkey % 7)]) AS files, printf('crop-%03d', c_custkey::INT) AS name FROM customer WHERE c_custkey < 60),
+@query("""WITH w AS (SELECT o_orderkey AS ord, list_sort(['f' || (o_custkey % 60), 'g' || (o_orderkey % 7)]) AS files FROM orders),
+k AS (SELECT list_sort(['f' || c_custkey, 'g' || (c_custkey % 7)]) AS files, printf('crop-%03d', c_custkey::INT) AS name FROM customer),
 j AS (SELECT ord, w.files AS files, name FROM w LEFT JOIN k ON w.files = k.files)
-SELECT ord, array_to_string(files, '+') AS files, coalesce(name, printf('crop-%03d', (59 + row_number() OVER (PARTITION BY name IS NULL ORDER BY ord))::INT)) AS name FROM j""")
+SELECT ord, array_to_string(files, '+') AS files, coalesce(name, printf('crop-%03d', ((SELECT max(c_custkey) FROM customer) + row_number() OVER (PARTITION BY name IS NULL ORDER BY ord))::INT)) AS name FROM j""")
 def crop_numbering(spark, sf):
     k = lambda p, c: F.concat(F.lit(p), c.cast("string"))
-    wanted = table(spark, sf, "orders").where("o_orderkey < 200").select(F.col("o_orderkey").alias("ord"), F.array(k("g", F.col("o_orderkey") % 7), k("f", F.col("o_custkey") % 60)).alias("files"))
-    known = table(spark, sf, "customer").where("c_custkey < 60").select(F.array(k("f", F.col("c_custkey")), k("g", F.col("c_custkey") % 7)).alias("files"), F.format_string("crop-%03d", "c_custkey").alias("name"))
+    wanted = table(spark, sf, "orders").select(F.col("o_orderkey").alias("ord"), F.array(k("g", F.col("o_orderkey") % 7), k("f", F.col("o_custkey") % 60)).alias("files"))
+    known = table(spark, sf, "customer").select(F.array(k("f", F.col("c_custkey")), k("g", F.col("c_custkey") % 7)).alias("files"), F.format_string("crop-%03d", "c_custkey").alias("name"))
     return keys.numbered(known, wanted).select("ord", F.array_join("files", "+").alias("files"), "name")
 
 
 @query("""WITH t AS (SELECT item_id, unnest(list_distinct(list_filter(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: length(x) >= 3 AND x NOT IN ('the', 'and', 'that', 'der', 'die', 'und', 'les', 'des', 'que', 'las', 'los') AND NOT regexp_matches(x, '^[0-9]+$')))) AS tok FROM benchmark),
-w AS (SELECT DISTINCT unnest(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')) AS word FROM documents WHERE source = 'src3'),
+w AS (SELECT DISTINCT unnest(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')) AS word FROM documents),
 h AS (SELECT DISTINCT item_id, tok FROM t JOIN w ON word IN (CASE WHEN tok LIKE '%s' AND length(tok) > 4 THEN substr(tok, 1, length(tok) - 1) ELSE tok END, CASE WHEN tok LIKE '%s' AND length(tok) > 4 THEN substr(tok, 1, length(tok) - 1) ELSE tok END || 's', CASE WHEN tok LIKE '%s' AND length(tok) > 4 THEN substr(tok, 1, length(tok) - 1) ELSE tok END || 'es'))
 SELECT item_id, count(*) AS n, string_agg(tok, ' ' ORDER BY tok) AS hints FROM h GROUP BY item_id""")
 def token_hints(spark, sf):
@@ -197,7 +198,7 @@ def token_hints(spark, sf):
     t = table(spark, sf, "benchmark").select("item_id", F.explode(tok).alias("tok"))
     stem = F.when(F.endswith("tok", F.lit("s")) & (F.char_length("tok") > 4), F.expr("substring(tok, 1, char_length(tok) - 1)")).otherwise(F.col("tok"))
     t = t.select("item_id", "tok", F.explode(F.array(stem, F.concat(stem, F.lit("s")), F.concat(stem, F.lit("es")))).alias("word"))
-    w = table(spark, sf, "documents").where("source = 'src3'").select(F.explode(words).alias("word")).distinct()
+    w = table(spark, sf, "documents").select(F.explode(words).alias("word")).distinct()
     h = t.join(w, "word", "left_semi").select("item_id", "tok").distinct()
     return h.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("tok")), " ").alias("hints"))
 

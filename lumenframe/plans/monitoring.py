@@ -136,15 +136,15 @@ def oldest_n_check(spark, sf):
     return u.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("links"), F.bool_and(F.col("c_acctbal") > 0).alias("ok"))
 
 
-@query("""WITH s AS (SELECT doc_id, unnest(string_split_regex(regexp_replace(text, '([.;])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(1), 'g'), '\\x01|\\n')) AS sent, generate_subscripts(string_split_regex(regexp_replace(text, '([.;])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(1), 'g'), '\\x01|\\n'), 1) AS pos FROM documents WHERE lang = 'en'),
+@query("""WITH s AS (SELECT doc_id, unnest(string_split_regex(regexp_replace(text, '([.;])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(1), 'g'), '\\x01|\\n')) AS sent, generate_subscripts(string_split_regex(regexp_replace(text, '([.;])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(1), 'g'), '\\x01|\\n'), 1) AS pos FROM documents),
 k AS (SELECT *, regexp_matches(lower(sent), 'idiot|licen[cs]e|password') AS strong FROM s WHERE length(sent) > 20 AND length(sent) < 600 AND regexp_matches(sent, '[0-9]|the '))
-SELECT doc_id, rank, md5(sent) AS digest, strong FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY NOT strong, pos) AS rank FROM k) WHERE rank <= 5""")
+SELECT doc_id, rank, md5(sent) AS digest, strong FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY NOT strong, pos) AS rank FROM k) WHERE rank <= 60""")
 def key_sentences(spark, sf):
-    d = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.posexplode(F.split("text", r"(?<=[.;])\s+|\n")).alias("pos", "sent"))
+    d = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", r"(?<=[.;])\s+|\n")).alias("pos", "sent"))
     d = d.where((F.char_length("sent") > 20) & (F.char_length("sent") < 600) & F.col("sent").rlike("[0-9]|the "))
     d = d.withColumn("strong", F.lower("sent").rlike("idiot|licen[cs]e|password"))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(~F.col("strong"), "pos"))
-    return d.withColumn("rank", rank).where("rank <= 5").select("doc_id", "rank", F.md5("sent").alias("digest"), "strong")
+    return d.withColumn("rank", rank).where("rank <= 60").select("doc_id", "rank", F.md5("sent").alias("digest"), "strong")
 
 
 @query("SELECT doc_id, lang FROM documents WHERE contains(lower(text), 'the') AND contains(lower(text), 'tion') AND contains(lower(source || ' ' || text), 'src1') ORDER BY doc_id LIMIT 25")
@@ -155,14 +155,14 @@ def idr_terms(spark, sf):
     return d.orderBy("doc_id").limit(25).select("doc_id", "lang")
 
 
-@query("""WITH e AS (SELECT user_id AS id, event_id AS seq, CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 5 = 0 THEN 'downloaded' END WHEN 'error' THEN 'failed' WHEN 'signup' THEN CASE WHEN event_id % 9 = 0 THEN 'skipped' END END AS kind, 'l' || (event_id % 3) AS label FROM events WHERE event_id % 6 = 0),
+@query("""WITH e AS (SELECT user_id AS id, event_id AS seq, CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 5 = 0 THEN 'downloaded' END WHEN 'error' THEN 'failed' WHEN 'signup' THEN CASE WHEN event_id % 9 = 0 THEN 'skipped' END END AS kind, 'l' || (event_id % 3) AS label FROM events),
 f AS (SELECT * FROM e WHERE kind IS NOT NULL), d AS (SELECT id, max(seq) AS done_at, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM f WHERE kind = 'downloaded' GROUP BY id)
 SELECT f.id AS id, CASE WHEN max(done_at) IS NOT NULL THEN 'downloaded' WHEN bool_or(kind = 'skipped') THEN 'skipped' WHEN count_if(kind = 'failed') > 0 THEN 'failed' ELSE 'new' END AS status,
 count_if(kind = 'failed' AND (done_at IS NULL OR seq > done_at)) AS n_failures, coalesce(any_value(labels), '') AS labels FROM f LEFT JOIN d ON f.id = d.id GROUP BY f.id""")
 def state_upsert(spark, sf):
     k, t = F.col("event_id"), F.col("event_type")
     kind = F.when((t == "purchase") & (k % 5 == 0), "downloaded").when(t == "error", "failed").when((t == "signup") & (k % 9 == 0), "skipped")
-    e = table(spark, sf, "events").where(k % 6 == 0).select(F.col("user_id").alias("id"), k.alias("seq"), kind.alias("kind"), F.concat(F.lit("l"), (k % 3).cast("string")).alias("label"))
+    e = table(spark, sf, "events").select(F.col("user_id").alias("id"), k.alias("seq"), kind.alias("kind"), F.concat(F.lit("l"), (k % 3).cast("string")).alias("label"))
     return monitor.final_state(e.where("kind is not null"))
 
 

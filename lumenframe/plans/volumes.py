@@ -72,19 +72,32 @@ def down_mode(spark, sf):
     return op.down_mode(_cube(spark, sf).withColumn("v", lab), CUBE, (2, 2, 2))
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT p_partkey, 1 AS level, '' AS plan, false AS over, (p_size % 5 + 1)::DOUBLE AS ez, 1.0::DOUBLE AS ey, (p_size % 3 + 1)::DOUBLE AS ex, p_size::BIGINT * 7 AS nz, p_size::BIGINT * 40 AS ny, 2000::BIGINT AS nx FROM part
+ UNION ALL SELECT p_partkey, level + 1, plan || CASE WHEN fz * fy * fx > 1 THEN '/' || fz || fy || fx ELSE '' END, fz * fy * fx = 1, ez * fz, ey * fy, ex * fx, ceil(nz / fz)::BIGINT, ceil(ny / fy)::BIGINT, ceil(nx / fx)::BIGINT FROM (
+  SELECT *, CASE WHEN go AND nz > 1 AND ez < 2 * f THEN 2 ELSE 1 END AS fz, CASE WHEN go AND ny > 1 AND ey < 2 * f THEN 2 ELSE 1 END AS fy, CASE WHEN go AND nx > 1 AND ex < 2 * f THEN 2 ELSE 1 END AS fx FROM (
+   SELECT *, greatest(nz, ny, nx) > 256 AS go, least(CASE WHEN nz > 1 THEN ez END, CASE WHEN ny > 1 THEN ey END, CASE WHEN nx > 1 THEN ex END) AS f FROM r WHERE level < 8 AND NOT over)))
+SELECT p_partkey, substr(arg_max(plan, level), 2) AS plan FROM r GROUP BY p_partkey""")
 def pyramid_plan(spark, sf):
-    """Factors of the pyramid of shapes and voxel sizes taken from parts."""
-    p = table(spark, sf, "part")
+    """Factors of the pyramid of shapes and voxel sizes taken from parts, levels joined by slashes."""
     size = F.col("p_size")
-    return p.select("p_partkey", op.level_plan_text((size % 5 + 1).cast("double"), F.lit(1.0), (size % 3 + 1).cast("double"), size * 7, size * 40, F.lit(2000)).alias("plan"))
-
-
-@query()
+    plan = op.level_plan(F.array((size % 5 + 1).cast("double"), F.lit(1.0), (size % 3 + 1).cast("double")), F.array(size * 7, size * 40, F.lit(2000)))
+    text = F.array_join(F.transform(plan, lambda f: F.array_join(F.transform(f, lambda x: x.cast("string")), "")), "/")
+    return table(spark, sf, "part").select("p_partkey", text.alias("plan"))
+
+
+@query("""WITH RECURSIVE r AS (SELECT p_partkey, 0 AS k, p_size::BIGINT * 9 AS z, p_size::BIGINT * 30 AS y, 1500::BIGINT AS x FROM part
+ UNION ALL SELECT p_partkey, k + 1, CASE WHEN a = 1 THEN greatest(1, z // 2) ELSE z END, CASE WHEN a = 2 THEN greatest(1, y // 2) ELSE y END, CASE WHEN a = 3 THEN greatest(1, x // 2) ELSE x END FROM (
+  SELECT *, CASE WHEN z / 32 >= y / 64 AND z / 32 >= x / 64 THEN 1 WHEN y / 64 >= x / 64 THEN 2 ELSE 3 END AS a FROM r WHERE 2 * z * y * x > 4000000)),
+s AS (SELECT p_partkey, arg_max(z, k) AS z, arg_max(y, k) AS y, arg_max(x, k) AS x FROM r GROUP BY p_partkey),
+m AS (SELECT p_partkey, p_size::BIGINT AS n, z, y, x, (p_size * 9 - z) // 2 AS a, (p_size * 30 - y) // 2 AS b, (1500 - x) // 2 AS c FROM s JOIN part USING (p_partkey)),
+t AS (SELECT *, a - a % 32 AS za, b - b % 64 AS ya, c - c % 64 AS xa FROM m)
+SELECT p_partkey, za || ':' || least(n * 9, za + z) || ',' || ya || ':' || least(n * 30, ya + y) || ',' || xa || ':' || least(1500, xa + x) AS crop FROM t""")
 def crop_spec(spark, sf):
     """Central crops, snapped to chunks, that fit a limit."""
     size = F.col("p_size")
-    return table(spark, sf, "part").select("p_partkey", op.central_crop_text(size * 9, size * 30, F.lit(1500), F.lit(2), F.lit(4_000_000)).alias("crop"))
+    box = op.central_crop(F.array(size * 9, size * 30, F.lit(1500)), 2, F.array(F.lit(32), F.lit(64), F.lit(64)), 4_000_000)
+    text = F.array_join(F.transform(box, lambda b: F.concat(b["start"].cast("string"), F.lit(":"), b["stop"].cast("string"))), ",")
+    return table(spark, sf, "part").select("p_partkey", text.alias("crop"))
 
 
 @query(f"""WITH p AS (SELECT crop, quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM {_CUBE} GROUP BY crop)

@@ -23,9 +23,20 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours")
     return g.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def drained(spark: SparkSession, stream: DataFrame, mode: str = "complete") -> DataFrame:
-    """Run a stream over what is there now, to its end, and return the sink's rows."""
-    name = f"sink_{uuid.uuid4().hex}"
-    q = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+def drained(spark: SparkSession, stream: DataFrame, folder: str | None = None) -> DataFrame:
+    """Run a stream over what is there now, to its end, and return the result as a table.
+
+    Each micro-batch replaces the files of the result, written by the tasks; ``folder`` is by default
+    a new one below ``spark.checkpoint.dir``, which a cluster has to name.
+    """
+    shared = folder or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir, or name a folder that driver and executors share")
+    path = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows")
+
+    q = stream.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", f"{path}/progress")
+    q.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows")

@@ -9,7 +9,7 @@ import pytest
 
 from lumenframe.catalog_queries import ORACLE_SQL, QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no tables")
 
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenframe.functions import text
-from lumenframe.operators import arrays, keys, monitor, select
+from lumenframe.operators import arrays, keys, monitor, ranking, select
 
 
 def one(spark, value, fn):
@@ -111,12 +111,14 @@ def test_identity_keys(spark):
     [((1, 1, 1), (512, 512, 512), [(2, 2, 2)]), ((4, 1, 1), (100, 1024, 1024), [(1, 2, 2), (1, 2, 2)]), ((1, 1, 1), (1, 256, 256), []),
      ((1, 1, 1), (1, 600, 600), [(1, 2, 2), (1, 2, 2)])],
 )
-def test_level_plan(voxel, shape, plan):
-    assert arrays.level_plan(voxel, shape) == plan
+def test_level_plan(spark, voxel, shape, plan):
+    got = spark.range(1).select(arrays.level_plan(F.array(*map(F.lit, voxel)), F.array(*map(F.lit, shape)))).first()[0]
+    assert got == [list(f) for f in plan]
 
 
-def test_central_crop_fits_and_snaps():
-    crop = arrays.central_crop([100, 1000, 1000], 2, [32, 64, 64], 4_000_000)
+def test_central_crop_fits_and_snaps(spark):
+    of = lambda *n: F.array(*map(F.lit, n))
+    crop = spark.range(1).select(arrays.central_crop(of(100, 1000, 1000), 2, of(32, 64, 64), 4_000_000)).first()[0]
     assert 2 * np.prod([b - a for a, b in crop]) <= 4_000_000
     assert all(a % c == 0 for (a, _), c in zip(crop, [32, 64, 64], strict=True))
 
@@ -173,3 +175,94 @@ def test_split_shares_and_empty_table(spark):
     n = {(r["g"], r["split"]): r["count"] for r in out.groupBy("g", "split").count().collect()}
     assert n == {(g, s): c for g in "01" for s, c in (("train", 40), ("val", 5), ("test", 5))}
     assert select.split(d.limit(0), "id", ["g"], F.xxhash64("id"), {"train": 1.0}, F.lit(False)).count() == 0
+
+
+def test_human_size_is_the_binary_quotient(spark):
+    rng = np.random.default_rng(1)
+    n = [k * 50 for k in range(1, 20_000)] + [k * 50_000 for k in range(1, 4000)] + rng.integers(1000, 10**15, 2000).tolist()
+    rows = spark.createDataFrame([(int(k),) for k in n], "n bigint").select("n", text.human_size(F.col("n")).alias("t")).collect()
+
+    def plain(k):
+        for power, unit in ((0, "B"), (1, "KB"), (2, "MB"), (3, "GB")):
+            if k / 1000**power < 1000:
+                return f"{k / 1000**power:.{min(power, 1)}f} {unit}"
+        return f"{k / 1000**4:.1f} TB"
+
+    assert not [(r["n"], r["t"], plain(r["n"])) for r in rows if r["t"] != plain(r["n"])]
+
+
+@pytest.mark.parametrize(
+    ("pattern", "fits", "misses"),
+    [
+        ("a/*.tif", ["a/x.tif", "z/a/b/x.tif", "x.tif"], ["a/x.tiff", "b.tif/c"]),
+        ("img_NNN.{tif,png}", ["img_7.tif", "q/img_12.png"], ["img_7.jpg"]),
+        ("zip::raw/<id>/##.h5 (volume)", ["raw/1/02.h5", "x/raw/a/b/3.h5"], ["raw.h5x"]),
+        ("a.tif, b.tif", ["a.tif", "x/b.tif"], ["c.tif"]),
+        ("s?c.x", ["sec.x", "s.c.x"], ["sc.x"]),
+    ],
+)
+def test_listing_patterns(spark, pattern, fits, misses):
+    df = spark.createDataFrame([(p,) for p in fits + misses], "p string")
+    got = {r["p"] for r in df.where(F.col("p").rlike(text.listing_pattern(pattern))).collect()}
+    assert got == set(fits)
+
+
+def test_entities_of_any_kind(spark):
+    df = spark.createDataFrame([("<p>caf&eacute; &#8217;n&#x27; &amp;lt; a&nbsp;b</p>",), ("x &lt; y &amp; z",), (None,)], "t string")
+    assert [r[0] for r in df.select(text.strip_html(F.col("t"))).collect()] == ["caf\u00e9 \u2019n' &lt; a b", "x < y & z", None]
+
+
+def test_ranks_in_strata(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, "ab"[k % 2] if k % 7 else None, None if k % 50 == 0 else float(rng.integers(0, 90))) for k in range(600)]
+    got = ranking.ranked(spark.createDataFrame(rows, "id long, g string, v double").repartition(5), F.col("v"), "id", ["g"], 16).collect()
+    for g in ("a", "b", None):
+        want = sorted((v is not None, v or 0, k) for k, s, v in rows if s == g)
+        mine = sorted((r["rank"], r["id"]) for r in got if r["g"] == g)
+        assert [i for _, i in mine] == [k for _, _, k in want]
+        assert {r["total"] for r in got if r["g"] == g} == {len(want)}
+        assert [k for k, _ in mine] == list(range(len(want)))
+
+
+def test_globs_over_folders(spark):
+    df = spark.createDataFrame([("a/b",), ("a/x/b",), ("a/x/y/b",), ("ab",)], "p string")
+    assert [r[0] for r in df.where(select.glob_any(F.col("p"), ["a/**/b"])).collect()] == ["a/b", "a/x/b", "a/x/y/b"]
+
+
+def test_similar_records_against_all_pairs(spark):
+    rng = random.Random(8)
+    base = ["fly brain electron volume", "mouse cortex light sheet atlas of cells", "zebrafish larva heart beat stack", "cell tracking challenge set one"]
+    rows = []
+    for k in range(40):
+        t = rng.choice(base) + rng.choice(["", " v2", " part b of many", "!"])
+        ids = rng.choice([None, [], [f"doi:10/{k % 6}"], [f"acc:z:{k}"]])
+        rows.append((k, rng.choice([None, "", f"https://www.x.org/{k % 9}/", f"http://x.org/{k % 9}"]), rng.choice([t, t.upper(), None]),
+                     rng.choice(["Zenodo", "Other", None]), ids, rng.choice([None, [], ["10/P"], ["10/p", "10/Q"]])))
+    schema = "id long, download_url string, title string, repository string, ids array<string>, dois array<string>"
+    got = {(r["a"], r["b"]): r["reasons"] for r in keys.similar_records(spark.createDataFrame(rows, schema)).collect()}
+    norm = lambda t: " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in (t or "").lower()).split())
+
+    def overlap(x, y):
+        x, y = x.split(), y.split()
+        n = next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+        return len(set(x[n:]) & set(y[n:])) / len(set(x[n:]) | set(y[n:])) if set(x[n:]) | set(y[n:]) else 1.0
+
+    want = {}
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        (_, ua, ta, ra, ia, pa), (_, ub, tb, rb, ib, pb) = rows[i], rows[j]
+        found, ta, tb = [], norm(ta), norm(tb)
+        if ua and ub and ua.split("x.org")[1].strip("/") == ub.split("x.org")[1].strip("/"):
+            found.append("same download URL")
+        if ia and ib and not set(ia) & set(ib):
+            if ta and ta == tb and ra == rb == "Zenodo":
+                found.append("same title on Zenodo (another version?)")
+        elif ta and tb:
+            r = difflib.SequenceMatcher(None, ta, tb).ratio()
+            both = sorted({p.lower() for p in pa or []} & {p.lower() for p in pb or []})
+            if r >= 0.92:
+                found.append(f"title {r:.0%} similar")
+            elif both and overlap(ta, tb) >= 0.5:
+                found.append(f"same paper ({', '.join(both)}) and similar title")
+        if found:
+            want[(i, j)] = found
+    assert got == want
