@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.llm.common import discard, join_counted, table, texts_of, written
 from lumenframe.llm.graph import connected_components, local_roots
-from lumenframe.llm.shingles import BANDS, alike, band_keys, row_key, set_node, sets_of, shingle_hashes, shingles, verified
+from lumenframe.llm.shingles import BANDS, band_keys, row_key, set_node, sets_of, shingle_hashes, shingles, verified
 
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -290,15 +290,41 @@ def closest_forest(comp: np.ndarray, a: np.ndarray, b: np.ndarray, far: np.ndarr
         comp = local_roots(len(comp), comp[a[pick]], comp[b[pick]])[comp]
 
 
-def _candidates(rows: DataFrame, radius: int, block: int, forest_only: bool) -> DataFrame:
-    """(u, v): points of one block (key, lo, hi) but of different roots, at distance <= radius.
+def _shared(items: list[np.ndarray], x: np.ndarray, y: np.ndarray, columns: int = 1 << 16) -> np.ndarray:
+    """How many members the sets x and y of each pair share: bits of the members that occur twice, and-ed."""
+    who = np.unique(np.concatenate([x, y]))
+    x, y = np.searchsorted(who, x), np.searchsorted(who, y)
+    size = np.array([len(items[k]) for k in who])
+    _, code, times = np.unique(np.concatenate([items[k] for k in who]), return_inverse=True, return_counts=True)
+    common = np.cumsum(times > 1) - 1
+    owner = np.repeat(np.arange(len(who)), size)
+    keep = times[code] > 1
+    owner, code = owner[keep], common[code[keep]]
+    out = np.zeros(len(x), np.int64)
+    for lo in range(0, int(code.max(initial=-1)) + 1, columns):
+        part = (code >= lo) & (code < lo + columns)
+        wide = -(-min(columns, int(code.max()) + 1 - lo) // 64) * 64
+        held = np.zeros((len(who), wide), bool)
+        held[owner[part], code[part] - lo] = True
+        bits = np.packbits(held, axis=1).view(np.uint64)
+        step = max(1, 2_000_000 // bits.shape[1])
+        for k in range(0, len(x), step):
+            out[k : k + step] += np.bitwise_count(bits[x[k : k + step]] & bits[y[k : k + step]]).sum(axis=1, dtype=np.int64)
+    return out
+
 
-    ``forest_only``: of the pairs only the closest ones that would join all their groups.
+def _joining(rows: DataFrame, radius: int, block: int) -> DataFrame:
+    """(u, v): pairs of one block (key, lo, hi) at distance <= radius that join points of different roots,
+    the closest pair of each group first, in all fewer than there are points.
+
+    With a column ``items`` only pairs whose sets are at a similarity of 0.8 or more count.
     """
     names = ["key", "lo", "hi", "mine", "node", "root", "n", "fp"]
+    exact = "items" in rows.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        sets: list[np.ndarray] = []
         size, last = 0, None
 
         def flush() -> pa.RecordBatch:
@@ -309,34 +335,40 @@ def _candidates(rows: DataFrame, radius: int, block: int, forest_only: bool) ->
                 ok = (key[x] == key[y]) & (lo[x] == lo[y]) & (hi[x] == hi[y]) & (root[x] != root[y])
                 ok &= (lo[x] == hi[x]) | (mine[x] != mine[y])
                 ok &= np.minimum(n[x], n[y]) * 5 >= np.maximum(n[x], n[y]) * 4
-                a.append(x[ok])
-                b.append(y[ok])
-                far.append(np.bitwise_count(fps[x[ok]] ^ fps[y[ok]]))
+                x, y = x[ok], y[ok]
+                if exact and len(x):
+                    ok = _shared(sets, x, y) * 9 >= (n[x] + n[y]) * 4
+                    x, y = x[ok], y[ok]
+                a.append(x)
+                b.append(y)
+                far.append(np.bitwise_count(fps[x] ^ fps[y]))
             x, y, d = map(np.concatenate, (a, b, far))
-            if forest_only:
-                pick = closest_forest(np.unique(root, return_inverse=True)[1], x, y, d)
-                x, y = x[pick], y[pick]
-            ends = (np.minimum(node[x], node[y]), np.maximum(node[x], node[y]))
-            return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], ["u", "v"])
+            pick = closest_forest(np.unique(root, return_inverse=True)[1], x, y, d)
+            u, v = node[x[pick]], node[y[pick]]
+            return pa.RecordBatch.from_arrays([pa.array(f(u, v), pa.int64()) for f in (np.minimum, np.maximum)], ["u", "v"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in names])
+            found = batch.column("items") if exact else None
             cut = np.flatnonzero((np.diff(cols[:3], axis=1) != 0).any(axis=0)) + 1
             edge = [0, *cut.tolist(), cols.shape[1]]
             same = last is not None and np.array_equal(last, cols[:3, 0])
             for k, (lo, hi) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
                 if size >= block // 2 and not (k == 0 and same):
                     yield flush()
-                    held, size = [], 0
+                    held, sets, size = [], [], 0
                 held.append(cols[:, lo:hi])
+                if exact:
+                    sets += [found[r].values.to_numpy() for r in range(lo, hi)]
                 size += hi - lo
             last = cols[:3, -1]
         if held:
             yield flush()
 
-    dealt = rows.select(*names).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    columns = [*names, "items"] if exact else names
+    dealt = rows.select(*columns).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return dealt.mapInArrow(work, "u long, v long")
 
 
@@ -351,10 +383,11 @@ def near_copies(
     spread of 3, and are compared up to ``radius``. What the comparison finds is verified by the sets,
     so nothing under 0.8 is linked; a pair at 0.8 is found with a computed chance over 0.9999.
 
-    Three steps, each on the blocks that still hold different groups: the closest pairs that would join a
-    block (as many as it has groups, less one); one point of each block against the rest; all pairs of
-    different groups. A block over ``block`` points is cut into tiles by a hash: the first step stays inside
-    the tiles, the last takes each pair of tiles.
+    Two steps, each on the blocks that hold different groups. First the closest pairs that would join a block
+    (fewer than its points) are verified by a join with the sets. Then the sets go to the blocks that still
+    hold different groups, and all pairs of different groups are verified inside; only links that join groups
+    leave a task, never its pairs. A block over ``block`` points is cut into tiles by a hash: the first step
+    stays inside the tiles, the second takes each pair of tiles.
     """
     rows = written(_prints(docs, id_col, text_col), "prints")
     first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "same", "n", "fp", "bands")).alias("f")
@@ -366,7 +399,7 @@ def near_copies(
     sets = written(sets_of(docs, met, id_col, text_col), "sets")
     discard(points)
     roots = buckets.select("node", F.col("node").alias("root")).limit(0)
-    for step in ("closest", "one", "all"):
+    for step in ("closest", "all"):
         now = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         parts = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
         now = written(now.join(parts.where(F.col("a") < F.col("b")).select("key"), "key"), "open")
@@ -374,22 +407,15 @@ def near_copies(
             discard(now)
             break
         tiles = F.ceil(F.col("m") / F.lit(block)).cast("int")
-        now = now.withColumn("tiles", tiles).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        dealt = now.withColumn("tiles", tiles).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
         if step == "closest":
-            pairs = _candidates(now.withColumn("lo", F.col("mine")).withColumn("hi", F.col("mine")), radius, block, True)
-            pairs = pairs.withColumn("t", F.lit(1))
-        elif step == "one":
-            pick = F.min_by(F.struct("node", "n", "fp", "root"), F.xxhash64("node")).alias("p")
-            near = F.bit_count(F.col("fp").bitwiseXOR(F.col("p.fp"))) <= radius
-            met = now.join(now.groupBy("key").agg(pick), "key")
-            met = met.where((F.col("root") != F.col("p.root")) & alike(F.col("n"), F.col("p.n")) & near)
-            pairs = met.select(F.col("p.node").alias("u"), F.col("node").alias("v"), F.col("tiles").alias("t"))
+            dealt = dealt.withColumn("lo", F.col("mine")).withColumn("hi", F.col("mine"))
+            found = verified(_joining(dealt, radius, block).distinct(), sets)
         else:
-            other = now.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            ends = (F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
-            pairs = _candidates(other.select("*", *ends), radius, block, False).withColumn("t", F.lit(1))
-        pairs = pairs.groupBy("u", "v").agg(F.max("t").alias("t"))
-        links = written(verified(pairs, sets), "links")
+            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            dealt = dealt.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
+            found = _joining(dealt.join(sets, "node"), radius, block)
+        links = written(found, "links")
         stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
         roots = written(connected_components(links.union(stars)), "roots")
         for old in (now, links):

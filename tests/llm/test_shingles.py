@@ -80,3 +80,28 @@ def test_a_contaminated_text_takes_no_other_row_along(spark):
     left = decontaminate.remove(docs, items)
     assert left.columns == docs.columns
     assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter([(None, clean[0]), (3, clean[1]), (None, None)])
+
+
+def test_large_group_of_copies_with_few_and_many_edits(spark):
+    """Tiles and both steps: a group over several tiles, part of it too far from all others."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = [(k, edited(rng, base, rng.choice([1, 2, 4, 8, 14]))) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    from lumenframe.llm import simhash
+
+    found, roots = simhash.near_copies(docs, block=32)
+    named = found.join(roots, "node", "left").selectExpr("id", "coalesce(root, node) root").collect()
+    groups = {}
+    for r in named:
+        groups.setdefault(r["root"], set()).add(r["id"])
+    sets, root = [shingle_set(t) for _, t in rows], list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if root[a] != root[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    want = {}
+    for k, r in enumerate(root):
+        want.setdefault(r, set()).add(k)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
