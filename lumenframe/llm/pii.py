@@ -43,7 +43,7 @@ PATTERNS = {
     2: re.compile(r"[0-9](?:[\x20-]?[0-9])++"),
     3: re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
-WINDOW, STRIDE = 256, 224
+WINDOW, STRIDE = 512, 480
 #: Added to the scores of an address's tags: its checks drop what is found too much.
 LEAN = 0.7
 _BRACKETED = r"[\[({<]\s*at\s*[\])}>]"
@@ -407,7 +407,7 @@ def viterbi(s: np.ndarray, open_: np.ndarray, tr: np.ndarray, cells: int = 1 <<
 _MIDDLE = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0).astype(np.float32)
 
 
-def tag_scores(texts: list[str], net: Tagger, batch: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+def tag_scores(texts: list[str], net: Tagger, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
     """Tag scores (places, tags) of the texts, one text after the other, and where each text starts.
 
     A pad after each text gets the scores of a place outside.
