@@ -154,7 +154,7 @@ def _sizes(n: int, short: tuple[int, ...]) -> set[int]:
 
 
 def _rows_of(words: Words, sizes: tuple[set[int], set[int]], bare: list[str], passes=None) -> Iterator[tuple]:
-    """(kind, pos, hash, fills) of the counted windows that ``passes`` lets through."""
+    """(kind, size, pos, hash, fills) of the counted windows that ``passes`` lets through."""
     for kind, seq, slots in ((TEMPLATE, words.canon, words.slots), (AS_IT_STANDS, words.plain, None)):
         for size in sizes[kind]:
             at, h = windows(seq, size, kind, slots)
@@ -165,11 +165,11 @@ def _rows_of(words: Words, sizes: tuple[set[int], set[int]], bare: list[str], pa
                 fills = None
                 if slots is not None and slots[p : p + size].any():
                     fills = [words.filling(p + k, bare) if slots[p + k] else None for k in range(size)]
-                yield kind, p, x, fills
+                yield kind, size, p, x, fills
 
 
-_SCHEMA = "id long, kind int, pos long, hash long, fills array<string>"
-_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+_SCHEMA = "id long, kind int, size int, pos long, hash long, fills array<string>"
+_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -249,7 +249,8 @@ def contaminated(
     alignments of kind 0 (templates), as they stand in those of kind 1."""
     bench = written(item_windows(items, item_id_col, item_text_col).where(F.col("id").isNotNull()), "items")
     sizes = bench.groupBy(F.col("id").alias("item_id"), "kind").agg(F.count_distinct("pos").alias("item_windows"))
-    seen = document_windows(docs, hash_filter(bench), (3, 4), id_col, text_col)
+    short = bench.where(F.col("size").between(3, SIZE - 1)).select("size").distinct().collect()  # at most two sizes
+    seen = document_windows(docs, hash_filter(bench), tuple(r["size"] for r in short), id_col, text_col)
     b = bench.select(F.col("id").alias("item_id"), F.col("pos").alias("at"), "hash", F.col("fills").alias("wanted"))
     met = seen.join(b, "hash").select(
         "id", "item_id", "kind", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "fills", "wanted"
