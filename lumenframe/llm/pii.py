@@ -11,9 +11,8 @@ the checks of its kind (Luhn, parts up to 255, 9 to 15 digits; an address has a
 Texts are covered by overlapping windows; the windows' tag scores are averaged, weighted to their
 middles, and one Viterbi run over the whole text makes the spans, so a span over a window's edge is
 found once and whole. The run skips places that no span of the best path can cover: those through
-which no stretch of places gains on tags outside, whatever the transitions (``_alive``), which changes
-no result. A span ends where its first and
-last words end (``_settled``).
+which no span of any kind gains on tags outside, with the best transitions (``_alive``), which changes
+no result. A span ends where its first and last words end (``_settled``).
 
 Defined results: null text is the empty text and has no spans; spans are in code points with the
 end exclusive; overlapping base spans of different kinds all stay; a network span that touches a
@@ -274,54 +273,73 @@ def crf_loss(s: np.ndarray, tags: np.ndarray, tr: np.ndarray, first: np.ndarray)
     return float((z - gold).mean()), ds / n, dtr / n, dfirst / n
 
 
-def _outputs(net: Tagger, c: np.ndarray) -> np.ndarray:
-    """What ``net.run`` returns, as (places, tags, windows): windows run along memory, nothing is kept,
-    and the halves in the gates are taken once for a cell and a state."""
+def _window_scores(net: Tagger, c: np.ndarray, size: np.ndarray, block: int = 8) -> np.ndarray:
+    """Tag scores (2, windows, places, tags) of both directions, without the bias, as ``net.run`` gives them.
+
+    ``c`` holds classes (windows, places) and ``size`` the windows' lengths, longest first. The second
+    direction runs from a window's own end, and so do its places, so neither reads padding; what is past
+    a window's end is undefined. Each gate has an array of its own, windows that have ended leave the
+    arrays now and then, and the halves in the gates are taken once for a cell and a state.
+    """
     n, t = c.shape
     h = net.wh.shape[1]
-    half = np.concatenate([np.full(3 * h, 0.5), np.ones(h)]).astype(np.float32)
-    wx = (net.wx * half).astype(np.float32)
-    wh = np.ascontiguousarray((net.wh * half * 0.5).astype(np.float32).swapaxes(1, 2))
-    wo = np.ascontiguousarray((net.wo * 0.5).astype(np.float32).swapaxes(1, 2))
-    hid, cell, room = (np.zeros((2, h, n), np.float32) for _ in range(3))
-    z, wide = (np.empty((2, 4 * h, n), np.float32) for _ in range(2))
-    scores = np.zeros((t, TAGS, n), np.float32)
+    half = np.array([0.5, 0.5, 0.5, 1], np.float32)[:, None, None, None]
+    gates = lambda w: w.astype(np.float32).reshape(2, -1, 4, h).transpose(2, 0, 1, 3) * half
+    wx, wh = gates(net.wx).reshape(-1, h), np.ascontiguousarray(gates(net.wh) * 0.5)  # gate, direction, from, to
+    wo = (net.wo * 0.5).astype(np.float32)
+    back = np.maximum(size[:, None] - 1 - np.arange(t), 0)
+    codes = np.stack([c, np.take_along_axis(c, back, 1)]).transpose(2, 0, 1).astype(np.intp)
+    table = (np.arange(8) * net.wx.shape[1]).reshape(4, 2, 1)
+    ends = np.searchsorted(-size, -np.arange(t))  # windows that have a place k
+    hid, cell = (np.zeros((2, n, h), np.float32) for _ in range(2))
+    scores = np.empty((2, n, t, TAGS), np.float32)
+    live = 0
     for k in range(t):
-        np.matmul(wh, hid, out=z)
-        z[0] += wx[0][c[:, k]].T
-        z[1] += wx[1][c[:, t - 1 - k]].T
+        if k % block == 0:
+            if live == 0 or ends[k] < live - live // 16:
+                live = int(ends[k])
+                hid, cell = hid[:, :live].copy(), cell[:, :live].copy()
+                room, held = np.empty_like(hid), np.empty((block, 2, live, TAGS), np.float32)
+                z, wide = (np.empty((4, 2, live, h), np.float32) for _ in range(2))
+        np.matmul(hid, wh, out=z)
+        np.take(wx, codes[k, :, :live] + table, axis=0, out=wide, mode="clip")
+        z += wide
         _act_inplace(z, wide)
-        z[:, : 3 * h] += 1
-        cell *= z[:, h : 2 * h]
-        z[:, :h] *= z[:, 3 * h :]
-        cell += z[:, :h]
+        z[:3] += 1
+        i, f, o, g = z
+        cell *= f
+        i *= g
+        cell += i
         cell *= 0.5
         np.copyto(hid, cell)
         _act_inplace(hid, room)
-        hid *= z[:, 2 * h : 3 * h]  # twice the state
-        scores[k] += wo[0] @ hid[0]
-        scores[t - 1 - k] += wo[1] @ hid[1]
-    scores += net.bo.astype(np.float32)[:, None]
+        hid *= o  # twice the state
+        np.matmul(hid, wo, out=held[k % block])
+        if k % block == block - 1 or k == t - 1:
+            first = k - k % block
+            scores[:, :live, first : k + 1] = held[: k + 1 - first].transpose(1, 2, 0, 3)
     return scores
 
 
 def _alive(s: np.ndarray, tr: np.ndarray) -> np.ndarray:
     """The places that a span of the best path may cover.
 
-    A stretch of places inside spans replaces tags outside; each of its places gains at most the best
-    of its scores with the best transition into that tag, less those of outside, and its end the best
-    transition out. Sums of the gains, with their least and greatest values so far, bound the best
-    stretch through every place.
+    A span in place of tags outside gains, for its beginning and for each inside place, the difference of
+    the scores and of the best transition into that tag, and at its end the best difference of the
+    transitions out of it. Where the best span of a kind through a place, found by running sums and
+    extremes, gains nothing for any kind, the best path is outside there.
     """
-    into, out = tr.max(axis=0) - tr[0, 0], max(0.0, float((tr[:, 0] - tr[0, 0]).max()))
-    best = s[:, 1] + into[1]
-    for k in range(2, TAGS):
-        np.maximum(best, s[:, k] + into[k], out=best)
-    x = (best - s[:, 0]).astype(np.float64)
-    total = np.concatenate([[0.0], np.cumsum(x)])
-    left = total[1:] - np.minimum.accumulate(total)[:-1]
-    right = np.maximum.accumulate(total[::-1])[::-1][1:] - total[:-1]
-    return left + right - x > -out - 1e-6
+    alive = np.zeros(len(s), bool)
+    nothing = s[:, 0].astype(np.float64)
+    after = [0, *range(1, TAGS, 2)]  # what may follow a span
+    for b in range(1, TAGS, 2):
+        start = s[:, b] - nothing + float((tr[:, b] - tr[:, 0]).max())
+        total = np.cumsum(s[:, b + 1] - nothing + float(tr[b : b + 2, b + 1].max() - tr[0, 0]))
+        start -= total
+        best = np.maximum.accumulate(start, out=start)  # of the beginnings up to a place
+        best += np.maximum.accumulate(total[::-1])[::-1]  # and of the ends from it on
+        alive |= best > -float((tr[b : b + 2, after] - tr[0, after]).max()) - 1e-6
+    return alive
 
 
 def _best_tags(s: np.ndarray, size: np.ndarray, tr: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -404,36 +422,40 @@ def viterbi(s: np.ndarray, open_: np.ndarray, tr: np.ndarray, cells: int = 1 <<
     return tags
 
 
-_MIDDLE = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0).astype(np.float32)
+_RAMP = (np.arange(1, WINDOW - STRIDE + 1) / (WINDOW - STRIDE + 1)).astype(np.float32)[:, None]
 
 
-def tag_scores(texts: list[str], net: Tagger, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+def tag_scores(texts: list[str], net: Tagger, batch: int = 640) -> tuple[np.ndarray, np.ndarray]:
     """Tag scores (places, tags) of the texts, one text after the other, and where each text starts.
 
-    A pad after each text gets the scores of a place outside.
+    Where two windows overlap, the weight of one falls as that of the next one grows. A pad after each
+    text gets the scores of a place outside.
     """
-    size = np.array([len(t) for t in texts], np.int64)
-    start = np.concatenate([[0], np.cumsum(size + WINDOW)])
-    c = np.zeros(start[-1], np.int8)
-    windows = []
-    for t, lo, n in zip(texts, start, size, strict=False):
+    length = np.array([len(t) for t in texts], np.int64)
+    start = np.concatenate([[0], np.cumsum(length + 1)])
+    c = np.zeros(start[-1] + WINDOW, np.int8)
+    for t, lo, n in zip(texts, start, length, strict=False):
         c[lo : lo + n] = classes_of(t)
-        windows.append(np.arange(lo, lo + max(1, n - (WINDOW - STRIDE)), STRIDE) if n else np.zeros(0, np.int64))
-    at = np.concatenate(windows) if windows else np.zeros(0, np.int64)
-    sums, weight = np.zeros((TAGS, start[-1]), np.float32), np.zeros(start[-1], np.float32)
-    for lo in range(0, len(at), batch):
-        place = np.arange(WINDOW)[:, None] + at[lo : lo + batch]
-        scores = _outputs(net, c[place.T])
-        scores *= _MIDDLE[:, None, None]
-        for part in (slice(0, STRIDE), slice(STRIDE, WINDOW)):  # places of one part never meet
-            weight[place[part]] += _MIDDLE[part, None]
-            for k in range(TAGS):
-                sums[k][place[part]] += scores[part, k]
-    sums /= np.maximum(weight, 1e-9)
-    void = c == 0
-    sums[1:, void] = -1e4
-    sums[0, void] = 0
-    return sums.T, start
+    count = np.where(length > 0, np.maximum(1, -(-(length - (WINDOW - STRIDE)) // STRIDE)), 0)
+    owner = np.repeat(np.arange(len(texts)), count)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    at = start[owner] + nth * STRIDE
+    size = np.minimum(WINDOW, length[owner] - nth * STRIDE)
+    after = nth < count[owner] - 1  # another window follows
+    sums = np.zeros((start[-1], TAGS), np.float32)
+    order = np.argsort(-size, kind="stable")
+    for part in np.array_split(order, -(-len(order) // batch)) if len(order) else ():
+        scores = _window_scores(net, c[at[part][:, None] + np.arange(int(size[part[0]]))], size[part])
+        for ahead, behind, lo, n, k, more in zip(*scores, at[part], size[part], nth[part], after[part], strict=True):
+            both = ahead[:n] + behind[:n][::-1]
+            if k:
+                both[: len(_RAMP)] *= _RAMP[:n]
+            if more:
+                both[STRIDE:] *= _RAMP[::-1]
+            sums[lo : lo + n] += both
+    sums += net.bo.astype(np.float32)
+    sums[start[1:] - 1] = np.where(np.arange(TAGS) == 0, 0, -1e4)
+    return sums, start
 
 
 def network_spans(texts: list[str], net: Tagger) -> list[list[tuple[int, int, int]]]:
@@ -628,10 +650,10 @@ def _parts(texts: list[str], most: int = 1 << 18) -> Iterator[tuple[int, list[st
     """Runs of texts of at most ``most`` characters in all, or one longer text, with the place of the first."""
     lo, size = 0, 0
     for k, t in enumerate(texts):
-        if k > lo and size + len(t) + WINDOW > most:
+        if k > lo and size + len(t) > most:
             yield lo, texts[lo:k]
             lo, size = k, 0
-        size += len(t) + WINDOW
+        size += len(t) + 1
     if lo < len(texts):
         yield lo, texts[lo:]
 
