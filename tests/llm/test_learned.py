@@ -308,6 +308,17 @@ def test_spans_do_not_depend_on_what_is_read_together(tagger):
     assert pii.find(texts, net) == [pii.find([t], net)[0] for t in texts]
 
 
+def test_window_scores_are_those_of_the_plain_run(tagger):
+    net, words = tagger
+    texts = ["", "a", " ".join(words[:5]), (" ".join(words) * 3)[: pii.WINDOW], " ".join(words[5:40]), ""]
+    scores, start = pii.tag_scores(texts, net)
+    for text, at in zip(texts, start, strict=False):
+        if text:
+            want = net.run(pii.classes_of(text)[None].astype(np.int64))[0]
+            assert np.allclose(scores[at : at + len(text)], want, atol=1e-3)
+        assert scores[at + len(text)].argmax() == 0
+
+
 def plain_viterbi(s, tr):
     best, came = tr[0] + s[0], []
     for row in s[1:]:
