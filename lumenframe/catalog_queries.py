@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from lumenframe.plans import ORACLE_SQL, QUERIES, gating, linking, monitoring, scanning, selection, tallies, validation, volumes
+from lumenframe.plans import ORACLE_SQL, QUERIES, gating, linking, monitoring, running, scanning, selection, tallies, validation, volumes
 
-__all__ = ["ORACLE_SQL", "QUERIES", "gating", "linking", "monitoring", "scanning", "selection", "tallies", "validation", "volumes"]
+__all__ = ["ORACLE_SQL", "QUERIES", "gating", "linking", "monitoring", "running", "scanning", "selection", "tallies", "validation", "volumes"]
