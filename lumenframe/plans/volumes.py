@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.operators import arrays as op
 from lumenframe.plans import query, table
+from lumenframe.sources import storage, voxels
 
 CUBE, SQUARE = (4, 4, 4), (1, 8, 8)
 _CUBE = "(SELECT vec_id AS crop, i // 16 AS z, (i // 4) % 4 AS y, i % 4 AS x, embedding[i + 1]::DOUBLE AS v FROM embeddings, generate_series(0, 63) g(i))"
@@ -201,3 +202,26 @@ def shape_compare(spark, sf):
     n = F.size("embedding").cast("long")
     ratio = op.shape_ratio(F.array(F.lit(3).cast("long"), n, n), F.array(k % 5, k % 7 + 1))
     return table(spark, sf, "embeddings").select("vec_id", ratio[1].alias("last"), ratio[0].alias("first"))
+
+
+_PARTS = "SELECT p_partkey // 100 AS z, p_partkey // 10 % 10 AS y, p_partkey % 10 AS x, p_size AS v FROM part"
+
+
+@query(f"""WITH a AS ({_PARTS}), n AS (SELECT max(z) AS top FROM a),
+b AS (SELECT z, y // 2 AS y, x // 2 AS x, round_even(avg(v), 0) AS v FROM a GROUP BY ALL),
+d AS (SELECT unnest([0, 1]) AS d),
+c AS (SELECT g.z, g.y, g.x, round_even(avg(b.v), 0) AS v FROM (SELECT DISTINCT z // 2 AS z, y // 2 AS y, x // 2 AS x FROM b) g, d dz, d dy, d dx, n, b
+  WHERE b.z = least(2 * g.z + dz.d, top) AND b.y = least(2 * g.y + dy.d, 4) AND b.x = least(2 * g.x + dx.d, 4) GROUP BY ALL)
+SELECT 's0' AS level, z, y, x, v::BIGINT AS v, 0 AS faults FROM a WHERE z BETWEEN 3 AND 9 AND x < 4 UNION ALL SELECT 's1', z, y, x, v::BIGINT, 0 FROM b UNION ALL SELECT 's2', z, y, x, v::BIGINT, 0 FROM c""")
+def voxel_pyramid(spark, sf):
+    """Parts as an array in chunks with two further levels, read back: of the first level a crop, of the others all, and the faults of the pyramid."""
+    k = F.col("p_partkey")
+    vox = table(spark, sf, "part").select(F.floor(k / 100).alias("z"), (F.floor(k / 10) % 10).alias("y"), (k % 10).alias("x"), F.col("p_size").alias("v"))
+    depth = vox.agg(F.max("z")).first()[0] + 1
+    path = storage.new_folder(spark, "pyramid")
+    names = voxels.write_multiscale(vox, path, (depth, 10, 10), "uint16", (30, 8, 8), [(1, 2, 2), (2, 2, 2)], chunk=(8, 4, 4))
+    faults = voxels.pyramid_faults(spark, path).count()
+    levels = {n: voxels.read(spark, f"{path}/{n}") for n in names}
+    levels["s0"] = levels["s0"].where("z BETWEEN 3 AND 9 AND x < 4")
+    first, *rest = [df.select(F.lit(n).alias("level"), "z", "y", "x", F.col("v").cast("long").alias("v"), F.lit(faults).alias("faults")) for n, df in levels.items()]
+    return first.union(rest[0]).union(rest[1])
