@@ -18,7 +18,8 @@ for anywhere in a document; one of fewer words contaminates only documents of ju
 
 A window leaves its document only if a bit of its hash is set in a filter over the benchmark: one
 array of 2^23 bits whatever the benchmark's size, so what is broadcast doesn't grow; the join behind
-it is exact. All later steps are grouped by (document, item, kind, diagonal).
+it is exact. It takes only the rarest windows of each item, as few as every alignment that counts must meet, so a
+phrase that many items and documents share joins nothing; the other windows are compared where a rare one has met. All later steps are grouped by (document, item, kind, diagonal).
 
 Defined results: null or empty texts have no window; null ids of documents are kept as null;
 repeated rows of one id are one document; items without a counted window match nothing.
@@ -27,6 +28,7 @@ repeated rows of one id are one document; items without a counted window match n
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -234,6 +236,45 @@ def document_windows(docs: DataFrame, passes: np.ndarray, short: tuple[int, ...]
     return src.mapInArrow(work, _SCHEMA)
 
 
+def rarest(bench: DataFrame, share: float, run: int) -> DataFrame:
+    """(item_id, kind, at, hash) of the windows of which every alignment that counts has at least one.
+
+    Windows are ranked by how many items hold them. An alignment over ceil(``share`` n) of an item's n windows has one
+    of any n - ceil(share n) + 1 of them, so of that many rarest ones; one that runs over ``run`` words has
+    every window of a row of run - SIZE + 1, so the rarest of it.
+    """
+    held = bench.groupBy("hash").agg(F.count_distinct("id").alias("held"))
+    one = bench.select(F.col("id").alias("item_id"), "kind", F.col("pos").alias("at"), "hash").distinct().join(held, "hash")
+    item = Window.partitionBy("item_id", "kind")
+    rank = F.struct("held", "at")
+    row = max(run - SIZE + 1, 1)
+    ahead = item.orderBy("at").rowsBetween(0, row - 1)
+    marked = one.select(
+        "item_id", "kind", "at", "hash",
+        F.row_number().over(item.orderBy("held", "at")).alias("nth"),
+        F.count(F.lit(1)).over(item).alias("n"),
+        F.size(F.collect_set("at").over(item)).alias("places"),  # of one item
+        F.when(F.max("at").over(ahead) - F.col("at") == row - 1, F.min(rank).over(ahead)["at"]).alias("least"),
+    )
+    # an id with several texts keeps all its windows
+    needed = F.when(F.col("n") > F.col("places"), F.col("n")).otherwise(F.col("n") - F.ceil(F.col("n") * F.lit(share)) + 1)
+    of_rows = marked.where("least IS NOT NULL").select("item_id", "kind", F.col("least").alias("at")).distinct()
+    by_row = marked.join(of_rows, ["item_id", "kind", "at"], "left_semi")
+    return marked.where(F.col("nth") <= needed).unionByName(by_row).select("item_id", "kind", "at", "hash").distinct()
+
+
+def matches(seen: DataFrame, bench: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(id, item_id, kind, diagonal, at, fills, wanted): the windows in common of a document and an item on the
+    diagonals where an anchor of the item meets the document. Others, stock phrases above all, join nothing."""
+    place = (F.col("pos") - F.col("at")).alias("diagonal")
+    lines = seen.select("id", "pos", "hash").join(anchors, "hash").select("id", "item_id", "kind", place).distinct()
+    items = bench.select(F.col("id").alias("item_id"), "kind", F.col("pos").alias("at"), "hash", F.col("fills").alias("wanted"))
+    wanted = lines.join(items, ["item_id", "kind"]).withColumn("pos", F.col("diagonal") + F.col("at")).alias("w")
+    there = seen.select("id", "pos", "hash", "fills").distinct().alias("s")
+    same = (F.col("s.hash") == F.col("w.hash")) & (F.col("s.pos") == F.col("w.pos")) & F.col("s.id").eqNullSafe(F.col("w.id"))
+    return wanted.join(there, same).select("w.id", "w.item_id", "w.kind", "w.diagonal", "w.at", "s.fills", "w.wanted").distinct()
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -248,14 +289,12 @@ def contaminated(
     for each contaminated document and item, its best alignment. Words are counted as canonical ones in
     alignments of kind 0 (templates), as they stand in those of kind 1."""
     bench = written(item_windows(items, item_id_col, item_text_col).where(F.col("id").isNotNull()), "items")
-    sizes = bench.groupBy(F.col("id").alias("item_id"), "kind").agg(F.count_distinct("pos").alias("item_windows"))
-    short = bench.where(F.col("size").between(3, SIZE - 1)).select("size").distinct().collect()  # at most two sizes
-    seen = document_windows(docs, hash_filter(bench), tuple(r["size"] for r in short), id_col, text_col)
-    b = bench.select(F.col("id").alias("item_id"), F.col("pos").alias("at"), "hash", F.col("fills").alias("wanted"))
-    met = seen.join(b, "hash").select(
-        "id", "item_id", "kind", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "fills", "wanted"
+    sizes = bench.groupBy(F.col("id").alias("item_id"), "kind").agg(
+        F.count_distinct("pos").alias("item_windows"), F.max("size").alias("size")
     )
-    met = written(met.distinct(), "met")
+    short = bench.where(F.col("size").between(3, SIZE - 1)).select("size").distinct().collect()  # at most two sizes
+    seen = written(document_windows(docs, hash_filter(bench), tuple(r["size"] for r in short), id_col, text_col), "seen")
+    met = written(matches(seen, bench, rarest(bench, share, run)), "met")
     line = ["id", "item_id", "kind", "diagonal"]
     # windows in a row: the position less its rank is the same within a run
     rank = F.dense_rank().over(Window.partitionBy(*line).orderBy("at"))
@@ -282,13 +321,15 @@ def contaminated(
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in line]
     fits = F.col("s.n").isNull() | ((F.col("s.n") == F.col("s.nw")) & (F.col("s.names") == F.col("s.nf")))
     lines = lines.alias("l").join(slots.alias("s"), same, "left").where(fits).select(
-        *[F.col(f"l.{k}").alias(k) for k in ("id", "item_id", "kind", "windows")],
-        (F.col("most") + SIZE - 1).alias("longest"),
+        *[F.col(f"l.{k}").alias(k) for k in ("id", "item_id", "kind", "windows", "most")],
         (F.col("l.diagonal") + F.col("lo")).alias("first_word"),
-        (F.col("l.diagonal") + F.col("hi") + SIZE - 1).alias("last_word"),
+        (F.col("l.diagonal") + F.col("hi")).alias("last"),
         F.coalesce("s.changed", F.lit(0)).alias("changed_slots"),
     )
-    found = lines.join(sizes, ["item_id", "kind"]).where(
+    lines = lines.join(sizes, ["item_id", "kind"]).withColumns(
+        {"longest": F.col("most") + F.col("size") - 1, "last_word": F.col("last") + F.col("size") - 1}
+    )
+    found = lines.where(
         (F.col("windows") >= F.ceil(F.col("item_windows") * F.lit(share))) | (F.col("longest") >= run)
     )
     best = F.max_by(
@@ -304,9 +345,11 @@ def remove(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     A text is named by its 64-bit hash; rows without a text stay.
     """
     text = F.col(text_col).cast("string")
-    keyed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(text, F.lit(""))))
-    gone = contaminated(keyed, items, id_col="_text_hash", text_col=text_col, **knobs).select(F.col("id").alias("_gone")).distinct()
-    return keyed.join(gone, F.col("_text_hash") == F.col("_gone"), "left_anti").drop("_text_hash")
+    own, gone = (f"{n}_{uuid.uuid4().hex}" for n in ("own", "gone"))  # names that no table has
+    keyed = docs.withColumn(own, F.xxhash64(F.coalesce(text, F.lit(""))))
+    narrow = keyed.select(F.col(own).alias("id"), text.alias("text"))
+    found = contaminated(narrow, items, id_col="id", text_col="text", **knobs).select(F.col("id").alias(gone)).distinct()
+    return keyed.join(found, F.col(own) == F.col(gone), "left_anti").drop(own)
 
 
 def op6_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

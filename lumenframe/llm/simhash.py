@@ -23,6 +23,7 @@ ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -435,12 +436,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows, roots = near_copies(docs, id_col, text_col)
     named = rows.select("id", "same", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "same")).alias("f")
-    kept = named.groupBy("root").agg(first).select(F.col("f.id").alias("_kept_id"), F.col("f.same").alias("_kept_text"))
+    own_id, own_text, kept_id, kept_text = (f"{n}_{uuid.uuid4().hex}" for n in ("id", "text", "kept_id", "kept_text"))  # names that no table has
+    kept = named.groupBy("root").agg(first).select(F.col("f.id").alias(kept_id), F.col("f.same").alias(kept_text))
     key, same = row_key(id_col, text_col)
-    marked = docs.withColumn("_text_hash", same).withColumn("_row_id", key)
-    found = (F.col("_text_hash") == F.col("_kept_text")) & F.col("_row_id").eqNullSafe(F.col("_kept_id"))
+    marked = docs.withColumn(own_text, same).withColumn(own_id, key)
+    found = (F.col(own_text) == F.col(kept_text)) & F.col(own_id).eqNullSafe(F.col(kept_id))
     left = marked.join(kept, found, "left_semi")
-    return left.dropDuplicates(["_row_id", "_text_hash"]).drop("_text_hash", "_row_id")
+    return left.dropDuplicates([own_id, own_text]).drop(own_id, own_text)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
