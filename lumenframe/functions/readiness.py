@@ -25,8 +25,8 @@ FAMILIES = {
     "exm": ("expansion",),
 }
 #: Formats with native readers, alignments that take labels off the grid, trusted sources of a size.
-NATIVE_FORMATS = ("hdf5", "mrc", "nifti", "ome-tiff", "tiff")
-OFF_GRID = ("cropped", "offset", "scaled", "transform-provided")
+NATIVE_FORMATS = ("tiff", "ome-tiff", "hdf5", "mrc", "nifti")
+OFF_GRID = ("offset", "cropped", "scaled", "transform-provided")
 CONFIRMED_SIZES = ("file-listing",)
 WHOLE_DOWNLOAD_LIMIT = 50 * 10**9
 
@@ -70,7 +70,7 @@ def _common(record: Column) -> list[tuple[Column, Column | str]]:
     off = F.filter(F.transform(_labels(record["arrays"]), lambda a: a["alignment"]), lambda x: x.isin(*OFF_GRID))
     text = lambda c: F.coalesce(c, F.lit("unknown"))
     return [
-        (~record["access"].eqNullSafe(F.lit("open")), F.concat(F.lit("access "), text(record["access"]), F.lit(": needs open access"))),
+        (~record["access"].eqNullSafe(F.lit("open")), F.concat(F.lit("access "), text(record["access"]), F.lit(": only open data"))),
         (~record["dimensionality"].eqNullSafe(F.lit("3D")), F.concat(F.lit("dimensionality "), text(record["dimensionality"]), F.lit(": only 3D"))),
         (~voxel_size_found(record["voxel"]), "voxel size needs x, y and z"),
         (organisms != 1, F.concat(organisms.cast("string"), F.lit(" organisms: one for each dataset"))),
@@ -121,12 +121,12 @@ def crop_status(overall: Column, unverified: Column, review: Column, same_images
     """
     other = F.size(F.filter(unverified, lambda x: ~F.startswith(x, F.lit("alignment:")))) > 0
     reason = (
-        F.when(overall.isNull(), "not verified")
-        .when(overall == "fail", "verification failed")
-        .when((overall == "unverified") & other, "verification open")
-        .when(review.isNull(), "no visual review")
-        .when(review != "pass", F.concat(F.lit("visual review "), review))
-        .when(~F.coalesce(same_images, F.lit(False)), "overlays changed after the review")
+        F.when(overall.isNull(), "not checked yet")
+        .when(overall == "fail", "a check failed")
+        .when((overall == "unverified") & other, "checks are still open")
+        .when(review.isNull(), "nobody has looked at the images")
+        .when(review != "pass", F.concat(F.lit("review of the images: "), review))
+        .when(~F.coalesce(same_images, F.lit(False)), "images are newer than their review")
     )
-    fine = F.when(overall == "pass", "pass").otherwise("alignment open, visual review pass")
+    fine = F.when(overall == "pass", "pass").otherwise("only the alignment is open, the images were passed")
     return reason.isNull(), F.coalesce(reason, fine)

@@ -25,7 +25,7 @@ _RECORDS = f"""r AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 11 = 0 THEN NU
  p_partkey % 2 = 1 AS annotated, CASE WHEN p_partkey % 12 > 0 THEN CASE WHEN p_partkey % 12 < 4 THEN ['no raw array'] ELSE []::VARCHAR[] END END AS planned,
  CASE WHEN p_partkey % 16 > 0 THEN p_size::BIGINT * 2000000000 END AS size, p_partkey % 3 = 0 AS listed FROM part),
 f AS (SELECT *, coalesce({_family('ms[1:1]')}, {_family('ms')}) AS family, vx > 0 AND vz IS NOT NULL AS voxel FROM r),
-c AS (SELECT *, {_SOME.format("CASE WHEN access IS DISTINCT FROM 'open' THEN 'access ' || coalesce(access, 'unknown') || ': needs open access' END, CASE WHEN dim IS DISTINCT FROM '3D' THEN 'dimensionality ' || coalesce(dim, 'unknown') || ': only 3D' END, CASE WHEN NOT voxel THEN 'voxel size needs x, y and z' END, CASE WHEN organisms <> 1 THEN organisms || ' organisms: one for each dataset' END, CASE WHEN family IS NULL THEN 'modality family unclear: ' || array_to_string(ms, ', ') END, CASE WHEN arrays = 2 THEN 'array roles mesh: only raw and label' END, CASE WHEN arrays = 1 THEN 'label alignment offset: not on the raw grid' END")} AS common FROM f)"""
+c AS (SELECT *, {_SOME.format("CASE WHEN access IS DISTINCT FROM 'open' THEN 'access ' || coalesce(access, 'unknown') || ': only open data' END, CASE WHEN dim IS DISTINCT FROM '3D' THEN 'dimensionality ' || coalesce(dim, 'unknown') || ': only 3D' END, CASE WHEN NOT voxel THEN 'voxel size needs x, y and z' END, CASE WHEN organisms <> 1 THEN organisms || ' organisms: one for each dataset' END, CASE WHEN family IS NULL THEN 'modality family unclear: ' || array_to_string(ms, ', ') END, CASE WHEN arrays = 2 THEN 'array roles mesh: only raw and label' END, CASE WHEN arrays = 1 THEN 'label alignment offset: not on the raw grid' END")} AS common FROM f)"""
 
 
 def _records(spark, sf):
@@ -80,9 +80,9 @@ def native_reasons(spark, sf):
 
 @query("""WITH s AS (SELECT event_id, CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN 'fail' WHEN 'click' THEN 'unverified' ELSE 'pass' END AS overall,
  CASE WHEN event_id % 2 = 0 THEN ['alignment: flat', 'range: open'] ELSE ['alignment: flat'] END AS open, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'fail' ELSE 'pass' END AS review, CASE WHEN event_id % 7 > 0 THEN event_id % 3 > 0 END AS same FROM events),
-r AS (SELECT *, CASE WHEN overall IS NULL THEN 'not verified' WHEN overall = 'fail' THEN 'verification failed' WHEN overall = 'unverified' AND len(open) = 2 THEN 'verification open'
- WHEN review IS NULL THEN 'no visual review' WHEN review <> 'pass' THEN 'visual review ' || review WHEN NOT coalesce(same, false) THEN 'overlays changed after the review' END AS reason FROM s)
-SELECT event_id, reason IS NULL AS ok, coalesce(reason, CASE WHEN overall = 'pass' THEN 'pass' ELSE 'alignment open, visual review pass' END) AS reason FROM r""")
+r AS (SELECT *, CASE WHEN overall IS NULL THEN 'not checked yet' WHEN overall = 'fail' THEN 'a check failed' WHEN overall = 'unverified' AND len(open) = 2 THEN 'checks are still open'
+ WHEN review IS NULL THEN 'nobody has looked at the images' WHEN review <> 'pass' THEN 'review of the images: ' || review WHEN NOT coalesce(same, false) THEN 'images are newer than their review' END AS reason FROM s)
+SELECT event_id, reason IS NULL AS ok, coalesce(reason, CASE WHEN overall = 'pass' THEN 'pass' ELSE 'only the alignment is open, the images were passed' END) AS reason FROM r""")
 def crop_status(spark, sf):
     """Crops (an event each) by verification and visual review."""
     k, t = F.col("event_id"), F.col("event_type")
