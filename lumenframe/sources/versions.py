@@ -81,7 +81,7 @@ class VersionedTable:
             now = self.read(until)
             gone = before.join(now, F.col(self.key).eqNullSafe(now[self.key]), "left_anti").withColumn("_deleted", F.lit(True))
             return now.exceptAll(before).withColumn("_deleted", F.lit(False)).unionByName(gone)
-        return self._newest(self._rows([d for d in new["deltas"] if d not in old])).drop("_order")
+        return self._newest(self._rows([d for d in new["deltas"] if d not in old])).select(*self.columns, "_deleted")
 
     def _write(self, rows: DataFrame, order: int) -> str:
         name = f"{order:012d}-{uuid.uuid4().hex}"
