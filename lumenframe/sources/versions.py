@@ -79,7 +79,8 @@ class VersionedTable:
         if new["base"] > since:  # compacted meanwhile: compare the contents
             before = self._newest(self._rows(sorted(old))).where("NOT _deleted").select(*self.columns)
             now = self.read(until)
-            gone = before.join(now, F.col(self.key).eqNullSafe(now[self.key]), "left_anti").withColumn("_deleted", F.lit(True))
+            there = now.select(F.col(self.key).alias("_now"))
+            gone = before.join(there, F.col(self.key).eqNullSafe(F.col("_now")), "left_anti").withColumn("_deleted", F.lit(True))
             return now.exceptAll(before).withColumn("_deleted", F.lit(False)).unionByName(gone)
         return self._newest(self._rows([d for d in new["deltas"] if d not in old])).select(*self.columns, "_deleted")
 
