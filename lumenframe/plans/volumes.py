@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumenframe.operators import arrays as op
+from lumenframe.operators import sampling
 from lumenframe.plans import query, table
 from lumenframe.sources import storage, voxels
 
@@ -225,3 +226,51 @@ def voxel_pyramid(spark, sf):
     levels["s0"] = levels["s0"].where("z BETWEEN 3 AND 9 AND x < 4")
     first, *rest = [df.select(F.lit(n).alias("level"), "z", "y", "x", F.col("v").cast("long").alias("v"), F.lit(faults).alias("faults")) for n, df in levels.items()]
     return first.union(rest[0]).union(rest[1])
+
+
+def _centre(step: float, i: str, n: int) -> str:
+    return f"least(greatest(({i} + 0.5) * {step}::DOUBLE - 0.5, 0), {n - 1})"
+
+
+_GRID = ", ".join(f"generate_series(0, {m - 1}) g{a}(i{a})" for a, m in zip("zyx", (8, 2, 3), strict=True))
+_BY = {"z": 0.5, "y": 2.0, "x": 4 / 3}
+_WEIGHT = " * ".join(f"greatest(1 - abs({_centre(s, f'i{a}', 4)} - v.{a}), 0)" for a, s in _BY.items())
+_NEAREST = " AND ".join(f"v.{a} = floor({_centre(s, f'i{a}', 4)} + 0.5)" for a, s in _BY.items())
+
+
+@query(f"""WITH v AS {_CUBE}
+SELECT 'image' AS kind, crop, iz AS z, iy AS y, ix AS x, sum(v * {_WEIGHT}) AS v FROM v, {_GRID} GROUP BY ALL
+UNION ALL SELECT 'label', crop, iz, iy, ix, max(floor(v * 8)) FROM v, {_GRID} WHERE {_NEAREST} GROUP BY ALL""")
+def resample(spark, sf):
+    """Embeddings as volumes at another voxel size, as images and as labels."""
+    size, target = (2.0, 1.0, 1.5), (1.0, 2.0, 2.0)
+    vox = _cube(spark, sf)
+    image = sampling.resampled(vox, CUBE, size, target)
+    label = sampling.resampled(vox.withColumn("v", F.floor(F.col("v") * 8).cast("double")), CUBE, size, target, "label")
+    named = lambda df, kind: df.select(F.lit(kind).alias("kind"), "crop", *op.ZYX, "v")
+    return named(image, "image").unionByName(named(label, "label"))
+
+
+_DRAW = "(('0x' || substr(md5('7:2:' || id || ':' || s || ':{}'), 1, 13))::BIGINT / 4503599627370496.0)"
+
+
+@query(f"""WITH p AS (SELECT p_partkey AS id, 90 + p_size * 3 AS nx, 100 + p_size * 2 AS ny, 4 + p_size AS nz FROM part WHERE p_partkey % 7 > 0 AND least(90 + p_size * 3, 100 + p_size * 2) >= 128),
+d AS (SELECT *, 64 + {_DRAW.format('x')} * (nx - 128) AS cx, 64 + {_DRAW.format('y')} * (ny - 128) AS cy, floor({_DRAW.format('z')} * nz) AS cz FROM p, (SELECT unnest([0, 1, 2]) AS s)),
+f AS (SELECT *, ceil(nx / f)::INT AS lx, ceil(ny / f)::INT AS ly, CASE WHEN f = 8 THEN ceil(nz / 2)::INT ELSE nz END AS lz, CASE WHEN f = 8 THEN 2 ELSE 1 END AS fz FROM d, (SELECT unnest([1, 2, 8]) AS f)),
+g AS (SELECT id, s, f, greatest(0, least(round_even(cx / f - 8, 0), lx - 16))::INT AS x0, greatest(0, least(round_even(cy / f - 8, 0), ly - 16))::INT AS y0, least(floor(cz / fz), lz - 1)::INT AS z0 FROM f)
+SELECT id AS p_partkey, s AS sample, f AS factor, x0, y0, z0, x0 * 4.0 * f + 2.0 * (f - 1) AS low_x, (y0 + 15) * 4.0 * f + 2.0 * (f - 1) AS high_y FROM g""")
+def patch_sampler(spark, sf):
+    """Three places in each of the parts, taken as arrays, with a patch of 16 around it at three levels."""
+    nx, ny, nz = 90 + F.col("p_size") * 3, 100 + F.col("p_size") * 2, 4 + F.col("p_size")
+    xyz = lambda x, y, z: F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
+
+    def level(f):
+        d = lambda v: F.lit(float(v))
+        down = 2 if f == 8 else 1
+        shape = xyz(F.ceil(nx / f).cast("int"), F.ceil(ny / f).cast("int"), F.ceil(nz / down).cast("int"))
+        return F.struct(xyz(d(4 * f), d(4 * f), d(30 * down)).alias("scale"), xyz(d(2 * (f - 1)), d(2 * (f - 1)), d(0)).alias("translation"), shape.alias("shape"))
+
+    levels = F.when(F.col("p_partkey") % 7 > 0, F.array(level(1), level(2), level(8))).otherwise(F.array(level(1), level(8)))
+    arrays = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), levels.alias("levels"))
+    found = sampling.patch_samples(arrays, 3, 16, (1, 2, 8), seed=7, epoch=2)
+    return found.select(F.col("id").alias("p_partkey"), "sample", "factor", "x0", "y0", "z0", F.col("low")[0].alias("low_x"), F.col("high")[1].alias("high_y"))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenframe.functions import text
-from lumenframe.operators import planning, rollup
+from lumenframe.operators import planning, rollup, sampling
 from lumenframe.sources import crawl, storage, versions, voxels
 
 # ---------------------------------------------------------------- plans
@@ -307,3 +307,53 @@ def test_json_is_what_zarr_readers_expect(spark):
     assert voxels.Layout.of(json.loads(json.dumps(layout.meta()))) == layout
     with pytest.raises(ValueError):
         voxels.Layout.of(layout.meta() | {"data_type": "complex64"})
+
+
+# ---------------------------------------------------------------- sampling
+
+
+def plain_resample(a, voxel, target, kind):
+    shape = sampling.resampled_shape(a.shape, voxel, target)
+    out = np.zeros(shape)
+    for place in np.ndindex(*shape):
+        total, centres = 0.0, [min(max((i + 0.5) * t / e - 0.5, 0), n - 1) for i, t, e, n in zip(place, target, voxel, a.shape, strict=True)]
+        if kind == "label":
+            out[place] = a[tuple(int(np.floor(c + 0.5)) for c in centres)]
+            continue
+        for corner in np.ndindex(2, 2, 2):
+            at = [min(int(c) + d, n - 1) for c, d, n in zip(centres, corner, a.shape, strict=True)]
+            w = [c - int(c) if d else 1 - (c - int(c)) for c, d in zip(centres, corner, strict=True)]
+            total += a[tuple(at)] * np.prod(w)
+        out[place] = total
+    return out
+
+
+@pytest.mark.parametrize("kind", ["image", "label"])
+@pytest.mark.parametrize("target", [(10, 5, 5), (20, 8, 3), (7, 5, 90), (10, 11, 4.5)])
+def test_resampling_is_that_of_a_plain_loop(spark, kind, target):
+    a = np.random.default_rng(4).integers(0, 9, (3, 6, 5))
+    got = sampling.resampled(cube(spark, a).withColumn("crop", F.lit("k")), a.shape, (10, 5, 5), target, kind)
+    want = plain_resample(a, (10, 5, 5), target, kind)
+    found = {(r["z"], r["y"], r["x"]): r["v"] for r in got.collect()}
+    assert set(found) == set(np.ndindex(*want.shape))
+    assert all(found[p] == pytest.approx(want[p]) for p in found)
+
+
+LEVELS = "id string, levels array<struct<scale: struct<x: double, y: double, z: double>, translation: struct<x: double, y: double, z: double>, shape: struct<x: int, y: int, z: int>>>"
+
+
+def test_patches_nest_and_do_not_depend_on_partitions(spark):
+    level = lambda f, n: ((4.0 * f, 4.0 * f, 30.0), (2.0 * (f - 1), 2.0 * (f - 1), 0.0), (n // f, n // f, 9))
+    rows = [("a", [level(f, 400) for f in (1, 2, 8)]), ("b", [level(f, 400) for f in (1, 8)]), ("c", [level(f, 120) for f in (1, 2, 8)]), (None, [level(f, 160) for f in (1, 2, 8)]), ("d", None)]
+    arrays = spark.createDataFrame(rows, LEVELS)
+    draw = lambda df, **k: {tuple(map(str, r)) for r in sampling.patch_samples(df, 20, 16, (1, 2, 8), **k).collect()}
+    first = draw(arrays, seed=1)
+    assert first == draw(arrays.repartition(5), seed=1) and first != draw(arrays, seed=1, epoch=1) and first != draw(arrays, seed=2)
+    found = sampling.patch_samples(arrays, 20, 16, (1, 2, 8), seed=1).collect()
+    assert {r["id"] for r in found} == {"a", None} and len(found) == 2 * 20 * 3
+    by = {(r["id"], r["sample"], r["factor"]): r for r in found}
+    for (i, s, f), r in by.items():
+        assert 0 <= r["x0"] and r["x0"] + 16 <= (400 if i else 160) // f and 0 <= r["z0"] < 9
+        if f < 8:  # the box of a finer patch lies in that of the coarsest, to half a coarse voxel
+            outer = by[i, s, 8]
+            assert all(o - 16 <= a and b <= p + 16 for o, a, b, p in zip(outer["low"], r["low"], r["high"], outer["high"], strict=True))
