@@ -8,8 +8,8 @@ Equal texts take the dimensions of the one with the smallest id, and so lie next
 the curve; only a cut can part them. The law is ``rows``: shard sizes in rows differ by one at
 most. (Keeping all copies in one shard can't go with that when a group holds a third of all rows.)
 
-Steps: categories by the rank of the value among all values while there are at most
-``max_categories`` of them, else by hash; numbers by approximate quantiles. The global rank is
+Steps: categories by the rank of the value among all values, however many; numbers by approximate
+quantiles. The global rank, of values as of rows, is
 found by range partitioning (sampled splits), a sort of each partition and the partitions' counts;
 only the counts, one number for each partition, reach the driver.
 
@@ -55,18 +55,21 @@ def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _category_step(df: DataFrame, col: str, bits: int, max_categories: int) -> tuple[DataFrame, Column]:
-    """Rank of the value among the values, scaled; by hash where there are too many of them."""
-    values = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_categories + 1).collect()
-    if len(values) > max_categories:
-        return df, F.coalesce(F.pmod(F.xxhash64(col), F.lit(1 << bits)), F.lit(0)).cast("int")
-    names = sorted(v[0] for v in values)
-    if not names:
-        return df, F.lit(0)
-    steps = [(v, (k << bits) // len(names)) for k, v in enumerate(names)]  # over the whole range, so that few values part it coarsely
-    ranks = df.sparkSession.createDataFrame(steps, f"{col} string, _{col}_step int")
-    joined = df.join(F.broadcast(ranks), col, "left")  # at most max_categories rows
-    return joined, F.coalesce(F.col(f"_{col}_step"), F.lit(0))
+def _category_step(df: DataFrame, col: str, bits: int) -> Column:
+    """Rank of the value among all values, scaled to the whole range, so that few values part it coarsely.
+
+    The values are ranked by range partitioning, however many there are; the least value of each
+    step, 2^bits at most, comes back to make the expression.
+    """
+    values, n = ranked(df.select(col).where(F.col(col).isNotNull()).distinct(), [col])
+    if not n:
+        return F.lit(0)
+    step = F.expr(f"shiftleft(rank, {bits}) div {n}L")
+    least = values.groupBy(step.alias("step")).agg(F.min(col).alias("least")).orderBy(F.desc("step")).collect()
+    out = F.when(F.col(col) >= least[0]["least"], least[0]["step"])
+    for r in least[1:]:
+        out = out.when(F.col(col) >= r["least"], r["step"])
+    return F.coalesce(out, F.lit(0))
 
 
 def _number_step(cuts: list[float], col: str) -> Column:
@@ -99,7 +102,6 @@ def shard(
     docs: DataFrame,
     shards: int = 24,
     bits: int = 4,
-    max_categories: int = 4096,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
@@ -122,10 +124,10 @@ def shard(
     meta = written(meta, "meta")
     first = meta.groupBy("same", "crc", "size").agg(F.min(F.struct("id", "source", "lang")).alias("f"), F.count(F.lit(1)).alias("copies"))
     groups = first.select("same", "crc", "size", "copies", F.col("f.id").alias("first"), "f.source", "f.lang")
+    groups = written(groups, "first")
     cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
     by_size, by_id = groups.approxQuantile(["size", "first"], cuts, 0.001)
-    groups, source = _category_step(groups, "source", bits, max_categories)
-    groups, lang = _category_step(groups, "lang", bits, max_categories)
+    source, lang = _category_step(groups, "source", bits), _category_step(groups, "lang", bits)
 
     @F.pandas_udf("long")
     def curve(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:

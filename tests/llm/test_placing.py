@@ -233,3 +233,16 @@ def test_a_host_with_most_of_the_pages_and_pages_without_an_id(spark):
     ).collect()
     assert Counter((r["id"], r["verdict"]) for r in found) == Counter((i, "block" if i is None or i < 1000 else "allow") for i, _ in pages)
     assert len({(r["n_outcomes"], r["bound"]) for r in found if r["host"] == "www.big.com"}) == 1
+
+
+def test_many_values_of_a_category_keep_their_order(spark):
+    from lumenframe.llm.hilbert import _category_step
+
+    names = [f"host{k:05d}" for k in range(6000)] + ["é", "zz", ""]
+    df = spark.createDataFrame([(n,) for n in names] + [(None,), ("zz",)], "source string").repartition(3)
+    got = {r["source"]: r["step"] for r in df.select("source", _category_step(df, "source", 4).alias("step")).collect()}
+    order = sorted(names)
+    assert got == {n: k * 16 // len(order) for k, n in enumerate(order)} | {None: 0}
+    few = df.where("source IN ('é', 'zz') OR source IS NULL")
+    assert {r["source"]: r["step"] for r in few.select("source", _category_step(few, "source", 4).alias("step")).collect()} == {"é": 8, "zz": 0, None: 0}
+    assert few.limit(0).select(_category_step(few.limit(0), "source", 4)).count() == 0
