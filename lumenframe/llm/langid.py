@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from lumenframe.llm.common import fold, table, temperature
 
 BUCKETS = 1 << 16
+CELLS = 1 << 24
 ORDERS = (1, 2, 3)
 
 
@@ -155,11 +156,12 @@ def train(
     lang_col: str = "lang",
     id_col: str = "doc_id",
     per_language: int = 700,
-    max_languages: int = 256,
+    max_languages: int = 2048,
     buckets: int = BUCKETS,
 ) -> Model | None:
     """Fit on at most ``per_language`` texts of each language, fewer from 58 languages on (the bound
-    is on the fit alone).
+    is on the fit alone). From 257 languages on n-grams share fewer buckets, so that the weights stay
+    within ``CELLS`` numbers.
 
     A language beyond the ``max_languages`` most frequent ones is an error, not left out.
     """
@@ -170,9 +172,10 @@ def train(
     languages = sorted(r[0] for r in found)
     if not languages:
         return None
+    buckets = min(buckets, CELLS // len(languages))
     counts, total = document_counts(usable, text_col, buckets)
     idf = np.log((1 + total) / (1 + counts)) + 0.2
-    per_language = max(50, min(per_language, 40_000 // len(languages)))
+    per_language = max(20, min(per_language, 40_000 // len(languages)))
     wanted = {r[0]: min(1.0, 1.5 * per_language / r["count"] + 20 / r["count"]) for r in found}
     share = F.coalesce(*[F.when(F.col(lang_col) == k, F.lit(v)) for k, v in wanted.items()])
     draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(10)), F.lit(1 << 40)) / F.lit(float(1 << 40))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
 import re
 import time
 from pathlib import Path
@@ -449,3 +450,19 @@ def test_every_verbatim_item_of_the_tables_is_found(spark, medium):
         for i, t in texts:
             if len(item.split()) >= 8 and item in t:
                 assert (i, r["item_id"]) in got
+
+
+def test_three_hundred_languages_can_be_learned(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(300):
+        syllables = ["".join(rng.choices(letters, k=3)) for _ in range(5)]
+        rows += [(len(rows) + n, " ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(5)), f"l{k:03d}") for n in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.train(docs, F.col("doc_id") % 8 > 0)
+    assert len(model.languages) == 300 and model.table.size <= langid.CELLS
+    found = langid.predict(docs.where("doc_id % 8 = 0"), model).join(docs.withColumnRenamed("doc_id", "id"), "id")
+    assert found.where("lang = lang_pred").count() > 240
+    with pytest.raises(ValueError):
+        langid.train(docs, F.lit(True), max_languages=299)
