@@ -48,7 +48,8 @@ _LOOKS = str.maketrans("013457@$!|", "oleastasil")
 _ACCENTS = re.compile("[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0670]")
 _EDGE = ".,;:?\"'()[]{}<>*_-"
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
-_KEEP = 400_000
+_KEEP, _KEEP_LETTERS = 400_000, 20_000_000
+_LONG = 1 << 15  # letters of a word that is read in pieces
 
 
 def _plain(word: str) -> str:
@@ -87,9 +88,7 @@ def _hashed(*places: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, code, weight) of all subsequences of all words, scaled to unit length by word."""
-    plain = ["^" + _plain(w) + "$" for w in words]
+def _of_short(plain: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = np.fromiter(map(len, plain), np.int64, len(plain))
     code = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     word = np.repeat(np.arange(len(plain)), size)
@@ -111,6 +110,44 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return w, x, v / norm[w]
 
 
+def _of_long(plain: str) -> tuple[np.ndarray, np.ndarray]:
+    """(code, weight) of the subsequences of one long word, each once; read in pieces, so memory follows the table."""
+    total = np.zeros(1 << TABLE_BITS)
+    for lo in range(0, len(plain), _LONG):
+        code = np.frombuffer(plain[lo : lo + _LONG + SPAN - 1].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        for a, b, c in _GAPS:
+            n = min(_LONG, len(code) - c)
+            if n > 0:
+                x = _hashed(code[:n], code[a : a + n], code[b : b + n], code[c : c + n])
+                total += np.bincount(x, minlength=len(total)) * _NORM[c]
+    at = np.flatnonzero(total)
+    return at, total[at] / np.sqrt((total[at] ** 2).sum())
+
+
+def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, code, weight) of all subsequences of all words, scaled to unit length by word."""
+    plain = ["^" + _plain(w) + "$" for w in words]
+    long = [k for k, p in enumerate(plain) if len(p) > _LONG]
+    w, x, v = _of_short([p if len(p) <= _LONG else "" for p in plain])
+    if not long:
+        return w, x, v
+    parts = [_of_long(plain[k]) for k in long]
+    who = [np.full(len(at), k) for k, (at, _) in zip(long, parts, strict=True)]
+    return np.concatenate([w, *who]), np.concatenate([x, *[p[0] for p in parts]]), np.concatenate([v, *[p[1] for p in parts]])
+
+
+def _batches(words: list[str], count: int, letters: int = 200_000) -> Iterator[tuple[int, int]]:
+    """Ranges of at most so many words and, unless it is a single word, letters."""
+    lo = held = 0
+    for k, w in enumerate(words):
+        if k > lo and (k - lo >= count or held + len(w) > letters):
+            yield lo, k
+            lo, held = k, 0
+        held += len(w)
+    if lo < len(words):
+        yield lo, len(words)
+
+
 @dataclass
 class Model:
     weight: np.ndarray  # one for each subsequence
@@ -120,10 +157,10 @@ class Model:
 
     def margins(self, words: list[str]) -> np.ndarray:
         out = np.empty(len(words))
-        for lo in range(0, len(words), 10_000):  # the subsequences of all words would be many
-            part = words[lo : lo + 10_000]
+        for lo, hi in _batches(words, 10_000):  # the subsequences of all words would be many
+            part = words[lo:hi]
             w, x, v = subsequences(part)
-            out[lo : lo + 10_000] = np.bincount(w, v * self.weight[x], minlength=len(part)) + self.bias
+            out[lo:hi] = np.bincount(w, v * self.weight[x], minlength=len(part)) + self.bias
         return out
 
 
@@ -133,14 +170,20 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.margin: dict[str, float] = {}
+        self.letters = 0  # of the words kept
 
     def worst(self, texts: list[str]) -> list[tuple[float, str]]:
         """The worst word of each text and its margin; no word: the bias and the empty word."""
+        return [top for lo, hi in _batches(texts, 10_000, 4_000_000) for top in self._worst(texts[lo:hi])]
+
+    def _worst(self, texts: list[str]) -> list[tuple[float, str]]:
         split = [words_of(t) for t in texts]
-        if len(self.margin) > _KEEP:
+        if len(self.margin) > _KEEP or self.letters > _KEEP_LETTERS:
             self.margin.clear()
+            self.letters = 0
         new = [w for w in set(itertools.chain.from_iterable(split)) if w not in self.margin]
         self.margin.update(zip(new, self.model.margins(new).tolist(), strict=True))
+        self.letters += sum(map(len, new))
         out = []
         for words in split:
             if words:
@@ -160,8 +203,8 @@ def _kernel(a: list[str], b: list[str]) -> np.ndarray:
         return out
     marks = np.zeros((len(codes), len(b)), np.float32)
     np.add.at(marks, (np.searchsorted(codes, xb), wb), vb)
-    for lo in range(0, len(a), 500):
-        wa, xa, va = subsequences(a[lo : lo + 500])
+    for lo, hi in _batches(a, 500):
+        wa, xa, va = subsequences(a[lo:hi])
         at = np.minimum(np.searchsorted(codes, xa), len(codes) - 1)
         hit = np.flatnonzero(codes[at] == xa)
         hit = hit[np.argsort(wa[hit], kind="stable")]

@@ -466,3 +466,15 @@ def test_three_hundred_languages_can_be_learned(spark):
     assert found.where("lang = lang_pred").count() > 240
     with pytest.raises(ValueError):
         langid.train(docs, F.lit(True), max_languages=299)
+
+
+def test_long_words_are_scored_in_pieces_alike(monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcé漢") for _ in range(n)) for n in (2, 30, 700, 50, 1500, 1)]
+    model = toxicity.Model(np.random.default_rng(0).normal(size=1 << toxicity.TABLE_BITS), 0.5, 1.0, 0.0)
+    whole, scores = model.margins(words), toxicity.Scorer(model).worst([" ".join(words[:3]), words[4], ""])
+    kernel = toxicity._kernel(words, words[:2])
+    monkeypatch.setattr(toxicity, "_LONG", 64)
+    assert np.allclose(model.margins(words), whole) and np.allclose(toxicity._kernel(words, words[:2]), kernel, atol=1e-5)
+    assert [w for _, w in toxicity.Scorer(model).worst([" ".join(words[:3]), words[4], ""])] == [w for _, w in scores]
+    assert list(toxicity._batches(["aaa", "b" * 9, "c", "d"], 10, 4)) == [(0, 1), (1, 2), (2, 4)] and list(toxicity._batches([], 3)) == []
