@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lumenframe.functions.rules import reasons
+from lumenframe.functions.rules import blocking, reasons
 from lumenframe.functions.text import host_in
 
 #: The families of imaging modalities and their members.
@@ -62,9 +62,9 @@ def _labels(arrays: Column) -> Column:
     return F.filter(arrays, lambda a: a["role"] == "label")
 
 
-def _common(record: Column) -> list[tuple[Column, Column | str]]:
+def _common(record: Column) -> tuple[list[tuple[Column, Column | str]], list[tuple[Column, Column | str]]]:
     """The reasons that both ways of download share, of a struct ``record``: access, dimensionality, voxel,
-    organisms, modalities, arrays (role, format, alignment), urls, annotated."""
+    organisms, modalities, arrays (role, format, alignment), urls, annotated. First those of the record, then those of its arrays."""
     organisms = F.coalesce(F.size(record["organisms"]), F.lit(0))
     roles = F.filter(F.transform(record["arrays"], lambda a: a["role"]), lambda x: ~F.coalesce(x.isin("raw", "label"), F.lit(False)))
     off = F.filter(F.transform(_labels(record["arrays"]), lambda a: a["alignment"]), lambda x: x.isin(*OFF_GRID))
@@ -75,27 +75,31 @@ def _common(record: Column) -> list[tuple[Column, Column | str]]:
         (~voxel_size_found(record["voxel"]), "voxel size needs x, y and z"),
         (organisms != 1, F.concat(organisms.cast("string"), F.lit(" organisms: one for each dataset"))),
         (modality_family(record["modalities"]).isNull(), F.concat(F.lit("modality family unclear: "), F.array_join(record["modalities"], ", "))),
+    ], [
         (F.size(roles) > 0, F.concat(F.lit("array roles "), _listed(roles), F.lit(": only raw and label"))),
         (F.size(off) > 0, F.concat(F.lit("label alignment "), _listed(off), F.lit(": not on the raw grid"))),
     ]
 
 
 def readiness_reasons(record: Column, hosts: Sequence[str]) -> Column:
-    """Why a record is not ready: the common reasons, and each sample URL whose host isn't allowed."""
-    host = lambda u: F.lower(F.regexp_extract(u, r"^[a-z0-9]+://(?:[^@/?#]*@)?([^:/?#]*)", 1))
-    barred = F.filter(record["urls"], lambda u: ~(F.startswith(u, F.lit("s3://")) | (u.rlike("^(https?|ftp)://") & host_in(host(u), list(hosts)))))
-    return F.concat(reasons(*_common(record)), F.transform(F.coalesce(barred, F.array().cast("array<string>")), lambda u: F.concat(F.lit("host not allowed: "), u)))
+    """Why a record is not ready: what is against the record, each sample URL whose host isn't allowed, and what is against its arrays."""
+    host = lambda u: F.lower(F.regexp_extract(u, r"^[A-Za-z0-9]+://(?:[^@/?#]*@)?([^:/?#]*)", 1))
+    barred = F.filter(record["urls"], lambda u: ~(u.rlike("^(?i)s3://") | (u.rlike("^(?i)(https?|ftp)://") & host_in(host(u), list(hosts)))))
+    urls = F.transform(F.coalesce(barred, F.array().cast("array<string>")), lambda u: F.concat(F.lit("host not allowed: "), u))
+    first, last = _common(record)
+    return F.concat(reasons(*first), urls, reasons(*last))
 
 
 def readiness(record: Column, found: Column, planned: Column) -> tuple[Column, Column]:
     """(status, reasons). ``found``: ``readiness_reasons``; ``planned``: the planner's reasons, null if there is no planner.
 
-    Flat data are not ready whatever the planner says; without a planner a record is unknown at best.
+    Flat data are not ready whatever the planner says; without a planner a record is unknown at best. The planner's
+    notes ("note:") are told and bar nothing.
     """
     volume = F.coalesce(record["dimensionality"].isin("3D", "3D+t"), F.lit(False))
     every = F.when(~volume, found).when(planned.isNull(), F.concat(found, F.array(F.lit("planner not available")))).otherwise(F.concat(found, planned))
     status = (
-        F.when(~volume | (F.size(found) > 0), "not-ready").when(planned.isNull(), "unknown").when(F.size(planned) > 0, "not-ready").otherwise("ready")
+        F.when(~volume | (F.size(found) > 0), "not-ready").when(planned.isNull(), "unknown").when(F.size(blocking(planned)) > 0, "not-ready").otherwise("ready")
     )
     return status, every
 
@@ -105,13 +109,17 @@ def native_reasons(record: Column) -> Column:
     taken = F.filter(record["arrays"], lambda a: a["role"].isin("raw", "label"))
     formats = F.filter(F.transform(taken, lambda a: a["format"]), lambda f: ~F.coalesce(f.isin(*NATIVE_FORMATS), F.lit(False)))
     odd = F.coalesce(F.filter(record["urls"], lambda u: ~u.rlike("^(https?|ftp|s3)://")), F.array().cast("array<string>"))
-    more = reasons(
+    first, (roles, alignment) = _common(record)
+    found = reasons(
+        *first,
         (~F.coalesce(record["annotated"], F.lit(False)), "no annotations"),
         (F.coalesce(F.size(record["urls"]), F.lit(0)) == 0, "no sample URLs"),
         (F.coalesce(F.size(_labels(record["arrays"])), F.lit(0)) == 0, "no label array"),
+        roles,
         (F.size(formats) > 0, F.concat(F.lit("formats "), _listed(formats), F.lit(": no native reader"))),
+        alignment,
     )
-    return F.concat(reasons(*_common(record)), more, F.transform(odd, lambda u: F.concat(F.lit("not http(s), ftp or s3: "), u)))
+    return F.concat(found, F.transform(odd, lambda u: F.concat(F.lit("not http(s), ftp or s3: "), u)))
 
 
 def crop_status(overall: Column, unverified: Column, review: Column, same_images: Column) -> tuple[Column, Column]:

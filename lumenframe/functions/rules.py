@@ -26,8 +26,9 @@ def ordered_distinct(*parts: Column) -> Column:
 
 
 def schema_rules(schema: dict[str, Any], required: Sequence[str] = ()) -> list[tuple[Column, Column | str]]:
-    """Rules (condition of the fault, message) of a flat object schema. Understands type string / integer /
-    number, enum, pattern, minLength, maxLength, minimum, maximum, minItems, maxItems and format date."""
+    """Rules (condition of the fault, message) of a flat object schema over typed columns. Understands enum,
+    pattern, minLength, maxLength, minimum, maximum, minItems, maxItems and format date; ``schema.faults`` is for nested
+    documents and their types."""
     out: list[tuple[Column, Column | str]] = []
     for name in required:
         out.append((F.col(name).isNull(), f"<root>: '{name}' is a required property"))

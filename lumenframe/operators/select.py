@@ -52,12 +52,13 @@ def compiled(where: Mapping[str, Any], fields: Mapping[str, str], aliases: Mappi
 
 
 def glob_any(path: Column, globs: Sequence[str]) -> Column:
-    """The path fits one of the globs; ``**`` crosses slashes, ``*`` and ``?`` don't."""
+    """The path fits one of the globs; ``**`` crosses slashes, ``*`` and ``?`` don't; ``**/`` may stand for no folder."""
     import re
 
     out = F.lit(False)
     for g in globs:
-        body = re.escape(g).replace(r"/\*\*/", "/(?:.*/)?").replace(r"\*\*", ".*").replace(r"\*", "[^/]*").replace(r"\?", "[^/]")
+        body = re.sub(r"(^|/)\\\*\\\*/", r"\1(?:.*/)?", re.escape(g))
+        body = body.replace(r"\*\*", ".*").replace(r"\*", "[^/]*").replace(r"\?", "[^/]")
         out = out | path.rlike(f"^{body}$")
     return out
 

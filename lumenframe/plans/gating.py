@@ -21,11 +21,11 @@ _RECORDS = f"""r AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 11 = 0 THEN NU
  CASE WHEN p_partkey % 7 = 0 THEN '2D' WHEN p_partkey % 7 = 1 THEN '3D+t' WHEN p_partkey % 13 > 0 THEN '3D' END AS dim, p_size % 4 AS vx, CASE WHEN p_partkey % 6 > 0 THEN 2 END AS vz,
  CASE WHEN p_partkey % 17 = 0 THEN 0 WHEN p_partkey % 9 = 0 THEN 0 WHEN p_partkey % 4 = 0 THEN 2 ELSE 1 END AS organisms,
  CASE p_partkey % 8 WHEN 0 THEN ['FIB-SEM'] WHEN 1 THEN ['confocal', 'TEM'] WHEN 2 THEN ['X-ray'] WHEN 3 THEN ['odd', 'expansion'] WHEN 4 THEN ['odd'] WHEN 5 THEN ['odd', 'TEM', 'confocal'] ELSE []::VARCHAR[] END AS ms,
- p_partkey % 3 AS arrays, CASE WHEN p_partkey % 10 = 0 THEN [] WHEN p_partkey % 10 = 1 THEN ['https://www.example.com/a', 'gopher://x/y'] WHEN p_partkey % 10 = 2 THEN ['s3://bucket/k'] ELSE ['http://u@' || lower(p_type) || '.org:80/z', 'ftp://other.org/q'] END AS urls,
- p_partkey % 2 = 1 AS annotated, CASE WHEN p_partkey % 12 > 0 THEN CASE WHEN p_partkey % 12 < 4 THEN ['no raw array'] ELSE []::VARCHAR[] END END AS planned,
+ p_partkey % 3 AS arrays, CASE WHEN p_partkey % 10 = 0 THEN [] WHEN p_partkey % 10 = 1 THEN ['HTTPS://www.example.com/a', 'gopher://x/y'] WHEN p_partkey % 10 = 2 THEN ['S3://bucket/k'] ELSE ['http://u@' || lower(p_type) || '.org:80/z', 'ftp://other.org/q'] END AS urls,
+ p_partkey % 2 = 1 AS annotated, CASE WHEN p_partkey % 12 > 0 THEN CASE WHEN p_partkey % 12 < 4 THEN ['no raw array'] WHEN p_partkey % 12 = 5 THEN ['note: few slices'] ELSE []::VARCHAR[] END END AS planned,
  CASE WHEN p_partkey % 16 > 0 THEN p_size::BIGINT * 2000000000 END AS size, p_partkey % 3 = 0 AS listed FROM part),
 f AS (SELECT *, coalesce({_family('ms[1:1]')}, {_family('ms')}) AS family, vx > 0 AND vz IS NOT NULL AS voxel FROM r),
-c AS (SELECT *, {_SOME.format("CASE WHEN access IS DISTINCT FROM 'open' THEN 'access ' || coalesce(access, 'unknown') || ': only open data' END, CASE WHEN dim IS DISTINCT FROM '3D' THEN 'dimensionality ' || coalesce(dim, 'unknown') || ': only 3D' END, CASE WHEN NOT voxel THEN 'voxel size needs x, y and z' END, CASE WHEN organisms <> 1 THEN organisms || ' organisms: one for each dataset' END, CASE WHEN family IS NULL THEN 'modality family unclear: ' || array_to_string(ms, ', ') END, CASE WHEN arrays = 2 THEN 'array roles mesh: only raw and label' END, CASE WHEN arrays = 1 THEN 'label alignment offset: not on the raw grid' END")} AS common FROM f)"""
+c AS (SELECT *, {_SOME.format("CASE WHEN access IS DISTINCT FROM 'open' THEN 'access ' || coalesce(access, 'unknown') || ': only open data' END, CASE WHEN dim IS DISTINCT FROM '3D' THEN 'dimensionality ' || coalesce(dim, 'unknown') || ': only 3D' END, CASE WHEN NOT voxel THEN 'voxel size needs x, y and z' END, CASE WHEN organisms <> 1 THEN organisms || ' organisms: one for each dataset' END, CASE WHEN family IS NULL THEN 'modality family unclear: ' || array_to_string(ms, ', ') END")} AS common, {_SOME.format("CASE WHEN arrays = 2 THEN 'array roles mesh: only raw and label' END, CASE WHEN arrays = 1 THEN 'label alignment offset: not on the raw grid' END")} AS of_arrays FROM f)"""
 
 
 def _records(spark, sf):
@@ -36,7 +36,7 @@ def _records(spark, sf):
     for rest, names in ((1, ("confocal", "TEM")), (2, ("X-ray",)), (3, ("odd", "expansion")), (4, ("odd",)), (5, ("odd", "TEM", "confocal"))):
         modality = modality.when(k % 8 == rest, texts(*names))
     arrays = F.when(k % 3 == 0, F.array(array("raw", "tiff", None))).when(k % 3 == 1, F.array(array("raw", "zarr", None), array("label", "hdf5", "offset")))
-    urls = F.when(k % 10 == 1, texts("https://www.example.com/a", "gopher://x/y")).when(k % 10 == 2, texts("s3://bucket/k"))
+    urls = F.when(k % 10 == 1, texts("HTTPS://www.example.com/a", "gopher://x/y")).when(k % 10 == 2, texts("S3://bucket/k"))
     other = F.array(F.concat(F.lit("http://u@"), F.lower("p_type"), F.lit(".org:80/z")), F.lit("ftp://other.org/q"))
     record = F.struct(
         F.when(k % 11 == 0, None).when(k % 5 == 0, "registration").otherwise("open").alias("access"),
@@ -48,14 +48,14 @@ def _records(spark, sf):
         urls.when(k % 10 == 0, None).otherwise(other).alias("urls"),
         (k % 2 == 1).alias("annotated"),
     )
-    planned = F.when(k % 12 == 0, None).when(k % 12 < 4, texts("no raw array")).otherwise(texts())
+    planned = F.when(k % 12 == 0, None).when(k % 12 < 4, texts("no raw array")).when(k % 12 == 5, texts("note: few slices")).otherwise(texts())
     size = F.when(k % 16 > 0, F.col("p_size").cast("long") * 2_000_000_000)
     source = F.when(k % 3 == 0, "file-listing").otherwise("page")
     return table(spark, sf, "part").select(k, record.alias("r"), planned.alias("planned"), size.alias("size"), source.alias("source"))
 
 
-@query(f"""WITH {_RECORDS}, n AS (SELECT *, list_concat(common, list_transform(list_filter(urls, lambda u: NOT (starts_with(u, 's3://') OR (regexp_matches(u, '^(https?|ftp)://') AND regexp_matches(lower(regexp_extract(u, '^[a-z0-9]+://([^@/?#]*@)?([^:/?#]*)', 2)), '^(.*[.])?(example[.]com|other[.]org)$')))), lambda u: 'host not allowed: ' || u)) AS found FROM c)
-SELECT k AS p_partkey, family, CASE WHEN coalesce(dim NOT IN ('3D', '3D+t'), true) OR len(found) > 0 THEN 'not-ready' WHEN planned IS NULL THEN 'unknown' WHEN len(planned) > 0 THEN 'not-ready' ELSE 'ready' END AS status,
+@query(f"""WITH {_RECORDS}, n AS (SELECT *, list_concat(list_concat(common, list_transform(list_filter(urls, lambda u: NOT (starts_with(lower(u), 's3://') OR (regexp_matches(lower(u), '^(https?|ftp)://') AND regexp_matches(lower(regexp_extract(u, '^[A-Za-z0-9]+://([^@/?#]*@)?([^:/?#]*)', 2)), '^(.*[.])?(example[.]com|other[.]org)$')))), lambda u: 'host not allowed: ' || u)), of_arrays) AS found FROM c)
+SELECT k AS p_partkey, family, CASE WHEN coalesce(dim NOT IN ('3D', '3D+t'), true) OR len(found) > 0 THEN 'not-ready' WHEN planned IS NULL THEN 'unknown' WHEN len(planned) > 0 AND NOT starts_with(planned[1], 'note:') THEN 'not-ready' ELSE 'ready' END AS status,
  array_to_string(CASE WHEN coalesce(dim NOT IN ('3D', '3D+t'), true) THEN found WHEN planned IS NULL THEN list_concat(found, ['planner not available']) ELSE list_concat(found, planned) END, '; ') AS reasons,
  coalesce(size < 50000000000 AND listed, false) AS whole FROM n""")
 def readiness(spark, sf):
@@ -71,7 +71,7 @@ def readiness(spark, sf):
     )
 
 
-@query(f"""WITH {_RECORDS} SELECT k AS p_partkey, array_to_string(list_concat(list_concat(common, {_SOME.format("CASE WHEN NOT annotated THEN 'no annotations' END, CASE WHEN len(urls) = 0 THEN 'no sample URLs' END, CASE WHEN arrays = 0 THEN 'no label array' END, CASE WHEN arrays = 1 THEN 'formats zarr: no native reader' END")}),
+@query(f"""WITH {_RECORDS} SELECT k AS p_partkey, array_to_string(list_concat(list_concat(common, {_SOME.format("CASE WHEN NOT annotated THEN 'no annotations' END, CASE WHEN len(urls) = 0 THEN 'no sample URLs' END, CASE WHEN arrays = 0 THEN 'no label array' END, CASE WHEN arrays = 2 THEN of_arrays[1] END, CASE WHEN arrays = 1 THEN 'formats zarr: no native reader' END, CASE WHEN arrays = 1 THEN of_arrays[1] END")}),
  list_transform(list_filter(urls, lambda u: NOT regexp_matches(u, '^(https?|ftp|s3)://')), lambda u: 'not http(s), ftp or s3: ' || u)), '; ') AS reasons FROM c""")
 def native_reasons(spark, sf):
     """Why the native readers can't take a record."""

@@ -266,3 +266,19 @@ def test_similar_records_against_all_pairs(spark):
         if found:
             want[(i, j)] = found
     assert got == want
+
+
+def test_folders_in_globs_may_be_none(spark):
+    rows = spark.createDataFrame([("a.tif",), ("x/a.tif",), ("x/y/a.tif",), ("x/b.tif",)], "p string")
+    fits = lambda *globs: {r["p"] for r in rows.where(select.glob_any(F.col("p"), globs)).collect()}
+    assert fits("**/a.tif") == {"a.tif", "x/a.tif", "x/y/a.tif"} and fits("x/**/a.tif") == {"x/a.tif", "x/y/a.tif"} and fits("*.tif") == {"a.tif"}
+
+
+def test_notes_of_the_planner_bar_nothing(spark):
+    from lumenframe.functions import readiness as rd
+
+    record = "struct<dimensionality: string>"
+    rows = spark.createDataFrame([(("3D",), [], ["note: few"]), (("3D",), [], ["note: few", "no raw"]), (("3D",), [], None), (("2D",), [], ["note: few"])], f"r {record}, found array<string>, planned array<string>")
+    status, every = rd.readiness(F.col("r"), F.col("found"), F.col("planned"))
+    got = [tuple(r) for r in rows.select(status.alias("s"), F.array_join(every, "; ").alias("e")).collect()]
+    assert got == [("ready", "note: few"), ("not-ready", "note: few; no raw"), ("unknown", "planner not available"), ("not-ready", "")]
