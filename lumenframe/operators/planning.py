@@ -246,3 +246,66 @@ def bbox_size(shape: Column, axes: Column) -> Column:
     at = lambda a: F.get(shape, F.instr(axes, a) - 1)
     known = (F.instr(axes, "x") > 0) & (F.instr(axes, "y") > 0) & (F.instr(axes, "z") > 0) & (F.size(shape) == F.char_length(axes))
     return F.when(known, F.array(at("x"), at("y"), at("z")))
+
+
+# ---------------------------------------------------------------- edits
+
+#: Settings that take any value, an empty one for null; the others have rules of their own.
+PLAIN_SETTINGS = ("role", "axes", "reader", "dataset", "dtype")
+
+
+def _refusal(entry: Column, e: Column) -> Column:
+    """Why an edit can't be applied to an entry as it stands, or null."""
+    unsaid = F.coalesce(e["reason"], F.lit("")) == ""
+    return (
+        F.when(e["setting"].isin(*PLAIN_SETTINGS) | ((e["setting"] == "clear") & (e["value"] == "transforms")), None)
+        .when(e["setting"] == "orientation", F.when(~e["value"].isin("apply", "ignore"), "orientation is apply or ignore").when((e["value"] == "ignore") & unsaid, "to ignore an orientation needs a reason"))
+        .when(e["setting"] == "transform", F.when(unsaid, "a transform needs a reason").when(~e["value"].rlike(r"^\w+:\w+$|^select:\w+:\d+$"), "a transform is op:axis or select:axis:index"))
+        .when(e["setting"] == "label_class", F.when(unsaid, "a class needs a reason").when(~entry["role"].eqNullSafe(F.lit("label")), "only labels have a class"))
+        .otherwise("unknown setting")
+    )
+
+
+def edited(entries: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entries, log): plan entries after edits, and what became of each edit.
+
+    entries: id, crop, index, key, role, label_class, axes, reader, dataset, dtype, orientation, transforms (array of texts).
+    edits: ord, id, crop, target, setting, value, reason. A target is an index, a key, or raw / label for the only entry of
+    the role, as the entries stand before these edits; it must mean exactly one. The edits of an entry are applied in the order of
+    ``ord`` by one fold, and one that breaks a rule is refused and changes nothing. log: the edits with ``index`` and
+    ``refusal``, null where applied.
+
+    Defined results: null values count as empty; entries without edits stay as they are; an edit whose crop is unknown is refused.
+    """
+    e = edits.select("ord", "id", "crop", "target", "setting", F.coalesce("value", F.lit("")).alias("value"), "reason")
+    names = F.array(F.col("index").cast("string"), F.col("key"), F.when(F.col("role").isin("raw", "label"), F.col("role")))
+    # an index counts before keys: entries named by key or role are looked at only where the target is no number
+    named = entries.select("id", "crop", "index", F.explode(F.array_distinct(F.filter(names, lambda n: n.isNotNull()))).alias("target"))
+    named = named.where(~F.col("target").rlike(r"^\d+$") | (F.col("target") == F.col("index").cast("string")))
+    sole = named.groupBy("id", "crop", "target").agg(F.count_distinct("index").alias("hits"), F.min("index").alias("index"))
+    aimed = storage.kept(e.join(sole, ["id", "crop", "target"], "left").withColumn("hits", F.coalesce("hits", F.lit(0))), "edits")
+    lost = aimed.where("hits <> 1").withColumn("refusal", F.concat(F.lit("the target means "), "hits", F.lit(" entries"))).withColumn("index", F.lit(None).cast("int"))
+    one = F.struct("ord", "setting", "value", "reason")
+    todo = aimed.where("hits = 1").groupBy("id", "crop", "index").agg(F.array_sort(F.collect_list(one)).alias("edits"))  # edits of one entry
+
+    fields = ("role", "label_class", "axes", "reader", "dataset", "dtype", "orientation", "transforms")
+
+    def step(s: Column, x: Column) -> Column:
+        refusal = _refusal(s, x)
+        fits = refusal.isNull()
+        given = F.nullif(x["value"], F.lit(""))
+        new = {f: F.when(fits & (x["setting"] == f), given).otherwise(s[f]) for f in fields if f != "transforms"}
+        new["transforms"] = (
+            F.when(fits & (x["setting"] == "transform"), F.concat(s["transforms"], F.array(x["value"])))
+            .when(fits & (x["setting"] == "clear"), F.array().cast(STRINGS)).otherwise(s["transforms"])
+        )
+        log = F.concat(s["log"], F.array(F.struct(x["ord"].alias("ord"), refusal.alias("refusal"))))
+        return F.struct(*[new[f].alias(f) for f in fields], log.alias("log"))
+
+    start = F.struct(*[F.coalesce(f, F.array().cast(STRINGS)).alias(f) if f == "transforms" else F.col(f) for f in fields], F.array().cast("array<struct<ord: bigint, refusal: string>>").alias("log"))
+    joined = entries.join(todo, ["id", "crop", "index"], "left")
+    done = storage.kept(joined.withColumn("s", F.aggregate(F.coalesce("edits", F.array().cast("array<struct<ord: bigint, setting: string, value: string, reason: string>>")), start, step)), "edited")
+    out = done.select("id", "crop", "index", "key", *[F.col(f"s.{f}").alias(f) for f in fields])
+    said = done.select(F.explode("s.log").alias("l")).select("l.ord", "l.refusal")
+    log = aimed.where("hits = 1").join(said, "ord").unionByName(lost)
+    return out, log.select("ord", "id", "crop", "target", "setting", "value", "reason", "index", "refusal")

@@ -106,3 +106,35 @@ def bbox_fill(spark, sf):
     axes = F.when(k % 5 == 0, "zyx").when(k % 5 == 1, "czyx").when(k % 5 == 2, "xyz").when(k % 5 == 3, "yx")
     shape = F.when(k % 5 == 1, F.array(s, s + 1, s + 2, s + 3)).when(k % 5 == 3, F.array(s, s + 1)).otherwise(F.array(s, s + 1, s + 2))
     return table(spark, sf, "part").select("p_partkey", F.array_join(planning.bbox_size(shape, axes), ",").alias("size"))
+
+
+@query("""WITH n AS (SELECT l_orderkey AS id, l_linenumber AS ix, l_quantity AS q, l_partkey % 3 AS k, CASE WHEN l_linenumber = 1 THEN 'raw' WHEN l_linenumber % 2 = 0 THEN 'label' END AS role, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_shipdate) AS rn FROM lineitem),
+e AS (SELECT id, ix, k, role FROM n WHERE rn = 1),
+c AS (SELECT id, count(*) FILTER (role = 'label') AS labels, count(*) FILTER (ix = 1) AS raws FROM e GROUP BY id),
+o AS (SELECT o_orderkey AS id, o_custkey % 3 AS r FROM orders WHERE o_orderkey IN (SELECT id FROM e)),
+x AS (SELECT o.id, o.r, labels, raws FROM o JOIN c ON c.id = o.id)
+SELECT id AS o_orderkey, 1 AS step, 'role' AS setting, CASE WHEN raws = 1 THEN NULL ELSE 'the target means ' || raws || ' entries' END AS refusal, CASE WHEN raws = 1 THEN 'label' END AS role, CASE WHEN raws = 1 AND r = 0 THEN 'cell' END AS label_class FROM x
+UNION ALL SELECT id, 2, 'label_class', CASE WHEN raws <> 1 THEN 'the target means ' || raws || ' entries' WHEN r > 0 THEN 'a class needs a reason' END, CASE WHEN raws = 1 THEN 'label' END, CASE WHEN raws = 1 AND r = 0 THEN 'cell' END FROM x
+UNION ALL SELECT id, 3, 'transform', CASE WHEN labels <> 1 THEN 'the target means ' || labels || ' entries' WHEN r = 1 THEN 'a transform is op:axis or select:axis:index' END, CASE WHEN labels = 1 THEN 'label' END, NULL FROM x""")
+def plan_edits(spark, sf):
+    """Edits of plans (orders, with a line an entry): what becomes of each, and the entry that it means after all edits."""
+    line = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("index")).distinct()
+    text = F.lit(None).cast("string")
+    role = F.when(F.col("index") == 1, "raw").when(F.col("index") % 2 == 0, "label")
+    entries = line.withColumns(
+        {"crop": F.lit("crop-001"), "key": F.concat(F.lit("k"), "index"), "role": role, "label_class": text, "axes": text, "reader": text, "dataset": text, "dtype": text}
+        | {"orientation": F.lit("apply"), "transforms": F.array().cast("array<string>")}
+    )
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 3).alias("r")).join(line.select("id").distinct(), "id", "left_semi")
+    edit = lambda n, target, setting, value, reason: F.struct(
+        F.lit(n).alias("n"), F.lit(target).alias("target"), F.lit(setting).alias("setting"), value.alias("value"), reason.alias("reason")
+    )
+    said = F.when(F.col("r") == 0, "the record")
+    wanted = F.array(
+        edit(1, "raw", "role", F.lit("label"), text), edit(2, "raw", "label_class", F.lit("cell"), said),
+        edit(3, "label", "transform", F.when(F.col("r") == 1, "flip").when(F.col("r") == 2, "select:c:1").otherwise("flip:y"), F.lit("the header")),
+    )
+    edits = o.select("id", F.explode(wanted).alias("e")).select((F.col("id") * 10 + F.col("e.n")).alias("ord"), "id", F.lit("crop-001").alias("crop"), "e.target", "e.setting", "e.value", "e.reason")
+    after, log = planning.edited(entries, edits)
+    seen = log.join(after.select("id", "index", "role", "label_class"), ["id", "index"], "left")
+    return seen.select(F.col("id").alias("o_orderkey"), (F.col("ord") % 10).cast("int").alias("step"), "setting", "refusal", "role", "label_class")

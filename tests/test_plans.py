@@ -357,3 +357,27 @@ def test_patches_nest_and_do_not_depend_on_partitions(spark):
         if f < 8:  # the box of a finer patch lies in that of the coarsest, to half a coarse voxel
             outer = by[i, s, 8]
             assert all(o - 16 <= a and b <= p + 16 for o, a, b, p in zip(outer["low"], r["low"], r["high"], outer["high"], strict=True))
+
+
+ENTRIES = "id long, crop string, index int, key string, role string, label_class string, axes string, reader string, dataset string, dtype string, orientation string, transforms array<string>"
+
+
+def test_edits_of_a_plan(spark):
+    entry = lambda k, role, key=None, crop="c": (1, crop, k, key, role, None, "zyx", None, None, None, "apply", None)
+    entries = spark.createDataFrame([entry(0, "raw"), entry(1, "label", "cells"), entry(2, "label", "2"), entry(0, None, crop="d")], ENTRIES)
+    rows = [
+        ("raw", "axes", "czyx", None), ("0", "reader", None, None), ("cells", "label_class", "cell", "title"), ("1", "transform", "flip:y", "header"), ("1", "transform", "select:c:2", "header"),
+        ("1", "clear", "transforms", None), ("1", "transform", "crop:z", "doc"), ("label", "axes", "x", None), ("2", "label_class", "x", None), ("raw", "label_class", "x", "y"), ("0", "role", "label", None),
+        ("0", "label_class", "late", "y"), ("0", "orientation", "ignore", ""), ("0", "orientation", "turn", "y"), ("0", "orientation", "ignore", "seen"), ("1", "colour", "red", "y"), ("9", "axes", "x", None), (None, "axes", "x", None),
+    ]
+    edits = spark.createDataFrame([(k, 1, "c", *r) for k, r in enumerate(rows)] + [(99, 1, "e", "0", "axes", "x", None)], "ord long, id long, crop string, target string, setting string, value string, reason string")
+    after, log = planning.edited(entries, edits)
+    refused = {r["ord"]: r["refusal"] for r in log.collect()}
+    assert refused == dict.fromkeys(range(len(rows))) | {
+        7: "the target means 2 entries", 8: "a class needs a reason", 9: "only labels have a class", 12: "to ignore an orientation needs a reason", 13: "orientation is apply or ignore",
+        15: "unknown setting", 16: "the target means 0 entries", 17: "the target means 0 entries", 99: "the target means 0 entries",
+    }
+    got = {(r["crop"], r["index"]): r for r in after.collect()}
+    assert len(got) == 4 and (got["c", 0]["axes"], got["c", 0]["role"], got["c", 0]["label_class"], got["c", 0]["orientation"]) == ("czyx", "label", "late", "ignore")
+    assert (got["c", 1]["label_class"], got["c", 1]["transforms"]) == ("cell", ["crop:z"]) and got["d", 0]["axes"] == "zyx"
+    assert planning.edited(entries, edits.limit(0))[0].count() == 4
