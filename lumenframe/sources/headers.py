@@ -1,7 +1,7 @@
 """Headers of image and volume files: format, shape, type and voxel size in nanometres.
 
 ``sniff`` and the JSON formats (zarr, N5, precomputed) are column expressions; binary headers are
-decoded from the file's first bytes in Arrow batches (``HEAD`` bytes reach the workers, never the
+decoded from the file's first bytes in Arrow batches (``HEAD`` bytes, and those around a TIFF's directory, reach the workers, never the
 whole file).
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
 
-HEAD = 256 * 1024
+HEAD, TAIL = 256 * 1024, 64 * 1024
 VOXEL = StructType().add("x", DoubleType()).add("y", DoubleType()).add("z", DoubleType())
 HEADER = (
     StructType()
@@ -128,24 +128,35 @@ def jpeg(head: bytes) -> dict:
     return {"problem": "no frame header in the first bytes"}
 
 
-def tiff(head: bytes) -> dict:
-    """The first page's tags, of classic and big files; its directory must lie in the first bytes."""
+def tiff(head: bytes, tail: bytes = b"", start: int = 0) -> dict:
+    """The first page's tags, of classic and big files. ``tail``: the bytes from ``start`` on, where the
+    directory lies if not among the first ones."""
+
+    def get(place: int, size: int) -> bytes:
+        for block, first in ((head, 0), (tail, start)):
+            if first <= place and place + size <= first + len(block):
+                return block[place - first : place - first + size]
+        raise ValueError("outside what was read")
+
     e = "<" if head[:2] == b"II" else ">"
-    big = int(_field(head, 2, e + "u2")[0]) == 43
-    at = int(_field(head, 8, e + "u8")[0] if big else _field(head, 4, e + "u4")[0])
-    n = int(_field(head, at, e + ("u8" if big else "u2"))[0])
+    number = lambda place, kind: int(np.frombuffer(get(place, np.dtype(kind).itemsize), e + kind)[0])
+    big = number(2, "u2") == 43
+    at = number(8, "u8") if big else number(4, "u4")
+    n = number(at, "u8" if big else "u2")
     width = "u8" if big else "u4"
     entry = np.dtype([("tag", e + "u2"), ("kind", e + "u2"), ("count", e + width), ("value", "V8" if big else "V4")])
     tags: dict[int, int] = {}
-    for row in np.frombuffer(head, entry, n, at + (8 if big else 2)):
+    for row in np.frombuffer(get(at + (8 if big else 2), n * entry.itemsize), entry):
         raw, kind, count = row["value"].tobytes(), int(row["kind"]), int(row["count"])
         unit = {1: "u1", 3: "u2", 4: "u4", 16: "u8"}.get(kind)
         if unit is None or not count:
             continue
         if np.dtype(unit).itemsize * count > len(raw):  # the values lie elsewhere; the first one is enough
-            place = int(np.frombuffer(raw, e + width)[0])
-            raw = head[place : place + np.dtype(unit).itemsize]
-            if len(raw) < np.dtype(unit).itemsize:
+            try:
+                raw = get(int(np.frombuffer(raw, e + width)[0]), np.dtype(unit).itemsize)
+            except ValueError:
+                if int(row["tag"]) in (258, 339):  # the type depends on it
+                    raise
                 continue
         tags[int(row["tag"])] = int(np.frombuffer(raw, e + unit, 1)[0])
     c, bits = tags.get(277, 1), tags.get(258, 1)
@@ -156,16 +167,29 @@ def tiff(head: bytes) -> dict:
     }
 
 
+def tiff_directory(content: Column) -> Column:
+    """Where the first directory of a TIFF begins, from 0; null if the file is no TIFF or too short to say."""
+    first = F.hex(F.substring(content, 1, 16))
+    little, big = F.startswith(first, F.lit("4949")), F.substring(first, 5, 4).isin("2B00", "002B")
+    digits = F.when(big, F.substring(first, 17, 16)).otherwise(F.substring(first, 9, 8))
+    pairs = F.regexp_extract_all(digits, F.lit("(..)"), F.lit(1))
+    place = F.conv(F.array_join(F.when(little, F.reverse(pairs)).otherwise(pairs), ""), 16, 10).try_cast("long")
+    return F.when(F.substring(first, 1, 8).isin("49492A00", "4D4D002A", "49492B00", "4D4D002B") & (digits != ""), place)
+
+
 READERS = {"mrc": mrc, "nifti": nifti, "nifti-gz": nifti, "png": png, "jpeg": jpeg, "tiff": tiff}
 
 
 @F.pandas_udf(HEADER)
-def _decode(kinds: pd.Series, heads: pd.Series) -> pd.DataFrame:
+def _decode(kinds: pd.Series, heads: pd.Series, tails: pd.Series, starts: pd.Series) -> pd.DataFrame:
     columns = HEADER.fieldNames()
     rows = []
-    for kind, head in zip(kinds, heads, strict=True):
+    for kind, head, tail, start in zip(kinds, heads, tails, starts, strict=True):
         try:
-            found = READERS[kind](head) if kind in READERS and head is not None else {"problem": "no reader"}
+            if kind == "tiff" and tail is not None:
+                found = tiff(head, tail, int(start))
+            else:
+                found = READERS[kind](head) if kind in READERS and head is not None else {"problem": "no reader"}
         except (ValueError, IndexError, KeyError, zlib.error) as e:
             found = {"problem": f"unreadable header: {type(e).__name__}"}
         rows.append([found.get(c) for c in columns])
@@ -175,10 +199,16 @@ def _decode(kinds: pd.Series, heads: pd.Series) -> pd.DataFrame:
 
 def probe(files: DataFrame, name: str = "path", content: str = "content") -> DataFrame:
     """``files`` with ``format`` and the struct ``header``; a short, null, empty or unknown file has
-    ``header.problem`` instead of values. ``content`` itself is dropped."""
-    head = F.substring(F.col(content), 1, HEAD)
+    ``header.problem`` instead of values. ``content`` itself is dropped. Of a TIFF whose directory lies further on, the
+    bytes around it are read as well."""
+    whole = F.col(content)
+    head = F.substring(whole, 1, HEAD)
     kind = sniff(F.col(name), head)
-    return files.withColumns({"format": kind, "header": _decode(kind, head)}).drop(content)
+    place = tiff_directory(whole)
+    far = (place + TAIL > HEAD) & (place < F.octet_length(whole))
+    start = F.greatest(place - TAIL, F.lit(0))
+    tail = F.when(far, F.substring(whole, (start + 1).cast("int"), 2 * TAIL))
+    return files.withColumns({"format": kind, "header": _decode(kind, head, tail, F.coalesce(start, F.lit(0)))}).drop(content)
 
 
 ZARR = (

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions import text
 from lumenframe.operators import planning, rollup, sampling
-from lumenframe.sources import crawl, storage, versions, voxels
+from lumenframe.sources import crawl, headers, storage, versions, voxels
 
 # ---------------------------------------------------------------- plans
 
@@ -381,3 +381,34 @@ def test_edits_of_a_plan(spark):
     assert len(got) == 4 and (got["c", 0]["axes"], got["c", 0]["role"], got["c", 0]["label_class"], got["c", 0]["orientation"]) == ("czyx", "label", "late", "ignore")
     assert (got["c", 1]["label_class"], got["c", 1]["transforms"]) == ("cell", ["crop:z"]) and got["d", 0]["axes"] == "zyx"
     assert planning.edited(entries, edits.limit(0))[0].count() == 4
+
+
+def tiff_file(order, big, at, bits=(16, 16, 16)):
+    """A TIFF whose directory begins at ``at``, its bits per sample behind it."""
+    import struct
+
+    e = "<" if order == "II" else ">"
+    size = 20 if big else 12
+    head = order.encode() + (struct.pack(e + "HHHQ", 43, 8, 0, at) if big else struct.pack(e + "HI", 42, at))
+    tags = [(256, 4, 1, 640), (257, 4, 1, 480), (258, 3, 3, at + (8 if big else 2) + 5 * size + 8), (277, 3, 1, 3), (339, 3, 1, 1)]
+    rows = b""
+    for tag, kind, count, value in tags:
+        inline = struct.pack(e + ("Q" if big else "I"), value) if count > 1 or kind == 4 else struct.pack(e + "H", value).ljust(8 if big else 4, b"\0")
+        if count > 1 and big:  # six bytes fit into the entry
+            inline = struct.pack(e + "3H", *bits).ljust(8, b"\0")
+        if kind == 4 and big:
+            inline = struct.pack(e + "I", value).ljust(8, b"\0")
+        rows += struct.pack(e + ("HHQ" if big else "HHI"), tag, kind, count) + inline
+    directory = struct.pack(e + ("Q" if big else "H"), 5) + rows + bytes(8) + struct.pack(e + "3H", *bits)
+    return head.ljust(at, b"\0") + directory
+
+
+def test_a_directory_at_the_end_of_a_tiff_is_read(spark):
+    places = [16, 300, 256 * 1024 - 30, 256 * 1024, 700_000]
+    files = [(f"{order}{big}{at}", tiff_file(order, big, at)) for order in ("II", "MM") for big in (False, True) for at in places]
+    files += [("cut", tiff_file("II", False, 700_000)[:500_000]), ("short.tif", b"II*\0"), ("none", None)]
+    got = {r["path"]: r for r in headers.probe(spark.createDataFrame(files, "path string, content binary")).collect()}
+    for name, _ in files[:-3]:
+        h = got[name]["header"]
+        assert got[name]["format"] == "tiff" and h["problem"] is None and (h["shape"], h["dtype"], h["axes"]) == ([480, 640, 3], "uint16", "yxs"), (name, h)
+    assert all(got[n]["header"]["problem"] for n in ("cut", "short.tif", "none"))
