@@ -231,20 +231,26 @@ def zarr_array(json: Column) -> Column:
 def ome_scale(json: Column) -> Column:
     """Axes, levels, first scale and translation, and voxel size in nm of a multiscale group; the
     attributes may lie at the top, under ``attributes`` or under ``ome`` in either."""
-    o = F.from_json(json, f"{OME}, ome struct<{OME.replace(' ', ':', 1)}>, attributes struct<{OME.replace(' ', ':', 1)},ome:struct<{OME.replace(' ', ':', 1)}>>")
-    groups = F.coalesce(o["multiscales"], o["ome"]["multiscales"], o["attributes"]["multiscales"], o["attributes"]["ome"]["multiscales"])
-    m = F.try_element_at(groups, F.lit(1))
-    level = F.try_element_at(m["datasets"], F.lit(1))
-    first = lambda kind: F.try_element_at(F.filter(level["coordinateTransformations"], lambda t: t["type"] == kind), F.lit(1))[kind]
-    scale = first("scale")
+    at = OME.replace(" ", ":", 1)
+    parsed = F.from_json(json, f"{OME}, ome struct<{at}>, attributes struct<{at},ome:struct<{at}>>")
     units = F.create_map(*[F.lit(v) for pair in UNIT_NM.items() for v in pair])
-    sizes = F.zip_with(m["axes"], scale, lambda a, s: F.struct(a["name"].alias("name"), F.round(s * F.try_element_at(units, F.lower(a["unit"])), 4).alias("nm")))
-    along = lambda axis: F.try_element_at(F.filter(sizes, lambda p: p["name"] == axis), F.lit(1))["nm"]
-    return F.struct(
-        F.array_join(F.transform(m["axes"], lambda a: F.substring(a["name"], 1, 1)), "").alias("axes"),
-        F.size(m["datasets"]).alias("levels"), scale.alias("scale"), first("translation").alias("translation"),
-        F.struct(*[along(a).alias(a) for a in "xyz"]).alias("voxel_size_nm"),
-    )
+
+    def described(o: Column) -> Column:
+        groups = F.coalesce(o["multiscales"], o["ome"]["multiscales"], o["attributes"]["multiscales"], o["attributes"]["ome"]["multiscales"])
+        m = F.try_element_at(groups, F.lit(1))
+        level = F.try_element_at(m["datasets"], F.lit(1))
+        first = lambda kind: F.try_element_at(F.filter(level["coordinateTransformations"], lambda t: t["type"] == kind), F.lit(1))[kind]
+        scale = first("scale")
+        sizes = F.zip_with(m["axes"], scale, lambda a, s: F.struct(a["name"].alias("name"), F.round(s * F.try_element_at(units, F.lower(a["unit"])), 4).alias("nm")))
+        along = lambda axis: F.try_element_at(F.filter(sizes, lambda p: p["name"] == axis), F.lit(1))["nm"]
+        return F.struct(
+            F.array_join(F.transform(m["axes"], lambda a: F.substring(a["name"], 1, 1)), "").alias("axes"),
+            F.size(m["datasets"]).alias("levels"), scale.alias("scale"), first("translation").alias("translation"),
+            F.struct(*[along(a).alias(a) for a in "xyz"]).alias("voxel_size_nm"),
+        )
+
+    # an element of an array, so that the text is parsed once for all that is read out of it
+    return F.get(F.transform(F.array(parsed), described), F.lit(0))
 
 
 def n5_array(json: Column) -> Column:
