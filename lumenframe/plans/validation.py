@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lumenframe.functions import schema as js
 from lumenframe.operators import validate
 from lumenframe.plans import query, table
+from lumenframe.sources import storage
 
 _ARRAY = {
     "type": "object",
@@ -85,7 +86,8 @@ _PART = "SELECT p_partkey AS k, * FROM part"
 @query(" UNION ALL ".join(f"SELECT k AS p_partkey, {path} AS path, {message} AS message FROM ({_PART}) WHERE {when}" for when, path, message in _FAULTS))
 def schema_faults(spark, sf):
     """Every fault of every record by a nested schema."""
-    records = table(spark, sf, "part").withColumn("k", F.col("p_partkey")).select("p_partkey", F.expr(_JSON).alias("json"))
+    part = storage.spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_size"), "p_partkey")
+    records = part.withColumn("k", F.col("p_partkey")).select("p_partkey", F.expr(_JSON).alias("json"))
     found = records.select("p_partkey", F.explode(js.faults("json", SCHEMA)).alias("f"))
     return found.select("p_partkey", "f.path", "f.message")
 

@@ -213,3 +213,14 @@ def test_no_records(spark):
     empty = spark.createDataFrame([], "path string, json string, message string, key string")
     assert validate.catalog_faults(empty, CATALOG).count() == 0
     assert empty.select(validate.record_faults("json", F.col("path"), CATALOG)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["schema_faults"])
+def test_records_of_one_file_are_work_for_many_tasks(spark, tmp_path, name):
+    from lumenframe.catalog_queries import QUERIES
+
+    shapes = {"part": ["k AS p_partkey", "concat('part ', k) AS p_name", "cast(k % 50 AS int) AS p_size"], "supplier": ["k AS s_suppkey"], "nation": ["k AS n_nationkey"]}
+    for table, columns in shapes.items():
+        spark.range(1, 400, 1, 1).toDF("k").selectExpr(*columns).write.parquet(str(tmp_path / f"{table}.parquet"))
+    found = QUERIES[name](spark, str(tmp_path))
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() >= spark.sparkContext.defaultParallelism
