@@ -20,6 +20,7 @@ from lumenframe.functions.rules import reasons
 from lumenframe.functions.schema import faults
 from lumenframe.functions.text import url_normalize
 from lumenframe.operators.keys import identity_keys, similar_records
+from lumenframe.sources import storage
 
 #: The fields that rules read.
 FIELDS = (
@@ -121,7 +122,8 @@ def catalog_faults(
     records: (path, json), every record that counts for uniqueness; targets: (path) of those to be told of, all by
     default; rejected: (key), ids and identity keys; fetched: (url), what a run has read: then evidence must be there.
     """
-    parsed = records.select("path", "json", _is_object("json").alias("object"), F.from_json("json", FIELDS).alias("r"))
+    # parsed once: every rule between records reads what is kept
+    parsed = storage.kept(records.select("path", "json", _is_object("json").alias("object"), F.from_json("json", FIELDS).alias("r")), "records")
     told = parsed if targets is None else parsed.join(targets.select("path").distinct(), "path", "left_semi")
     r = F.col("r")
     enums = schema["properties"]["imaging"]["properties"]

@@ -145,7 +145,7 @@ _RULES = (
 )
 def catalog_faults(spark, sf):
     """Every fault of a catalog: schema, rules, place, confidence, rejected keys, unread evidence, shared keys."""
-    records = table(spark, sf, "part").withColumn("k", F.col("p_partkey"))
+    records = storage.spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_size"), "p_partkey").withColumn("k", F.col("p_partkey"))
     records = records.select(F.format_string("datasets/3D/em/part-%d.yaml", "k").alias("path"), F.expr(_RECORD).alias("json"))
     s = table(spark, sf, "supplier")
     rejected = s.select(F.concat(F.lit("part-"), F.col("s_suppkey") * 3).alias("key"))

@@ -10,8 +10,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from lumenframe.catalog_queries import QUERIES
 from lumenframe.functions import schema as js
 from lumenframe.operators import validate
+from lumenframe.sources import storage
 
 SCHEMA = {
     "type": "object",
@@ -215,12 +217,23 @@ def test_no_records(spark):
     assert empty.select(validate.record_faults("json", F.col("path"), CATALOG)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["schema_faults"])
-def test_records_of_one_file_are_work_for_many_tasks(spark, tmp_path, name):
-    from lumenframe.catalog_queries import QUERIES
-
+def parts_in_one_file(spark, folder):
     shapes = {"part": ["k AS p_partkey", "concat('part ', k) AS p_name", "cast(k % 50 AS int) AS p_size"], "supplier": ["k AS s_suppkey"], "nation": ["k AS n_nationkey"]}
     for table, columns in shapes.items():
-        spark.range(1, 400, 1, 1).toDF("k").selectExpr(*columns).write.parquet(str(tmp_path / f"{table}.parquet"))
-    found = QUERIES[name](spark, str(tmp_path))
-    assert found.select(F.spark_partition_id().alias("p")).distinct().count() >= spark.sparkContext.defaultParallelism
+        spark.range(1, 400, 1, 1).toDF("k").selectExpr(*columns).write.parquet(f"{folder}/{table}.parquet")
+    return str(folder)
+
+
+def tasks(df):
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_records_of_one_file_are_work_for_many_tasks(spark, tmp_path):
+    assert tasks(QUERIES["schema_faults"](spark, parts_in_one_file(spark, tmp_path))) >= spark.sparkContext.defaultParallelism
+
+
+def test_a_catalog_is_parsed_once_by_many_tasks(spark, tmp_path, monkeypatch):
+    seen, kept = {}, storage.kept
+    monkeypatch.setattr(storage, "kept", lambda df, name: seen.update({name: tasks(df)}) or kept(df, name))
+    QUERIES["catalog_faults"](spark, parts_in_one_file(spark, tmp_path))
+    assert seen["records"] >= spark.sparkContext.defaultParallelism
