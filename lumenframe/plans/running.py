@@ -136,5 +136,7 @@ def plan_edits(spark, sf):
     )
     edits = o.select("id", F.explode(wanted).alias("e")).select((F.col("id") * 10 + F.col("e.n")).alias("ord"), "id", F.lit("crop-001").alias("crop"), "e.target", "e.setting", "e.value", "e.reason")
     after, log = planning.edited(entries, edits)
-    seen = log.join(after.select("id", "index", "role", "label_class"), ["id", "index"], "left")
+    rows, place = after.count(), ["id", "index"]
+    now = storage.dealt(after.select("id", "index", "role", "label_class"), rows, *place)
+    seen = storage.dealt(log, rows, *place).join(now.hint("merge"), place, "left")
     return seen.select(F.col("id").alias("o_orderkey"), (F.col("ord") % 10).cast("int").alias("step"), "setting", "refusal", "role", "label_class")

@@ -36,6 +36,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
+def dealt(df: DataFrame, rows: int, *keys: str, each: int = 150_000) -> DataFrame:
+    """``df`` dealt by keys to tasks of some ``each`` rows, of which the larger side of a join has ``rows``: what a task holds does
+    not grow with the table. Tables that are dealt by the same keys and number meet without another shuffle."""
+    few = min(df.sparkSession.sparkContext.defaultParallelism, rows // 20_000 + 1)
+    return df.repartition(max(few, rows // each + 1), *keys)
+
+
 def _path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -383,6 +383,19 @@ def test_edits_of_a_plan(spark):
     assert planning.edited(entries, edits.limit(0))[0].count() == 4
 
 
+def test_edits_meet_entries_without_broadcast_and_by_more_tasks_with_more_rows(spark):
+    text = F.lit(None).cast("string")
+    entries = spark.range(900).select("id", F.lit("c").alias("crop"), F.lit(1).alias("index"), F.lit("k").alias("key"), F.lit("label").alias("role"), *[text.alias(c) for c in ("label_class", "axes", "reader", "dataset", "dtype", "orientation")], F.array().cast("array<string>").alias("transforms"))
+    # the same number may order edits of two records
+    edits = spark.range(900).select(F.lit(1).cast("long").alias("ord"), "id", F.lit("c").alias("crop"), F.lit("k").alias("target"), F.lit("axes").alias("setting"), F.col("id").cast("string").alias("value"), text.alias("reason"))
+    after, log = planning.edited(entries, edits)
+    assert "BroadcastHashJoin" not in log._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["id"], r["value"], r["refusal"]) for r in log.collect()) == [(k, str(k), None) for k in range(900)]
+    assert all(r["axes"] == str(r["id"]) for r in after.collect())
+    assert [storage.dealt(edits, n, "id").rdd.getNumPartitions() for n in (0, 1_500_000, 3_000_000)] == [1, 11, 21]
+
+
+
 def tiff_file(order, big, at, bits=(16, 16, 16)):
     """A TIFF whose directory begins at ``at``, its bits per sample behind it."""
     import struct
