@@ -282,3 +282,17 @@ def test_notes_of_the_planner_bar_nothing(spark):
     status, every = rd.readiness(F.col("r"), F.col("found"), F.col("planned"))
     got = [tuple(r) for r in rows.select(status.alias("s"), F.array_join(every, "; ").alias("e")).collect()]
     assert got == [("ready", "note: few"), ("not-ready", "note: few; no raw"), ("unknown", "planner not available"), ("not-ready", "")]
+
+
+def test_alignment_moves_labels_once_for_all_transforms(spark):
+    from lumenframe.operators import arrays as op
+
+    vox = op.voxels(spark.createDataFrame([(k, [float((k * i * i) % 7) for i in range(15 + k % 2)]) for k in range(4)], "crop long, v array<double>"), "crop", "v", (1, 4, 4))
+    lab = vox.select("crop", *op.ZYX, (F.col("v") > 3).cast("int").alias("lab"))
+    found = op.alignment(vox, lab, (1, 4, 4))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 4  # two lines, each before and after
+    # the same scores as one transform at a time, also where voxels are missing
+    turned = op.scores(vox, op.remap(lab.withColumnRenamed("lab", "v"), (1, 4, 4), "rotate 180").withColumnRenamed("v", "lab"))
+    both = op._scores(vox.join(op._ringed(lab).select("crop", F.lit("rotate 180").alias("name"), *op._moved((1, 4, 4), "rotate 180"), "lab", "ring"), ["crop", *op.ZYX]), "name").drop("name")
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, turned.collect()))
+    assert found.count() == 4
