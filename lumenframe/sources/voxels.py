@@ -47,6 +47,8 @@ TYPES = {
     "int32": ("<i4", "int"), "int64": ("<i8", "long"), "float32": ("<f4", "float"), "float64": ("<f8", "double"),
 }
 CHUNK = 128
+#: How many voxels a partition reads, unless the caller says how many chunks.
+VOXELS = 1 << 20
 
 
 def _files(path: str):
@@ -258,8 +260,13 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def read(spark: SparkSession, path: str, chunks: int = 1) -> DataFrame:
+def read(spark: SparkSession, path: str, chunks: int | None = None) -> DataFrame:
+    """An array as voxels. ``chunks``: how many a partition; by default four partitions a core, of some million voxels at most."""
     register(spark)
+    if chunks is None:
+        layout = Layout.of(metadata(path))
+        even = math.prod(layout.grid) // (4 * spark.sparkContext.defaultParallelism)
+        chunks = max(1, min(even, VOXELS // math.prod(layout.chunk)))
     return spark.read.format("voxels").option("chunks", chunks).load(path)
 
 
@@ -300,7 +307,7 @@ def write_multiscale(
     write(vox, f"{path}/s0", shape, dtype, chunk=chunk)
     edges, sizes = [list(map(float, voxel))], [list(shape)]
     for k, factors in enumerate(plan, 1):
-        below = read(spark, f"{path}/s{k - 1}", chunks=8)
+        below = read(spark, f"{path}/s{k - 1}")
         write(_downsampled(below, sizes[-1], factors, kind, not dtype.startswith("float")), f"{path}/s{k}", _smaller(sizes[-1], factors), dtype, chunk=chunk)
         edges.append([e * f for e, f in zip(edges[-1], factors, strict=True)])
         sizes.append(_smaller(sizes[-1], factors))
@@ -333,9 +340,9 @@ def pyramid_faults(spark: SparkSession, path: str, kind: str = "image") -> DataF
         if list(new.shape) != _smaller(old.shape, factors) or new.dtype != old.dtype:
             out = out.union(spark.createDataFrame([(after["path"], None, None)], out.schema))
             continue
-        want = _downsampled(read(spark, f"{path}/{before['path']}", 8), old.shape, factors, kind, not old.dtype.startswith("float"))
+        want = _downsampled(read(spark, f"{path}/{before['path']}"), old.shape, factors, kind, not old.dtype.startswith("float"))
         want = want.select(*ZYX, F.col("v").cast(TYPES[new.dtype][1]).alias("want"))
-        both = read(spark, f"{path}/{after['path']}", 8).join(want, list(ZYX), "full")
+        both = read(spark, f"{path}/{after['path']}").join(want, list(ZYX), "full")
         key = F.concat_ws("/", *[F.floor(F.col(a) / c).cast("string") for a, c in zip(ZYX, new.chunk, strict=True)])
         wrong = both.where(~F.col("v").eqNullSafe(F.col("want"))).groupBy(key.alias("chunk")).agg(F.count(F.lit(1)).alias("differing"))
         out = out.union(wrong.select(F.lit(after["path"]).alias("level"), "chunk", "differing"))

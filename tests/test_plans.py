@@ -425,3 +425,11 @@ def test_a_directory_at_the_end_of_a_tiff_is_read(spark):
         h = got[name]["header"]
         assert got[name]["format"] == "tiff" and h["problem"] is None and (h["shape"], h["dtype"], h["axes"]) == ([480, 640, 3], "uint16", "yxs"), (name, h)
     assert all(got[n]["header"]["problem"] for n in ("cut", "short.tif", "none"))
+
+
+def test_small_chunks_are_read_many_a_partition(spark, tmp_path):
+    vox = spark.range(4096).selectExpr("cast(id div 64 AS int) AS z", "cast(id div 8 % 8 AS int) AS y", "cast(id % 8 AS int) AS x", "id % 50 AS v")
+    voxels.write(vox, str(tmp_path / "a"), (64, 8, 8), "uint16", chunk=(1, 2, 2))
+    found = voxels.read(spark, str(tmp_path / "a"))
+    assert found.rdd.getNumPartitions() <= 5 * spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, vox.collect()))
