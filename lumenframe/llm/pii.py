@@ -11,8 +11,9 @@ the checks of its kind (Luhn, parts up to 255, 9 to 15 digits; an address has a
 Texts are covered by overlapping windows; the windows' tag scores are averaged, weighted to their
 middles, and one Viterbi run over the whole text makes the spans, so a span over a window's edge is
 found once and whole. The run skips places that no span of the best path can cover: those through
-which no span of any kind gains on tags outside, with the best transitions (``_alive``), which changes
-no result. A span ends where its first and last words end (``_settled``).
+which no span of any kind gains on tags outside, with the best transitions (``_alive``); and runs
+of places that hold neither four digits nor a sign for "at" that the checks may take, so that no span in
+them can pass (``_held``). Neither changes a result. A span ends where its first and last words end (``_settled``).
 
 Defined results: null text is the empty text and has no spans; spans are in code points with the
 end exclusive; overlapping base spans of different kinds all stay; a network span that touches a
@@ -170,12 +171,12 @@ def _slope(x: np.ndarray) -> np.ndarray:
     return (1 + x * x) ** -1.5
 
 
-def _act_inplace(x: np.ndarray, room: np.ndarray) -> None:
-    """``_act`` written over x, with an array of its shape as room."""
+def _act_into(x: np.ndarray, room: np.ndarray, out: np.ndarray) -> None:
+    """``_act`` of x written to ``out``, which may be x, with an array of its shape as room."""
     np.multiply(x, x, out=room)
     room += 1
     np.sqrt(room, out=room)
-    x /= room
+    np.divide(x, room, out=out)
 
 
 @dataclass
@@ -277,9 +278,10 @@ def _window_scores(net: Tagger, c: np.ndarray, size: np.ndarray, block: int = 8)
     """Tag scores (2, windows, places, tags) of both directions, without the bias, as ``net.run`` gives them.
 
     ``c`` holds classes (windows, places) and ``size`` the windows' lengths, longest first. The second
-    direction runs from a window's own end, and so do its places, so neither reads padding; what is past
-    a window's end is undefined. Each gate has an array of its own, windows that have ended leave the
-    arrays now and then, and the halves in the gates are taken once for a cell and a state.
+    direction runs from a window's own end, so neither reads padding. A window's places are the first
+    ones of the first direction and the last ones of the second; the others are undefined. Each gate
+    has an array of its own, windows that have ended leave the arrays now and then, and the halves in
+    the gates are taken once for a cell and a state.
     """
     n, t = c.shape
     h = net.wh.shape[1]
@@ -288,7 +290,7 @@ def _window_scores(net: Tagger, c: np.ndarray, size: np.ndarray, block: int = 8)
     wx, wh = gates(net.wx).reshape(-1, h), np.ascontiguousarray(gates(net.wh) * 0.5)  # gate, direction, from, to
     wo = (net.wo * 0.5).astype(np.float32)
     back = np.maximum(size[:, None] - 1 - np.arange(t), 0)
-    codes = np.stack([c, np.take_along_axis(c, back, 1)]).transpose(2, 0, 1).astype(np.intp)
+    codes = np.stack([c.T, np.take_along_axis(c, back, 1).T], 1)  # those of one step together
     table = (np.arange(8) * net.wx.shape[1]).reshape(4, 2, 1)
     ends = np.searchsorted(-size, -np.arange(t))  # windows that have a place k
     hid, cell = (np.zeros((2, n, h), np.float32) for _ in range(2))
@@ -301,23 +303,25 @@ def _window_scores(net: Tagger, c: np.ndarray, size: np.ndarray, block: int = 8)
                 hid, cell = hid[:, :live].copy(), cell[:, :live].copy()
                 room, held = np.empty_like(hid), np.empty((block, 2, live, TAGS), np.float32)
                 z, wide = (np.empty((4, 2, live, h), np.float32) for _ in range(2))
+            rows = codes[k : k + block, None, :, :live] + table
         np.matmul(hid, wh, out=z)
-        np.take(wx, codes[k, :, :live] + table, axis=0, out=wide, mode="clip")
+        np.take(wx, rows[k % block], axis=0, out=wide, mode="clip")
         z += wide
-        _act_inplace(z, wide)
+        _act_into(z, wide, z)
         z[:3] += 1
         i, f, o, g = z
         cell *= f
         i *= g
         cell += i
         cell *= 0.5
-        np.copyto(hid, cell)
-        _act_inplace(hid, room)
+        _act_into(cell, room, hid)
         hid *= o  # twice the state
         np.matmul(hid, wo, out=held[k % block])
         if k % block == block - 1 or k == t - 1:
             first = k - k % block
-            scores[:, :live, first : k + 1] = held[: k + 1 - first].transpose(1, 2, 0, 3)
+            steps = held[: k + 1 - first].transpose(1, 2, 0, 3)
+            scores[0, :live, first : k + 1] = steps[0]
+            scores[1, :live, t - 1 - k : t - first] = steps[1, :, ::-1]
     return scores
 
 
@@ -329,12 +333,15 @@ def _alive(s: np.ndarray, tr: np.ndarray) -> np.ndarray:
     transitions out of it. Where the best span of a kind through a place, found by running sums and
     extremes, gains nothing for any kind, the best path is outside there.
     """
-    alive = np.zeros(len(s), bool)
-    nothing = s[:, 0].astype(np.float64)
     after = [0, *range(1, TAGS, 2)]  # what may follow a span
+    gain = s.T.astype(np.float64, order="C")
+    gain[1:] -= gain[0]
+    alive = np.zeros(len(s), bool)
     for b in range(1, TAGS, 2):
-        start = s[:, b] - nothing + float((tr[:, b] - tr[:, 0]).max())
-        total = np.cumsum(s[:, b + 1] - nothing + float(tr[b : b + 2, b + 1].max() - tr[0, 0]))
+        start, total = gain[b], gain[b + 1]
+        start += float((tr[:, b] - tr[:, 0]).max())
+        total += float(tr[b : b + 2, b + 1].max() - tr[0, 0])
+        np.cumsum(total, out=total)
         start -= total
         best = np.maximum.accumulate(start, out=start)  # of the beginnings up to a place
         best += np.maximum.accumulate(total[::-1])[::-1]  # and of the ends from it on
@@ -425,19 +432,30 @@ def viterbi(s: np.ndarray, open_: np.ndarray, tr: np.ndarray, cells: int = 1 <<
 _RAMP = (np.arange(1, WINDOW - STRIDE + 1) / (WINDOW - STRIDE + 1)).astype(np.float32)[:, None]
 
 
+def _laid(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the texts, one text after the other with a pad after each, and where each text starts."""
+    start = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)])
+    c = np.zeros(start[-1] + WINDOW, np.int8)
+    for t, lo in zip(texts, start, strict=False):
+        c[lo : lo + len(t)] = classes_of(t)
+    return c, start
+
+
 def tag_scores(texts: list[str], net: Tagger, batch: int = 640) -> tuple[np.ndarray, np.ndarray]:
-    """Tag scores (places, tags) of the texts, one text after the other, and where each text starts.
+    """Tag scores (places, tags) of the texts, one text after the other, and where each text starts."""
+    c, start = _laid(texts)
+    return _laid_scores(c, start, net, batch), start
+
+
+def _laid_scores(c: np.ndarray, start: np.ndarray, net: Tagger, batch: int = 640) -> np.ndarray:
+    """Tag scores (places, tags) of texts as ``_laid`` gives them.
 
     Where two windows overlap, the weight of one falls as that of the next one grows. A pad after each
     text gets the scores of a place outside.
     """
-    length = np.array([len(t) for t in texts], np.int64)
-    start = np.concatenate([[0], np.cumsum(length + 1)])
-    c = np.zeros(start[-1] + WINDOW, np.int8)
-    for t, lo, n in zip(texts, start, length, strict=False):
-        c[lo : lo + n] = classes_of(t)
+    length = np.diff(start) - 1
     count = np.where(length > 0, np.maximum(1, -(-(length - (WINDOW - STRIDE)) // STRIDE)), 0)
-    owner = np.repeat(np.arange(len(texts)), count)
+    owner = np.repeat(np.arange(len(length)), count)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
     at = start[owner] + nth * STRIDE
     size = np.minimum(WINDOW, length[owner] - nth * STRIDE)
@@ -445,9 +463,11 @@ def tag_scores(texts: list[str], net: Tagger, batch: int = 640) -> tuple[np.ndar
     sums = np.zeros((start[-1], TAGS), np.float32)
     order = np.argsort(-size, kind="stable")
     for part in np.array_split(order, -(-len(order) // batch)) if len(order) else ():
-        scores = _window_scores(net, c[at[part][:, None] + np.arange(int(size[part[0]]))], size[part])
+        wide = int(size[part[0]])
+        scores = _window_scores(net, c[at[part][:, None] + np.arange(wide)], size[part])
         for ahead, behind, lo, n, k, more in zip(*scores, at[part], size[part], nth[part], after[part], strict=True):
-            both = ahead[:n] + behind[:n][::-1]
+            both = ahead[:n]
+            both += behind[wide - n :]
             if k:
                 both[: len(_RAMP)] *= _RAMP[:n]
             if more:
@@ -455,17 +475,66 @@ def tag_scores(texts: list[str], net: Tagger, batch: int = 640) -> tuple[np.ndar
             sums[lo : lo + n] += both
     sums += net.bo.astype(np.float32)
     sums[start[1:] - 1] = np.where(np.arange(TAGS) == 0, 0, -1e4)
-    return sums, start
+    return sums
+
+
+_FIRST_LETTER = 6 + len(_SIGNS)
+
+
+def _marks(texts: list[str], c: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the digits, and of the signs for "at" that ``_settled`` may take: each @, and each "at"
+    after an opening bracket or before a host with a dot or a hyphen."""
+    is_, other = lambda x, k: (k == _CLASS[ord(x)]) | (k == _CLASS[ord(x.upper())]), lambda k: (k < _FIRST_LETTER) & (k != 1)
+    sign = np.flatnonzero(is_("a", c[1:-2]) & is_("t", c[2:-1]) & other(c[:-3]) & other(c[3:])) + 1
+    keep = []
+    for at, k in zip(sign.tolist(), (np.searchsorted(start, sign, side="right") - 1).tolist(), strict=True):
+        text, place = texts[k], at - int(start[k])
+        before = place - 1
+        while before >= 0 and text[before].isspace():
+            before -= 1
+        host = _HOST.match(text, place + 3)
+        keep.append((before >= 0 and text[before] in "[({<") or (host is not None and not host.group().isalnum()))
+    return np.flatnonzero(c == 1), np.union1d(np.flatnonzero(c == _CLASS[ord("@")]), sign[np.array(keep, bool)])
+
+
+def _held(c: np.ndarray, lo: np.ndarray, hi: np.ndarray, marks: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which stretches (lo, hi) may hold a span that ``_settled`` keeps: those with a sign for "at", or with
+    four digits once they reach over the words that they cut."""
+    digit, sign = marks
+    apart = np.flatnonzero((c < _FIRST_LETTER) & ((c >= 6) | (c % 2 == 0)))  # pads, white space and signs of ASCII
+    before = np.searchsorted(apart, lo) - 1
+    left = np.where(before >= 0, apart[before] + 1, 0)
+    right = apart[np.searchsorted(apart, hi)]  # a pad follows the last text
+    inside = lambda places, a, e: np.searchsorted(places, e) - np.searchsorted(places, a)
+    return (inside(sign, lo, hi + 1) > 0) | (inside(digit, left, right) >= 4)
+
+
+def _to_decode(texts: list[str], c: np.ndarray, start: np.ndarray, s: np.ndarray, tr: np.ndarray) -> np.ndarray:
+    """The places of ``_alive`` whose run may hold a span that ``_settled`` keeps. Runs are decoded apart,
+    so leaving one out changes no span of another."""
+    marks = _marks(texts, c, start)
+    out = np.zeros(len(s), bool)
+    for k in np.flatnonzero((start[1:] > start[:-1] + 1) & _held(c, start[:-1], start[1:] - 1, marks)):
+        text = slice(start[k], start[k + 1] - 1)
+        out[text] = _alive(s[text], tr)
+    edge = np.flatnonzero(np.diff(out.astype(np.int8), prepend=0, append=0))
+    lo, hi = edge[::2], edge[1::2]
+    for a, e in np.stack([lo, hi], 1)[~_held(c, lo, hi, marks)].tolist():
+        out[a:e] = False
+    return out
 
 
 def network_spans(texts: list[str], net: Tagger) -> list[list[tuple[int, int, int]]]:
     """(start, kind, end) that the network finds in each text, whole words, passing the checks."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    s, start = tag_scores(texts, net)
+    c, start = _laid(texts)
+    s = _laid_scores(c, start, net)
     s[:, 1:3] += LEAN
-    tags = viterbi(s, _alive(s, net.tr), net.tr)
-    begin = np.flatnonzero(tags % 2 == 1)
-    stop = np.flatnonzero((tags != 0) & ((np.append(tags[1:], 0) % 2 == 1) | (np.append(tags[1:], 0) == 0))) + 1
+    tags = viterbi(s, _to_decode(texts, c, start, s, net.tr), net.tr)
+    inside = np.flatnonzero(tags)
+    begin = inside[tags[inside] % 2 == 1]
+    after = tags[inside + 1]  # a pad follows the last text
+    stop = inside[(after % 2 == 1) | (after == 0)] + 1
     owner = np.searchsorted(start, begin, side="right") - 1
     for a, e, k in zip(begin.tolist(), stop.tolist(), owner.tolist(), strict=True):
         low, kind = int(start[k]), (int(tags[a]) - 1) // 2
@@ -633,12 +702,13 @@ def train(docs: DataFrame, sample: int = 600, id_col: str = "doc_id", text_col:
     (about twice the sample, whatever the number of documents) are grouped by that hash, so that repeated
     rows count once, and an ordered limit sends the first of them to the driver."""
     src = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
-    src = src.where(F.col("t").isNotNull()).withColumn("m", F.col("t").rlike(r"@|[0-9]{2}"))
+    src = src.where(F.col("t").isNotNull()).withColumn("m", F.col("t").contains("@") | F.col("t").rlike("[0-9][0-9]"))
     src = src.withColumn("h", F.pmod(F.xxhash64("i", "t"), F.lit(1 << 40)))
     n = {r["m"]: r["n"] for r in src.groupBy("m").agg(F.count(F.lit(1)).alias("n")).collect()}
     half = sample // 2
     limit = {m: int(min(1.0, (2.0 * half + 40) / n.get(m, 1)) * (1 << 40)) for m in (True, False)}
-    drawn = src.where(F.col("h") <= F.when(F.col("m"), F.lit(limit[True])).otherwise(F.lit(limit[False])))
+    drawn = src.where(F.col("h") <= max(limit.values()))  # first, as it needs no search of the text
+    drawn = drawn.where(F.col("h") <= F.when(F.col("m"), F.lit(limit[True])).otherwise(F.lit(limit[False])))
     rows = drawn.groupBy("m", "h").agg(F.min("t").alias("t")).orderBy("h").limit(8 * half + 400).collect()
     texts = []
     for which in (True, False):

@@ -348,6 +348,61 @@ def test_decoding_in_pieces_is_the_plain_viterbi_run(lead):
         assert (pii._long_run(s, tr, 64) == want).all()
 
 
+def decoded_whole(texts, net):
+    """Spans of the network with one plain run over every place of each text."""
+    out = []
+    for text in texts:
+        scores = pii.tag_scores([text], net)[0][:-1]
+        scores[:, 1:3] += pii.LEAN
+        tags = [*(plain_viterbi(scores.astype(np.float64), net.tr) if text else []), 0]
+        found = []
+        for a in range(len(text)):
+            if tags[a] % 2:
+                e = next(k for k in range(a + 1, len(tags)) if tags[k] == 0 or tags[k] % 2)
+                span = pii._settled(text, (tags[a] - 1) // 2, a, e)
+                if span and span[0] >= (found[-1][2] if found else 0):
+                    found.append((span[0], (tags[a] - 1) // 2, span[1]))
+        out.append(found)
+    return out
+
+
+def decoded_places(monkeypatch, texts, net):
+    """Spans of the network, and how many places were decoded."""
+    seen, plain = [], pii.viterbi
+    monkeypatch.setattr(pii, "viterbi", lambda s, open_, tr: seen.append(int(open_.sum())) or plain(s, open_, tr))
+    return pii.network_spans(texts, net), sum(seen)
+
+
+def test_runs_left_out_hold_no_span(monkeypatch):
+    pieces = ["at", "AT", "a", "t", " ", "  ", "\u2003", "\n", "@", "(", "[", "{", ")", "]", ">", ".", "-", "dot", " dot ", "com", "mia", "é", "٣", "7", "12",
+              "2024", "192.168.0.1", "555 1234 567", "4111 1111 1111 1111", " at ", " at wald dot org ", "(at)", "( at )", "[AT]x.de", "+", "_", "\x1c", "🙂"]
+    kinds, h = set(), 4
+    for seed in range(16):  # networks of chance, which mark far more than a trained one
+        rng = np.random.default_rng(seed)
+        r = lambda *k: rng.normal(size=k).astype(np.float32)  # noqa: E731, B023
+        net = pii.Tagger(r(2, pii.CLASSES, 4 * h), r(2, h, 4 * h), r(2, h, pii.TAGS) * 3, r(pii.TAGS), r(pii.TAGS, pii.TAGS), r(pii.TAGS))
+        for tag, inside in itertools.product(range(pii.TAGS), range(2, pii.TAGS, 2)):
+            net.tr[tag, inside] = 2 if tag == inside else 0 if tag == inside - 1 else -1e4
+        texts = ["".join(rng.choice(pieces, int(rng.integers(0, 40)))) for _ in range(60)]
+        found, _ = decoded_places(monkeypatch, texts, net)
+        assert found == decoded_whole(texts, net)
+        kinds |= {kind for spans in found for _, kind, _ in spans}
+    assert kinds == {0, 1, 2, 3}
+
+
+def test_prose_without_marks_is_not_decoded(monkeypatch, tagger):
+    net, words = tagger
+    rng = np.random.default_rng(12)
+    say = lambda n: " ".join(rng.choice(words, n))
+    prose = [f"{say(300)} at {say(20)} (at the door), {say(20)} 12 {say(5)}. Version 4.2 {say(30)}" for _ in range(20)]
+    prose = [t.replace("at the", "in the") for t in prose]
+    assert decoded_places(monkeypatch, prose, net) == ([[] for _ in prose], 0)
+    spelled = [f"{t} mia (at) wald.org {say(20)} (030) 123-4567 890 {say(9)}" for t in prose[:5]]
+    found, places = decoded_places(monkeypatch, spelled, net)
+    assert found == decoded_whole(spelled, net)
+    assert all(found) and 0 < places < 0.1 * sum(map(len, spelled))
+
+
 @pytest.mark.parametrize("text", ["7" * 1_000_000, "ab" * 500_000 + "@", "1.2" * 300_000, "+1" * 400_000, "@" * 500_000])
 def test_very_long_runs_take_linear_time(text):
     start = time.perf_counter()
